@@ -48,22 +48,27 @@ def risk_features(summary: DataFrame, periods: Iterable[str] | None = None) -> D
     return rows.withColumns(ratios).select("gstin", "ret_period", *FEATURES)
 
 
-def infinite_feature(features: Sequence[str] = FEATURES) -> Column:
-    """Number (from 1) of the first feature that is infinite as a 32-bit float; NULL if none. NaN is allowed."""
+def infinite_feature() -> Column:
+    """Number (from 1) of the first feature that is infinite as a 32-bit float; NULL if none. NaN is allowed.
+
+    Only features that are given can be infinite: the derived ratios are clipped.
+    """
     infinite = F.lit(float("inf"))
     return F.coalesce(*[
         F.when(F.abs(F.col(name).cast("float")) == infinite, F.lit(number))
-        for number, name in enumerate(features, start=1)
+        for number, name in enumerate(FEATURES, start=1)
+        if name not in _DERIVED
     ])
 
 
-def reject_reason(score_column: Column) -> Column:
-    """Why a return has no score; NULL if it has one."""
-    bad = infinite_feature()
-    return (
-        F.when(bad.isNotNull(), F.concat(F.lit("Feature "), bad.cast("string"), F.lit(" contains infinite value")))
-        .when(score_column.isNull(), "model returned a non-finite score")
-    )
+def reject_reason() -> Column:
+    """Why a return cannot be scored; NULL if it can.
+
+    It does not look at the score, so a filter on it never evaluates the model. A model that could
+    give no finite score is refused before it is used (operators.trees.check_model).
+    """
+    number = infinite_feature().cast("string")
+    return F.concat(F.lit("Feature "), number, F.lit(" contains infinite value"))
 
 
 def scored_returns(
@@ -73,10 +78,10 @@ def scored_returns(
     arrow: bool | None = None,
 ) -> DataFrame:
     """Every return with its score or the reason it has none."""
-    raw = risk_features(summary, periods).withColumn("raw_score", score(model, arrow))
-    return raw.withColumn("reject_reason", reject_reason(F.col("raw_score"))).withColumn(
-        "risk_score", F.when(F.col("reject_reason").isNull(), F.col("raw_score"))
-    ).drop("raw_score")
+    reason = F.col("reject_reason")
+    return risk_features(summary, periods).withColumn("reject_reason", reject_reason()).withColumn(
+        "risk_score", F.when(reason.isNull(), score(model, arrow))
+    )
 
 
 def risk_profile_of(

@@ -74,7 +74,10 @@ def _feature_index(model: TreeModel, split: str) -> int:
 
 
 def check_model(model: TreeModel, feature_count: int = 18) -> None:
-    """Refuse a model that is empty, has another number of features, or gives no finite score for a zero row."""
+    """Refuse a model that is empty, has another number of features, or could give no finite score.
+
+    Finite leaves are enough: the logistic function maps every sum of them into 0..1.
+    """
     if not model.trees:
         raise GateFailed(f"model {model.name} holds no tree")
     if len(model.features) != feature_count:
@@ -82,6 +85,8 @@ def check_model(model: TreeModel, feature_count: int = 18) -> None:
     for tree in model.trees:
         for node in _nodes(tree):
             if "leaf" in node:
+                if not math.isfinite(node["leaf"]):
+                    raise GateFailed(f"model {model.name}: leaf {node['nodeid']} is not a number")
                 continue
             _feature_index(model, node["split"])
             if {node["yes"], node["no"]} != {child["nodeid"] for child in node["children"]}:
@@ -111,7 +116,7 @@ def _score_expression(model: TreeModel) -> Column:
     for tree in model.trees:
         margin = margin + _tree_column(model, tree)
     chance = (F.lit(1.0) / (F.lit(1.0) + F.exp(-margin.cast("double")))).cast("float").cast("double")
-    return F.when(~F.isnan(chance), F.greatest(F.least(chance, F.lit(1.0)), F.lit(0.0)))
+    return F.greatest(F.least(chance, F.lit(1.0)), F.lit(0.0))
 
 
 # --- over Arrow batches --------------------------------------------------------------------
@@ -173,7 +178,7 @@ def _score_batch(model: _FlatModel, features: Sequence[pd.Series]) -> pd.Series:
         margin = margin + tree.leaf[node]
     with np.errstate(over="ignore"):
         chance = (1.0 / (1.0 + np.exp(-margin.astype(np.float64)))).astype(np.float32).astype(np.float64)
-    return pd.Series(np.clip(chance, 0.0, 1.0)).where(np.isfinite(chance), None)
+    return pd.Series(np.clip(chance, 0.0, 1.0))
 
 
 def _score_udf(model: TreeModel) -> Column:
@@ -188,7 +193,7 @@ def _score_udf(model: TreeModel) -> Column:
 
 
 def score(model: TreeModel, arrow: bool | None = None) -> Column:
-    """Score 0..1 of the feature columns named by the model; NULL where the model gives no number.
+    """Score 0..1 of the feature columns named by the model.
 
     ``arrow`` chooses the form; by default it follows from the size of the model.
     """
