@@ -8,9 +8,15 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import zlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from returns_analytics.sources.sinks import staging_folder
+from returns_analytics.sources.tables import read_parquet
 
 # The standard case: a quarter end with filers, late filers and non-filers at the evaluation date.
 PERIOD = "062000"
@@ -106,13 +112,13 @@ DERIVED = {
     # repeated returns and repeated or conflicting registrations
     "summary_repeated": """
         select * from summary
-        union all select s.* from summary s join sup on sup.gstin=s.gstin where sup.k%31=0""",
+        union all select s.* from summary s join sup u on u.gstin=s.gstin where u.k%31=0""",
     "dealer_repeated": """
         select gstin, st_juri from dealer
-        union all select d.gstin, lpad(cast((sup.n+1)%25 as varchar(9)),3,'0')
-          from dealer d join sup on sup.gstin=d.gstin where sup.k%31=0
-        union all select d.gstin, d.st_juri from dealer d join sup on sup.gstin=d.gstin where sup.k%13=0
-        union all select d.gstin, cast(null as varchar(9)) from dealer d join sup on sup.gstin=d.gstin where sup.k%37=0""",
+        union all select d.gstin, lpad(cast((u.n+1)%25 as varchar(9)),3,'0')
+          from dealer d join sup u on u.gstin=d.gstin where u.k%31=0
+        union all select d.gstin, d.st_juri from dealer d join sup u on u.gstin=d.gstin where u.k%13=0
+        union all select d.gstin, cast(null as varchar(9)) from dealer d join sup u on u.gstin=d.gstin where u.k%37=0""",
     "juri_repeated": """
         select jurisdiction_code, jurisdiction_name from juri
         union all select jurisdiction_code, concat(jurisdiction_name, ' EAST') from juri
@@ -177,23 +183,54 @@ def needed(text: str) -> list[str]:
     return [name for name in DERIVED if name in names]
 
 
+def direct(name: str) -> list[str]:
+    """Derived and base tables a derivation reads itself."""
+    words = set(re.findall(r"[a-z_]+", DERIVED[name]))
+    return [other for other in (*BASE_TABLES, *DERIVED) if other != name and other in words]
+
+
+#: paths written and tables opened, per application and session
+_WRITTEN: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
+_OPENED: dict[tuple[SparkSession, str], DataFrame] = {}
+
+
 @dataclass(frozen=True)
 class Fixtures:
-    """Derived tables of one data folder, each built when it is first asked for."""
+    """Derived tables of one data folder, as stored tables.
+
+    A table is derived and written the first time it is asked for, in the shared checkpoint folder
+    (see sources.sinks), partitioned by ret_period where it has one. Queries then read it as they
+    would read the tables of a deployment.
+    """
 
     spark: SparkSession
     folder: str
 
-    def table(self, name: str) -> DataFrame:
-        text = table_sql(name, "spark")
-        names = needed(DERIVED[name]) + [name]
-        chain = ", ".join(f"{other} as ({table_sql(other, 'spark')})" for other in names[:-1])
-        words = set(re.findall(r"[a-z_]+", " ".join(DERIVED[n] for n in names)))
-        bases = {base: self.base(base) for base in BASE_TABLES if base in words}
-        sql = f"with {chain} {text}" if chain else text
-        for base in bases:
-            sql = re.sub(rf"\b(from|join) {base}\b", rf"\1 {{{base}}}", sql)
-        return self.spark.sql(sql, **bases)
-
     def base(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+
+    def table(self, name: str) -> DataFrame:
+        return self.keep(name, lambda: self._derive(name))
+
+    def _derive(self, name: str) -> DataFrame:
+        sql, sources = table_sql(name, "spark"), {}
+        for other in direct(name):
+            sources[other] = self.base(other) if other in BASE_TABLES else self.table(other)
+            sql = re.sub(rf"\b(from|join) {other}\b", rf"\1 {{{other}}}", sql)
+        return self.spark.sql(sql, **sources)
+
+    def keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table that is built and written once, and read from then on."""
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _WRITTEN:
+            rows = build()
+            path = f"{staging_folder(self.spark)}/{zlib.crc32(self.folder.encode()):08x}/{name}"
+            writer = rows.write
+            if "ret_period" in rows.columns:
+                writer = rows.hint("rebalance", "ret_period").write.partitionBy("ret_period")
+            writer.mode("overwrite").parquet(path)
+            _WRITTEN[key] = (path, rows.schema)
+        path, schema = _WRITTEN[key]
+        if (self.spark, path) not in _OPENED:
+            _OPENED[(self.spark, path)] = read_parquet(self.spark, path, schema)
+        return _OPENED[(self.spark, path)]

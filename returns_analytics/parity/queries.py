@@ -125,7 +125,15 @@ def _(fx):
 
 
 def _offices(fx: Fixtures) -> DataFrame:
-    return office.office_totals(fx.table("summary"), fx.table("dealer"), fx.table("juri"))
+    """The stored totals of all offices and periods."""
+    return fx.keep("offices", lambda: office.office_totals(
+        fx.table("summary"), fx.table("dealer"), fx.table("juri")))
+
+
+def _repeated_offices(fx: Fixtures) -> DataFrame:
+    """The same from the inputs with repeated rows."""
+    return fx.keep("offices_repeated", lambda: office.office_totals(
+        fx.table("summary_repeated"), fx.table("dealer_repeated"), fx.table("juri_repeated")))
 
 
 @query("office_exact", _OFFICE_TOTALS,
@@ -395,10 +403,9 @@ def _(fx):
 @query("office_growth", _OFFICE_GROWTH,
        f"select g.ret_period, g.st_juri, {oracle.OFFICE_GROWTH_COLUMNS} from o_office_growth_stored g")
 def _(fx):
-    stored = office.office_totals(
-        fx.table("summary_repeated"), fx.table("dealer_repeated"), fx.table("juri_repeated"))
-    produced = _offices(fx).filter("period_date >= date '1998-01-01'")
-    return office.office_growth(produced, stored)
+    produced = office.office_totals(fx.table("summary"), fx.table("dealer"), fx.table("juri")).filter(
+        "period_date >= date '1998-01-01'")
+    return office.office_growth(produced, _repeated_offices(fx))
 
 
 @query("office_revenue", f"{_OFFICE_TOTALS}; {_OFFICE_GROWTH}",
@@ -513,9 +520,7 @@ def _(fx):
          select st_juri, year(period_date)*12 + month(period_date) - 1 from o_offices_repeated) x
        group by 1, 2 having count(*) > 1""")
 def _(fx):
-    repeated = office.office_totals(
-        fx.table("summary_repeated"), fx.table("dealer_repeated"), fx.table("juri_repeated"))
-    return quality.duplicate_office_months(_offices(fx).unionByName(repeated))
+    return quality.duplicate_office_months(_offices(fx).unionByName(_repeated_offices(fx)))
 
 
 @query("growth_coverage", "s: ret_period; i: growth_rows summary_rows; b: incomplete",
@@ -524,8 +529,7 @@ def _(fx):
        from (select ret_period, count(*) n from o_growth where ot > 0 group by 1) g full join
          (select ret_period, count(*) n from summary group by 1) s on s.ret_period = g.ret_period""")
 def _(fx):
-    stored = pipelines.growth_analytics(fx.table("summary"), unique_rows=True).filter("output_tax > 0")
-    return quality.growth_coverage(stored, fx.table("summary"))
+    return quality.growth_coverage(_growth(fx).filter("output_tax > 0"), fx.table("summary"))
 
 
 # --- risk ----------------------------------------------------------------------------------
@@ -615,11 +619,13 @@ def _(fx):
 
 
 def _growth(fx: Fixtures) -> DataFrame:
-    return pipelines.growth_analytics(fx.table("summary"), unique_rows=True)
+    """The stored growth table."""
+    return fx.keep("growth", lambda: pipelines.growth_analytics(fx.table("summary")))
 
 
 def _risk(fx: Fixtures) -> DataFrame:
-    return pipelines.risk_profile(fx.table("summary"), _model())[0]
+    """The stored risk table."""
+    return fx.keep("risk", lambda: pipelines.risk_profile(fx.table("summary"), _model())[0])
 
 
 @query("last_filed", "s: gstin last_filed_period last_filing_date; n: avg_output_tax_3m avg_output_tax_6m avg_output_tax_12m",
@@ -782,8 +788,8 @@ def _with_times(rows: DataFrame, *names: str) -> DataFrame:
          a_6_itc/1e6 avg_6m_itc, case when {_OLD} then '1999-01-01 00:00:00' else '{RUN_AT}' end created_at,
          '{RUN_AT}' updated_at from o_growth""")
 def _(fx):
-    rows = _growth(fx)
-    stored = _with_times(rows.filter(_OLD).withColumns({
+    rows = pipelines.growth_analytics(fx.table("summary"))
+    stored = _with_times(_growth(fx).filter(_OLD).withColumns({
         "taxable_value": F.lit(0).cast("decimal(18,2)"), "growth_trend": F.lit("NA")}), "created_at", "updated_at")
     return pipelines.merge_growth(stored, rows, RUN_AT)
 
@@ -792,9 +798,9 @@ def _(fx):
        f"""select p.*, case when {_OLD} then '1999-01-01 00:00:00' else '{RUN_AT}' end created_at, '{RUN_AT}' updated_at,
          '{RUN_AT}' processed_at, 7 batch_id from ({_PROFILE_SQL}) p""")
 def _(fx):
-    profile = _risk(fx)
+    profile = pipelines.risk_profile(fx.table("summary"), _model())[0]
     stored = _with_times(
-        profile.filter(_OLD).withColumns({"risk_score": F.lit(0.0), "model_version": F.lit("0"),
+        _risk(fx).filter(_OLD).withColumns({"risk_score": F.lit(0.0), "model_version": F.lit("0"),
                                           "batch_id": F.lit(1).cast("bigint")}),
         "processed_at", "created_at", "updated_at")
     return pipelines.merge_risk(stored, profile, RUN_AT, 7)
@@ -822,10 +828,12 @@ def _(fx):
 
 def _stored_offices(fx: Fixtures) -> DataFrame:
     """The office table an earlier run left, from the repeated inputs."""
-    rows = office.office_totals(
-        fx.table("summary_repeated"), fx.table("dealer_repeated"), fx.table("juri_repeated"))
-    rows = rows.join(office.office_growth(rows), ["ret_period", "st_juri"])
-    return _with_times(rows, "created_at", "updated_at")
+    def build() -> DataFrame:
+        totals = _repeated_offices(fx)
+        rows = totals.join(office.office_growth(totals), ["ret_period", "st_juri"])
+        return _with_times(rows, "created_at", "updated_at")
+
+    return fx.keep("offices_stored", build)
 
 
 @query("upsert_office", f"{_OFFICE_TOTALS}; s: growth_status created_at; n: yoy_output_growth",

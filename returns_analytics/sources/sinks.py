@@ -18,6 +18,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="returns-checkpoint-"))
 
 
+def staging_folder(spark: SparkSession) -> str:
+    """A folder of this application below the checkpoint folder, reachable from every executor."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{spark.sparkContext.applicationId}"
+
+
 def stage(table: DataFrame) -> DataFrame:
     """Write a table to the checkpoint folder and read it back, which cuts its lineage. Eager.
 
