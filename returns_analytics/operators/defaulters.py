@@ -25,7 +25,13 @@ from returns_analytics.functions.filing import (
     reject_message,
 )
 from returns_analytics.functions.keys import normalise, trim_to_null
-from returns_analytics.functions.periods import HISTORY_PERIOD_PATTERN, ends_quarter, first_day, parse_period
+from returns_analytics.functions.periods import (
+    HISTORY_PERIOD_PATTERN,
+    ends_quarter,
+    first_day,
+    is_valid_period,
+    parse_period,
+)
 from returns_analytics.schemas import AVERAGE
 from returns_analytics.sources.tables import period_slice, registration_slice
 
@@ -111,9 +117,17 @@ def history_months(requested: int = HISTORY_MONTHS_DEFAULT) -> int:
 
 
 def last_filed(
-    growth: DataFrame, summary: DataFrame, period: str, months: int = HISTORY_MONTHS_DEFAULT
+    growth: DataFrame,
+    summary: DataFrame,
+    period: str,
+    months: int = HISTORY_MONTHS_DEFAULT,
+    risk: DataFrame | None = None,
 ) -> DataFrame:
-    """Latest earlier growth row, within the lookback, whose return has a filing date."""
+    """Latest earlier growth row, within the lookback, whose return has a filing date.
+
+    It comes with its averages, its trend and, if ``risk`` is given, the risk of that period: all
+    three tables meet on (gstin, ret_period), so that no later join on the picked period is needed.
+    """
     start = F.lit(parse_period(period))
     recent = growth.filter(
         (F.col("period_date") < start) & (F.col("period_date") >= F.add_months(start, -history_months(months)))
@@ -121,27 +135,37 @@ def last_filed(
         "gstin",
         "ret_period",
         "period_date",
+        F.col("growth_trend").alias("last_growth_trend"),
         *[F.col(f"avg_{n}m_output_tax").alias(f"avg_output_tax_{n}m") for n in (3, 6, 12)],
     )
+    # The periods of the lookback prune the other tables' partitions at run time. They are distinct
+    # valid periods, a few dozen and at most 120,000 short texts, so they are always small.
+    periods = F.broadcast(recent.select("ret_period").filter(is_valid_period(F.col("ret_period"))).distinct())
     # a period with several returns counts once, with its latest date
     filed = (
-        summary.filter(F.col("filing_date").isNotNull())
+        summary.join(periods, "ret_period", "left_semi")
+        .filter(F.col("filing_date").isNotNull())
         .groupBy("gstin", "ret_period")
         .agg(F.max("filing_date").alias("last_filing_date"))
     )
+    rows = recent.join(filed, ["gstin", "ret_period"])
+    carried = ["last_filing_date", *[f"avg_output_tax_{n}m" for n in (3, 6, 12)], "last_growth_trend"]
+    if risk is not None:
+        risks = risk.join(periods, "ret_period", "left_semi").select(
+            "gstin",
+            "ret_period",
+            F.col("risk_level").alias("last_risk_level"),
+            F.col("risk_score").alias("last_risk_score"),
+        )
+        rows = rows.join(risks, ["gstin", "ret_period"], "left")
+        carried += ["last_risk_level", "last_risk_score"]
     order = Window.partitionBy("gstin").orderBy(
         F.col("period_date").desc(), F.col("last_filing_date").desc(), F.col("ret_period").desc()
     )
     return (
-        recent.join(filed, ["gstin", "ret_period"])
-        .withColumn("rank", F.row_number().over(order))
+        rows.withColumn("rank", F.row_number().over(order))
         .filter("rank = 1")
-        .select(
-            "gstin",
-            F.col("ret_period").alias("last_filed_period"),
-            "last_filing_date",
-            *[f"avg_output_tax_{n}m" for n in (3, 6, 12)],
-        )
+        .select("gstin", F.col("ret_period").alias("last_filed_period"), *carried)
     )
 
 
@@ -158,29 +182,36 @@ def historical_defaults(history: DataFrame, period: str) -> DataFrame:
     )
 
 
-def with_effective_period(population: DataFrame, current: DataFrame, filed_before: DataFrame, period: str) -> DataFrame:
-    """Population with its return, its last filed period, and the period growth and risk are read at.
+def with_effective_period(
+    population: DataFrame,
+    current: DataFrame,
+    filed_before: DataFrame,
+    growth: DataFrame,
+    risk: DataFrame,
+    period: str,
+) -> DataFrame:
+    """Population with its return, its last filed period, and growth and risk at the effective period.
 
-    That is the period itself for filers, and the last filed period for everybody else.
+    That is the period itself for filers, and the last filed period for everybody else. Both
+    candidates are at hand per taxpayer (one partition of the growth and risk tables, and the
+    columns that last_filed carries), so every join is on gstin alone and keeps one partitioning.
     """
     returns = current.withColumn("filed", F.lit(True))
-    return (
-        population.join(returns, "gstin", "left")
-        .join(filed_before, "gstin", "left")
-        .withColumn("filed", F.coalesce("filed", F.lit(False)))
-        .withColumn("effective_period", F.when(F.col("filed"), F.lit(period)).otherwise(F.col("last_filed_period")))
-    )
-
-
-def growth_and_risk(rows: DataFrame, growth: DataFrame, risk: DataFrame) -> DataFrame:
-    """Growth trend and risk at the effective period.
-
-    Both lookups join on the same two columns, so the rows are shuffled for them once.
-    """
-    trends = growth.select("gstin", F.col("ret_period").alias("effective_period"), "growth_trend")
-    risks = risk.select("gstin", F.col("ret_period").alias("effective_period"), "risk_level", "risk_score")
-    on = ["gstin", "effective_period"]
-    return rows.join(trends, on, "left").join(risks, on, "left")
+    trends = period_slice(growth, period).select("gstin", F.col("growth_trend").alias("now_growth_trend"))
+    risks = period_slice(risk, period).select(
+        "gstin", F.col("risk_level").alias("now_risk_level"), F.col("risk_score").alias("now_risk_score"))
+    rows = population
+    for side in (returns, filed_before, trends, risks):
+        rows = rows.join(side, "gstin", "left")
+    rows = rows.withColumn("filed", F.coalesce("filed", F.lit(False)))
+    filed = F.col("filed")
+    return rows.withColumns({
+        "effective_period": F.when(filed, F.lit(period)).otherwise(F.col("last_filed_period")),
+        **{
+            name: F.when(filed, F.col(f"now_{name}")).otherwise(F.col(f"last_{name}"))
+            for name in ("growth_trend", "risk_level", "risk_score")
+        },
+    })
 
 
 def defaulter_candidates(
@@ -203,7 +234,9 @@ def defaulter_candidates(
     rows = with_effective_period(
         eligible(registration, period),
         latest_return(summary, period),
-        last_filed(growth, summary, period, months),
+        last_filed(growth, summary, period, months, risk),
+        growth,
+        risk,
         period,
     ).join(historical_defaults(history, period), "gstin", "left")
     names = juri.select(F.col("jurisdiction_code").alias("st_juri"), F.col(name_column).alias("office_name"))
@@ -212,8 +245,7 @@ def defaulter_candidates(
         for n in (3, 6, 12)
     ]
     return (
-        growth_and_risk(rows, growth, risk)
-        .join(names, "st_juri", "left")
+        rows.join(names, "st_juri", "left")
         .select(
             normalise(F.col("gstin")).alias("gstin"),
             F.lit(period).alias("ret_period"),

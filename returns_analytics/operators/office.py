@@ -103,20 +103,28 @@ def office_totals(
 
 
 def merge_history(totals: DataFrame, stored: DataFrame | None, periods: Iterable[str] | None = None) -> DataFrame:
-    """Produced months together with the stored months of other periods.
+    """Produced months together with the stored months of other periods, flagged ``produced``.
 
     Every stored row of a produced period is replaced: by the new row of the office, or by
     nothing if the office is no longer produced.
     """
-    columns = ["ret_period", "st_juri", "period_date", "output_tax", "cash_tax_paid"]
-    fresh = totals.select(*columns).withColumn("produced", F.lit(True))
+    fresh = totals.withColumn("produced", F.lit(True))
     if stored is None:
         return fresh
+    kept = stored.select("ret_period", "st_juri", "period_date", "output_tax", "cash_tax_paid").withColumn(
+        "produced", F.lit(False))
     if periods is not None:
-        kept = stored.filter(~F.col("ret_period").isin(list(periods)))
-    else:
-        kept = stored.join(totals.select("ret_period").distinct(), "ret_period", "left_anti")
-    return fresh.unionByName(kept.select(*columns).withColumn("produced", F.lit(False)))
+        kept = kept.filter(~F.col("ret_period").isin(list(periods)))
+        return fresh.unionByName(kept, allowMissingColumns=True)
+    # without a list, a period is produced if any office of it is; asking the union for that
+    # spares a second evaluation of the totals, and its partitions are as small as the list of offices
+    produced_period = F.max("produced").over(Window.partitionBy("ret_period"))
+    return (
+        fresh.unionByName(kept, allowMissingColumns=True)
+        .withColumn("produced_period", produced_period)
+        .filter("produced or not produced_period")
+        .drop("produced_period")
+    )
 
 
 def _at(column: str, months_before: int) -> Column:
@@ -133,39 +141,34 @@ def _average(column: str, months: int) -> Column:
 def office_growth(
     totals: DataFrame, stored: DataFrame | None = None, periods: Iterable[str] | None = None
 ) -> DataFrame:
-    """The twelve growth columns per produced (ret_period, st_juri).
+    """The produced rows with their twelve growth columns; the totals are evaluated once.
 
     One window partition holds an office's months, one row each (operators.quality checks that).
     Stored NULL amounts count as 0.
     """
-    months = merge_history(totals, stored, periods).select(
-        *OFFICE_KEY,
-        "produced",
-        month_index(effective_date(F.col("period_date"), F.col("ret_period"))).alias("month_idx"),
-        *[F.coalesce(F.col(name), F.lit(0)).cast(TOTAL).alias(name) for _, name in METRICS],
-    )
-    values = {f"{base}_{name}": _at(name, lag) for base, lag in GROWTH_BASES for _, name in METRICS}
+    kept = totals.columns
+    values = {f"{base}_{name}": _at(f"nz_{name}", lag) for base, lag in GROWTH_BASES for _, name in METRICS}
     averages = {
-        f"avg_{metric}_{span}m": _average(name, span) for metric, name in AVERAGE_METRICS for span in AVERAGE_MONTHS
+        f"avg_{metric}_{span}m": _average(f"nz_{name}", span)
+        for metric, name in AVERAGE_METRICS
+        for span in AVERAGE_MONTHS
     }
     growths = {
-        f"{base}_{metric}_growth": growth_percent(F.col(name), F.col(f"{base}_{name}"))
+        f"{base}_{metric}_growth": growth_percent(F.col(f"nz_{name}"), F.col(f"{base}_{name}"))
         for metric, name in METRICS
         for base, _ in GROWTH_BASES
     }
     monthly, yearly = F.col("mom_output_growth"), F.col("yoy_output_growth")
     return (
-        months.withColumns(values | averages)
+        merge_history(totals, stored, periods)
+        .withColumn("month_idx", month_index(effective_date(F.col("period_date"), F.col("ret_period"))))
+        .withColumns({f"nz_{name}": F.coalesce(F.col(name), F.lit(0)).cast(TOTAL) for _, name in METRICS})
+        .withColumns(values | averages)
         .filter("produced")
         .withColumns(growths)
         .withColumns({
             "growth_trend": office_trend(monthly, yearly),
             "growth_status": office_status(monthly, yearly),
         })
-        .select(*OFFICE_KEY, *GROWTH_COLUMNS)
+        .select(*kept, *GROWTH_COLUMNS)
     )
-
-
-def office_table(totals: DataFrame, growth: DataFrame) -> DataFrame:
-    """Totals with their growth columns: the full state of the produced periods."""
-    return totals.join(growth, list(OFFICE_KEY), "left")

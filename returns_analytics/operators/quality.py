@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from returns_analytics.errors import DuplicateKeys, GateFailed
 from returns_analytics.functions.keys import normalise
-from returns_analytics.functions.periods import effective_date, is_valid_period, month_index, shift_period
+from returns_analytics.functions.periods import effective_date, month_index, shift_period
 from returns_analytics.sources.tables import period_slice, period_slices
 
 
@@ -42,8 +42,8 @@ def _registration_flags(dealer: DataFrame, juri: DataFrame) -> DataFrame:
         .agg(
             F.max(office.isNull()).alias("no_office"),
             F.max(office.isNotNull() & F.col("known").isNull()).alias("unknown_office"),
-            # more than one distinct office, without a distinct count
-            F.coalesce(F.min(office) != F.max(office), F.lit(False)).alias("several_offices"),
+            # rows are distinct by (gstin, st_juri), so a plain count does
+            (F.count(office) > 1).alias("several_offices"),
         )
     )
 
@@ -147,9 +147,11 @@ def duplicate_mappings(summary: DataFrame, dealer: DataFrame, periods: Iterable[
     """Filers with registrations at more than one office, with the number of filed periods."""
     several = (
         dealer.filter(F.col("gstin").isNotNull() & F.col("st_juri").isNotNull())
+        .select("gstin", "st_juri")
+        .distinct()
         .groupBy("gstin")
-        .agg(F.min("st_juri").alias("first_office"), F.max("st_juri").alias("last_office"))
-        .filter(F.col("first_office") != F.col("last_office"))
+        .agg(F.count(F.lit(1)).alias("offices"))
+        .filter("offices > 1")
     )
     return (
         _period_taxpayers(summary, periods)
@@ -257,7 +259,3 @@ def enforce_failure_limit(rows_read: int, rows_failed: int, max_percent: float =
     """Stop if more than the allowed share of rows failed (strictly more)."""
     if rows_read and rows_failed * 100.0 / rows_read > max_percent:
         raise GateFailed(f"{rows_failed} of {rows_read} rows failed, more than {max_percent} percent")
-
-
-def valid_periods_only(rows: DataFrame) -> DataFrame:
-    return rows.filter(is_valid_period(F.col("ret_period")))

@@ -27,17 +27,19 @@ def upsert(
     keys: Sequence[str],
     update: Sequence[str],
     insert_defaults: Mapping[str, Column] | None = None,
+    drop_unmatched: bool = False,
 ) -> DataFrame:
     """Target after the merge, with the target's columns and types.
 
     ``update`` lists source columns that win on a match, NULLs included. Columns in
     ``insert_defaults`` are set when a row is inserted and preserved when it is updated.
+    ``drop_unmatched`` also removes target rows that the source does not name (stale ones).
     """
     defaults = dict(insert_defaults or {})
     stored = target.withColumn(_STORED, F.lit(True)).alias("t")
     fresh = source.select(*keys, *update).withColumn(_MATCH, F.lit(True)).alias("s")
     on = [F.col(f"t.{key}") == F.col(f"s.{key}") for key in keys]
-    merged = stored.join(fresh, on, "full_outer")
+    merged = stored.join(fresh, on, "right" if drop_unmatched else "full_outer")
     from_source = F.col(f"s.{_MATCH}").isNotNull()
     from_target = F.col(f"t.{_STORED}").isNotNull()
 
@@ -85,11 +87,6 @@ def stale_keys(stored: DataFrame, produced: DataFrame, keys: Sequence[str]) -> D
     return stored.select(*keys).join(produced.select(*keys), list(keys), "left_anti")
 
 
-def drop_stale(stored: DataFrame, produced: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Stored rows whose key is still produced."""
-    return stored.join(produced.select(*keys), list(keys), "left_semi")
-
-
 def with_audit(source: DataFrame, run_at: Column, columns: Sequence[str] = ("updated_at",)) -> DataFrame:
     """Stamp the audit columns a merge sets on every row it touches."""
     return source.withColumns({name: run_at.cast(T.TimestampType()) for name in columns})

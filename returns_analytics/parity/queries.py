@@ -645,13 +645,14 @@ def _(fx):
        from o_candidates c left join o_risk r on r.gstin = c.gstin and r.ret_period = c.effective_period""")
 def _(fx):
     summary = fx.table("summary")
-    rows = defaulters.with_effective_period(
+    return defaulters.with_effective_period(
         defaulters.eligible(fx.table("registration"), PERIOD),
         defaulters.latest_return(summary, PERIOD),
-        defaulters.last_filed(_growth(fx), summary, PERIOD),
+        defaulters.last_filed(_growth(fx), summary, PERIOD, risk=_risk(fx)),
+        _growth(fx),
+        _risk(fx),
         PERIOD,
     )
-    return defaulters.growth_and_risk(rows, _growth(fx), _risk(fx))
 
 
 def _candidates(fx: Fixtures) -> DataFrame:
@@ -829,9 +830,7 @@ def _(fx):
 def _stored_offices(fx: Fixtures) -> DataFrame:
     """The office table an earlier run left, from the repeated inputs."""
     def build() -> DataFrame:
-        totals = _repeated_offices(fx)
-        rows = totals.join(office.office_growth(totals), ["ret_period", "st_juri"])
-        return _with_times(rows, "created_at", "updated_at")
+        return _with_times(office.office_growth(_repeated_offices(fx)), "created_at", "updated_at")
 
     return fx.keep("offices_stored", build)
 
@@ -857,7 +856,7 @@ def _(fx):
 def _(fx):
     totals = _offices(fx)
     fresh = office.office_growth(totals)
-    empty = totals.join(fresh.filter("false"), ["ret_period", "st_juri"], "left")
+    empty = fresh.withColumns({name: F.lit(None).cast(fresh.schema[name].dataType) for name in office.GROWTH_COLUMNS})
     return pipelines.update_office_growth(
         _with_times(empty, "created_at", "updated_at"), fresh.filter("growth_trend <> 'MIXED'"), RUN_AT)
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from returns_analytics.functions.bands import RISK_THRESHOLDS
 from returns_analytics.operators import defaulters, growth, office, risk
 from returns_analytics.operators.trees import TreeModel
-from returns_analytics.operators.upsert import drop_stale, update_columns, upsert, with_audit
+from returns_analytics.operators.upsert import update_columns, upsert, with_audit
 from returns_analytics.schemas import OFFICE_KEY, TAXPAYER_KEY
 
 
@@ -66,7 +66,7 @@ def office_revenue(
     """
     wanted = None if periods is None else list(periods)
     totals = office.office_totals(summary, dealer, juri, wanted, name_column)
-    return office.office_table(totals, office.office_growth(totals, stored, wanted))
+    return office.office_growth(totals, stored, wanted)
 
 
 # --- merges into stored tables -------------------------------------------------------------
@@ -118,5 +118,4 @@ def merge_offices(target: DataFrame, offices: DataFrame, run_at: dt.datetime) ->
     now = F.lit(run_at)
     source = with_audit(offices, now)
     update = [*office.TOTAL_COLUMNS, *office.GROWTH_COLUMNS, "updated_at"]
-    kept = drop_stale(target, offices, OFFICE_KEY)
-    return upsert(kept, source, OFFICE_KEY, update, {"created_at": now})
+    return upsert(target, source, OFFICE_KEY, update, {"created_at": now}, drop_unmatched=True)
