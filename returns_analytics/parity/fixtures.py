@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from returns_analytics.session import tune
 from returns_analytics.sources.sinks import staging_folder
 from returns_analytics.sources.tables import read_parquet
 
@@ -27,6 +28,9 @@ RUN_AT = dt.datetime(2000, 8, 15, 2, 30)
 
 BASE_TABLES = ("supplier", "lineitem", "nation")
 
+#: tables stored by period, as in a deployment; the others are small or read whole
+PARTITIONED = ("summary", "summary_repeated", "history", "growth", "risk")
+
 #: derived table -> SQL over base tables and earlier derived tables; IDIV(a, b) is integer division
 DERIVED = {
     "sup": """
@@ -199,13 +203,15 @@ class Fixtures:
     """Derived tables of one data folder, as stored tables.
 
     A table is derived and written the first time it is asked for, in the shared checkpoint folder
-    (see sources.sinks), partitioned by ret_period where it has one. Queries then read it as they
-    would read the tables of a deployment.
+    (see sources.sinks). Queries then read it as they would read the tables of a deployment.
     """
 
     spark: SparkSession
     folder: str
 
+    def __post_init__(self) -> None:
+        tune(self.spark)
+
     def base(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
@@ -226,7 +232,7 @@ class Fixtures:
             rows = build()
             path = f"{staging_folder(self.spark)}/{zlib.crc32(self.folder.encode()):08x}/{name}"
             writer = rows.write
-            if "ret_period" in rows.columns:
+            if name in PARTITIONED:
                 writer = rows.hint("rebalance", "ret_period").write.partitionBy("ret_period")
             writer.mode("overwrite").parquet(path)
             _WRITTEN[key] = (path, rows.schema)

@@ -23,6 +23,7 @@ from returns_analytics.operators.trees import TreeModel
 from returns_analytics.operators.upsert import stale_keys
 from returns_analytics.plans import pipelines
 from returns_analytics.schemas import OFFICE_KEY, TAXPAYER_KEY
+from returns_analytics.session import tune
 from returns_analytics.sources.sinks import append_log, replace_periods, stage
 from returns_analytics.sources.tables import period_slice, require_registration, require_rows
 
@@ -107,7 +108,7 @@ def run_monthly(
 ) -> MonthlyOutcome:
     """Growth and then risk of one period. A period without returns stores nothing."""
     summary = inputs.summary
-    spark = summary.sparkSession
+    spark = tune(summary.sparkSession)
     counts = quality.source_counts(summary, [period]).first()
     if counts is None:
         return MonthlyOutcome(period, 0, 0, 0, 0, 0)
@@ -144,7 +145,7 @@ def run_defaulters(
     months: int = defaulters.HISTORY_MONTHS_DEFAULT,
 ) -> dict:
     """Evaluate a period, merge the results, log the rejects, and return the run summary."""
-    spark = inputs.summary.sparkSession
+    spark = tune(inputs.summary.sparkSession)
     due_date = defaulters.required_due_date(inputs.due, period)
     require_registration(inputs.registration, period)
     warning = quality.coverage_warning(growth, inputs.summary, period)
@@ -193,7 +194,7 @@ def run_office_revenue(
     inputs: Inputs, store: Store, period: str, run_at: dt.datetime, run_id: str
 ) -> dict:
     """Check the sources, compute the offices of a period, and store them all or not at all."""
-    spark = inputs.summary.sparkSession
+    spark = tune(inputs.summary.sparkSession)
     require_rows(period_slice(inputs.summary, period), f"summary of {period}")
     precheck = stage(quality.office_precheck(inputs.summary, inputs.dealer, inputs.juri, [period]))
     warnings = quality.enforce_precheck(precheck)
