@@ -61,6 +61,12 @@ def _dated_rows(summary: DataFrame) -> DataFrame:
     )
 
 
+def history_rows(summary: DataFrame, periods: list[str] | None) -> DataFrame:
+    """The dated rows that growth of the periods reads: theirs, and those up to twelve months before."""
+    rows = _dated_rows(summary)
+    return rows if periods is None else _reachable(rows, periods)
+
+
 def _in_history(column: str) -> Column:
     """A value as later months see it: rows without a stored date are never seen."""
     return F.when(F.col("period_date").isNotNull(), F.col(column))
@@ -114,9 +120,7 @@ def growth_history(summary: DataFrame, periods: Iterable[str] | None = None, uni
     (this runs one small aggregate to find the dates), and to the periods themselves after them.
     """
     wanted = None if periods is None else list(periods)
-    rows = _dated_rows(summary)
-    if wanted is not None:
-        rows = _reachable(rows, wanted)
+    rows = history_rows(summary, wanted)
     current = period_slices(rows, wanted).filter(is_valid_period(F.col("ret_period")))
     if unique_rows:
         parts = [c for c in _with_parts(rows).columns if c not in rows.columns]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from returns_analytics.errors import DuplicateKeys, GateFailed
 from returns_analytics.functions.keys import normalise
 from returns_analytics.functions.periods import effective_date, month_index, shift_period
+from returns_analytics.operators.growth import history_rows
 from returns_analytics.sources.tables import period_slice, period_slices
 
 
@@ -213,12 +214,12 @@ def duplicate_office_months(offices: DataFrame) -> DataFrame:
     return duplicate_keys(offices.withColumn("month_idx", month), ["st_juri", "month_idx"])
 
 
-def has_unique_dates(summary: DataFrame) -> bool:
-    """Whether no taxpayer has two rows at one date, which allows the one-shuffle growth plan. Eager."""
-    dated = summary.filter(F.col("gstin").isNotNull()).select(
-        "gstin", effective_date(F.col("period_date"), F.col("ret_period")).alias("compare_date")
-    )
-    return duplicate_keys(dated, ["gstin", "compare_date"]).isEmpty()
+def has_unique_dates(summary: DataFrame, periods: list[str] | None = None) -> bool:
+    """Whether no taxpayer has two rows at one date, which allows the one-shuffle growth plan. Eager.
+
+    For a list of periods, only the rows that their growth reads are looked at.
+    """
+    return duplicate_keys(history_rows(summary, periods), ["gstin", "compare_date"]).isEmpty()
 
 
 # --- coverage and failure rate -------------------------------------------------------------

@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Name of the defaulter job in logs, cut lengths, run states and messages.
 DEFAULTER_JOB = "RETURN_DEFAULTER"
@@ -15,6 +16,22 @@ CLEAN = ("COMPLETED", "Completed successfully")
 WITH_REJECTS = ("COMPLETED_WITH_ERRORS", "Completed with quarantined invalid source records")
 
 
+def _shape(texts: str, counts: str) -> T.StructType:
+    fields = [T.StructField(name, T.StringType()) for name in texts.split()]
+    return T.StructType(fields + [T.StructField(name, T.LongType()) for name in counts.split()])
+
+
+#: stored columns of the run logs
+RUN_LOG = _shape(
+    "run_id job_name ret_period status message",
+    "total_eligible scanned written skipped not_filed filed_late filed_on_time notice_eligible",
+)
+REVENUE_RUN_LOG = _shape(
+    "run_id ret_period status message",
+    "source_rows source_gstins offices_processed unmapped_registrations unmapped_jurisdictions duplicate_mappings",
+)
+
+
 def _count(flag: Column) -> Column:
     return F.count(F.when(flag, 1))
 
@@ -95,9 +112,20 @@ def revenue_run_summary(precheck: DataFrame, offices: DataFrame, run_id: str) ->
         "unmapped_registrations",
         "unmapped_jurisdictions",
         "duplicate_mappings",
+        F.lit("Office revenue batch completed successfully").alias("message"),
     )
 
 
+def failed_run(
+    spark: SparkSession, shape: T.StructType, run_id: str, period: str, error: Exception, length: int
+) -> DataFrame:
+    """Row of a run that stopped: state FAILED and the cut error text; counters are empty."""
+    known = {"run_id": run_id, "ret_period": period, "status": "FAILED", "message": str(error)[:length]}
+    if "job_name" in shape.fieldNames():
+        known["job_name"] = DEFAULTER_JOB
+    return spark.createDataFrame([tuple(known.get(name) for name in shape.fieldNames())], shape)
+
+
 def latest_runs(runs: DataFrame, keys: Sequence[str] = ("job_name", "ret_period")) -> DataFrame:
     """The newest run row per key; rows of the same instant are decided by run id."""
     order = Window.partitionBy(*keys).orderBy(F.col("started_at").desc_nulls_last(), F.col("run_id").desc())

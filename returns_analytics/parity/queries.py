@@ -723,13 +723,13 @@ def _(fx):
 
 
 @query("revenue_run_summary",
-       "s: run_id ret_period status; i: source_rows source_gstins offices_processed unmapped_registrations "
+       "s: run_id ret_period status message; i: source_rows source_gstins offices_processed unmapped_registrations "
        "unmapped_jurisdictions duplicate_mappings",
        f"""select '{RUN_ID}' run_id, s.ret_period, 'SUCCESS' status, count(*) source_rows, count(distinct s.gstin) source_gstins,
          coalesce(max(o.n),0) offices_processed,
          count(distinct case when r.gstin is null or r.st_juri is null then s.gstin end) unmapped_registrations,
          count(distinct case when r.st_juri is not null and j.jurisdiction_code is null then s.gstin end)
-           unmapped_jurisdictions, 0 duplicate_mappings
+           unmapped_jurisdictions, 0 duplicate_mappings, 'Office revenue batch completed successfully' message
        from summary s left join dealer r on r.gstin = s.gstin left join juri j on j.jurisdiction_code = r.st_juri
          left join (select ret_period, count(*) n from o_offices group by 1) o on o.ret_period = s.ret_period
        group by s.ret_period""")

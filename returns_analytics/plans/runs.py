@@ -8,7 +8,8 @@ is also how late returns get in.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -115,13 +116,14 @@ def run_monthly(
     missing = quality.missing_period_dates(summary, [period]).first().missing_dates
 
     # the uniqueness check reads two columns; it decides whether rows need combining by date
-    unique = quality.has_unique_dates(summary)
+    unique = quality.has_unique_dates(summary, [period])
     growth = stage(pipelines.growth_analytics(summary, [period], unique_rows=unique))
     quality.require_unique(growth, TAXPAYER_KEY)
     stored = period_slice(store.read(spark, "growth", growth_schema(growth)), period)
     replace_periods(stage(pipelines.merge_growth(stored, growth, run_at)), store.path("growth"))
 
-    scored = stage(risk.scored_returns(summary, model, [period]))
+    scored = stage(
+        risk.scored_returns(summary, model, [period]).select("gstin", "ret_period", "risk_score", "reject_reason"))
     counters = runs.risk_counters(scored).first()
     quality.enforce_failure_limit(counters.rows_read, counters.failed, max_failure_percent)
     profile, _ = risk.risk_profile_of(scored, model, thresholds)
@@ -144,8 +146,27 @@ def run_defaulters(
     run_id: str,
     months: int = defaulters.HISTORY_MONTHS_DEFAULT,
 ) -> dict:
-    """Evaluate a period, merge the results, log the rejects, and return the run summary."""
+    """Evaluate a period, merge the results, log the rejects, and return the run summary.
+
+    A run that stops is logged as failed and the error passed on.
+    """
     spark = tune(inputs.summary.sparkSession)
+    with _logged_failure(spark, store, "runs", runs.RUN_LOG, run_id, period, run_at, runs.MESSAGE_LENGTH):
+        return _evaluate_period(inputs, store, growth, risk_rows, period, as_of, run_at, run_id, months)
+
+
+def _evaluate_period(
+    inputs: Inputs,
+    store: Store,
+    growth: DataFrame,
+    risk_rows: DataFrame,
+    period: str,
+    as_of: dt.date,
+    run_at: dt.datetime,
+    run_id: str,
+    months: int,
+) -> dict:
+    spark = inputs.summary.sparkSession
     due_date = defaulters.required_due_date(inputs.due, period)
     require_registration(inputs.registration, period)
     warning = quality.coverage_warning(growth, inputs.summary, period)
@@ -177,11 +198,32 @@ def run_defaulters(
 
     eligible = defaulters.eligible_count(inputs.registration, period).withColumn("ret_period", F.lit(period))
     summary = runs.run_summary(runs.defaulter_counters(results, rejects), eligible, run_id)
-    append_log(
-        summary.withColumns({"started_at": F.lit(run_at), "note": F.lit(warning).cast("string")}), store.path("runs")
-    )
+    _log_run(summary, runs.RUN_LOG, run_at, store.path("runs"))
     row = summary.first()
-    return row.asDict() if row is not None else {}
+    return (row.asDict() if row is not None else {}) | {"warnings": [warning] if warning else []}
+
+
+def _log_run(row: DataFrame, shape: T.StructType, run_at: dt.datetime, path: str) -> None:
+    append_log(row.select(*shape.fieldNames(), F.lit(run_at).alias("started_at")), path)
+
+
+@contextmanager
+def _logged_failure(
+    spark: SparkSession,
+    store: Store,
+    table: str,
+    shape: T.StructType,
+    run_id: str,
+    period: str,
+    run_at: dt.datetime,
+    length: int,
+) -> Iterator[None]:
+    try:
+        yield
+    except Exception as error:
+        row = runs.failed_run(spark, shape, run_id, period, error, length)
+        _log_run(row, shape, run_at, store.path(table))
+        raise
 
 
 def _no_history(spark: SparkSession) -> DataFrame:
@@ -193,8 +235,18 @@ def _no_history(spark: SparkSession) -> DataFrame:
 def run_office_revenue(
     inputs: Inputs, store: Store, period: str, run_at: dt.datetime, run_id: str
 ) -> dict:
-    """Check the sources, compute the offices of a period, and store them all or not at all."""
+    """Check the sources, compute the offices of a period, and store them all or not at all.
+
+    A run that stops is logged as failed and the error passed on.
+    """
     spark = tune(inputs.summary.sparkSession)
+    shape, length = runs.REVENUE_RUN_LOG, runs.REVENUE_MESSAGE_LENGTH
+    with _logged_failure(spark, store, "revenue_runs", shape, run_id, period, run_at, length):
+        return _replace_offices(inputs, store, period, run_at, run_id)
+
+
+def _replace_offices(inputs: Inputs, store: Store, period: str, run_at: dt.datetime, run_id: str) -> dict:
+    spark = inputs.summary.sparkSession
     require_rows(period_slice(inputs.summary, period), f"summary of {period}")
     precheck = stage(quality.office_precheck(inputs.summary, inputs.dealer, inputs.juri, [period]))
     warnings = quality.enforce_precheck(precheck)
@@ -211,5 +263,5 @@ def run_office_revenue(
     replace_periods(stage(pipelines.merge_offices(target, offices, run_at)), store.path("offices"))
 
     summary = runs.revenue_run_summary(precheck, offices, run_id)
-    append_log(summary.withColumn("started_at", F.lit(run_at)), store.path("revenue_runs"))
+    _log_run(summary, runs.REVENUE_RUN_LOG, run_at, store.path("revenue_runs"))
     return summary.first().asDict() | {"stale_deleted": stale, "warnings": warnings}

@@ -64,6 +64,9 @@ def test_monthly_then_defaulters(spark, inputs, model, tmp_path):
     assert [r.run_id for r in runs.latest_runs(log).collect()] == ["run-2"]
     with pytest.raises(DueDateError):
         run_defaulters(inputs, store, growth, profile, "011990", AS_OF, NOW, "run-4")
+    failed = spark.read.parquet(store.path("runs")).filter("run_id = 'run-4'").first()
+    assert (failed.status, failed.job_name, failed.scanned) == ("FAILED", "RETURN_DEFAULTER", None)
+    assert "011990" in failed.message
 
 
 def test_failing_rows_stop_the_monthly_run(spark, inputs, model, tmp_path):
@@ -95,6 +98,9 @@ def test_office_revenue(spark, inputs, tmp_path):
         run_office_revenue(
             Inputs(inputs.summary, inputs.registration, doubled, inputs.juri, inputs.due), store, "052000", NOW, "bad")
     assert spark.read.parquet(store.path("offices")).count() == len(after)
+    log = spark.read.parquet(store.path("revenue_runs"))
+    assert {(r.run_id, r.status) for r in log.collect()} == {
+        ("run-042000", "SUCCESS"), ("run-052000", "SUCCESS"), ("run-again", "SUCCESS"), ("bad", "FAILED")}
 
 
 def test_period_write_replaces_only_its_periods(spark, tmp_path):
