@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 #: codegen.hugeMethodLimit: the plans hold wide projections of decimal arithmetic. Fused into one
 #: method they pass 8,000 bytes of bytecode, beyond which the JVM only interprets a method; with
 #: this limit Spark evaluates such a stage by split, compiled projections (measured on growth:
-#: 1.8 times as fast).
+#: 1.8 times as fast on the one-shuffle plan, 1.1 times on the default one).
 SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 _DEFAULTS = {"spark.sql.codegen.hugeMethodLimit": "65535"}
 
