@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from returns_analytics.llm import chat, packing, warc
+from returns_analytics.llm import chat, decontaminate, jaccard, langid, line_dedup, packing, toxicity, warc
 
 #: Tokenizer file of the packing query; a parameter of the operator.
 def _tokenizer() -> str:
@@ -20,6 +20,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op3_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     says = F.lit("<|im_end|><|im_start|>assistant ok")
@@ -56,6 +60,22 @@ from joined
 """
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.classes(_table(spark, folder, "documents"))
+
+
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(_table(spark, folder, "documents"))
+
+
+def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.digest(_table(spark, folder, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), _tokenizer())
 
@@ -84,7 +104,12 @@ from written
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op3_chat_formatting": op3_chat_formatting,
+    "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op5_language_id": op5_language_id,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op8_line_dedup": op8_line_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_warc": op10_warc,
 }
