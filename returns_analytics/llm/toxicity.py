@@ -29,8 +29,8 @@ from returns_analytics.llm.sampling import bounded, fold
 
 #: Rows the voters and the classifier are fitted on, words of the classifier, words per lexicon, lexicons.
 SAMPLE_ROWS, VOCABULARY, LEXICON_WORDS, LEXICONS = 16_000, 256, 4, 16
-#: Labelled rows of a class that a word has to occur in.
-LEAST_ROWS = 5
+#: Labelled rows of a class that a word has to occur in, and by how many standard errors it has to favour one.
+LEAST_ROWS, LEAST_Z = 5, 3.5
 FOLDS, HELD_OUT = 5, 0
 
 PATTERNS = ("exclamations", "capitals", "digits", "long_runs", "very_short")
@@ -141,7 +141,7 @@ def fit_label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 25) -> L
     return model
 
 
-def fit_linear(features: np.ndarray, target: np.ndarray, ridge: float = 1e-3, rounds: int = 40) -> np.ndarray:
+def fit_linear(features: np.ndarray, target: np.ndarray, ridge: float = 2e-4, rounds: int = 40) -> np.ndarray:
     """Weights and, last, intercept of a logistic regression on soft labels (Newton steps)."""
     x = np.column_stack([features, np.ones(len(features))])
     w = np.zeros(x.shape[1])
@@ -180,14 +180,11 @@ class Model:
 def _lexicon_votes(found: np.ndarray, patterns: np.ndarray, toxic_order: np.ndarray) -> np.ndarray:
     """Votes of the lexicons, of the absence of all their words, and of the patterns."""
     columns = []
-    for k in range(LEXICONS):
-        words = toxic_order[k * LEXICON_WORDS : (k + 1) * LEXICON_WORDS]
-        if len(words):
-            columns.append(np.where(found[:, words].any(axis=1), 1, 2))
     leading = toxic_order[: LEXICONS * LEXICON_WORDS]
-    for share in (4, 2, 1):
-        few = leading[: max(1, len(leading) // share)]
-        columns.append(np.where(found[:, few].any(axis=1), 2, 0))
+    for k in range(0, len(leading), LEXICON_WORDS):
+        columns.append(np.where(found[:, leading[k : k + LEXICON_WORDS]].any(axis=1), 1, 2))
+    if len(leading):
+        columns.append(np.where(found[:, leading].any(axis=1), 2, 0))
     columns += [np.where(patterns[:, k] > 0.5, 1, 2) for k in range(patterns.shape[1])]
     return np.column_stack(columns)
 
@@ -212,7 +209,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
     spread = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
     ranked = counts.filter(F.greatest("toxic", "clean") >= LEAST_ROWS).withColumn("z", odds / spread)
     # a bounded vocabulary is the feature: the words that tell the classes apart best
-    best = ranked.orderBy(F.abs("z").desc(), "word").limit(VOCABULARY).collect()
+    best = ranked.filter(F.abs("z") >= LEAST_Z).orderBy(F.abs("z").desc(), "word").limit(VOCABULARY).collect()
     best = sorted(((np.int64(r["hash"]).view(np.uint64), r["word"], r["z"]) for r in best), key=lambda r: int(r[0]))
     vocabulary = Vocabulary(np.array([r[0] for r in best], np.uint64))
     z = np.array([r[2] for r in best])
@@ -238,7 +235,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
     gold = np.array([row["toxic"] > 0 for row in sample], float)
     width = len(vocabulary.hashes)
     found = np.stack([
-        np.unpackbits(np.frombuffer(row["found"], np.uint8), count=width).astype(bool) for row in sample
+        np.unpackbits(np.frombuffer(row["found"], np.uint8))[:width].astype(bool) for row in sample
     ])
     patterns = np.array([row["patterns"] for row in sample])
     toxic_order = np.array([i for i in np.argsort(-z, kind="stable") if z[i] > 0], int)
