@@ -14,6 +14,7 @@ import pyarrow as pa
 #: Bytes of text handled at once; a longer row is a slice of its own.
 SLICE_BYTES = 1 << 20
 
+_ALL = (1 << 64) - 1
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _BYTE_CODE = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -119,7 +120,7 @@ def shingles(words: np.ndarray, rows: np.ndarray, n_rows: int, size: int) -> tup
     for k in range(size - 1):
         more = counts[short] > k
         less[more] = mix(less[more] + words[begin[short[more]] + k] + np.uint64(k + 1))
-    less = mix(less + np.uint64(size) * np.uint64(0x632BE59BD9B4E019))
+    less = mix(less + np.uint64(size * 0x632BE59BD9B4E019 & _ALL))
     return np.concatenate((values, less)), np.concatenate((rows[at], short))
 
 

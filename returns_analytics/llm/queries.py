@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from returns_analytics.llm import chat, decontaminate, jaccard, langid, line_dedup, packing, toxicity, warc
+from returns_analytics.llm import chat, decontaminate, jaccard, langid, line_dedup, neighbours, packing, toxicity, warc
 
 #: Tokenizer file of the packing query; a parameter of the operator.
 def _tokenizer() -> str:
@@ -72,6 +72,10 @@ def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.find(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op7_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.link(_table(spark, folder, "embeddings"))
+
+
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.digest(_table(spark, folder, "documents"))
 
@@ -109,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_language_id": op5_language_id,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_warc": op10_warc,
