@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from returns_analytics.llm import chat, decontaminate, jaccard, langid, line_dedup, neighbours, packing, toxicity, warc
+from returns_analytics.llm import chat, decontaminate, jaccard, langid, line_dedup, neighbours, packing, suffix_dedup, toxicity, warc
 
 #: Tokenizer file of the packing query; a parameter of the operator.
 def _tokenizer() -> str:
@@ -20,6 +20,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, folder, "documents"), digest=True)
+
+
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -108,6 +112,7 @@ from written
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,

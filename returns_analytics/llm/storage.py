@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from returns_analytics.sources.sinks import staging_folder
 
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a folder of any file system Spark reads."""
     java = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -32,7 +35,13 @@ class Scratch:
     def store(self, table: DataFrame) -> DataFrame:
         path = f"{self.folder}/{self._count}"
         self._count += 1
-        table.write.parquet(path)
+        # once stored, the shuffles of the table are read by nobody: let Spark remove their files at once
+        before = self.spark.conf.get(_CLEAN)
+        self.spark.conf.set(_CLEAN, "true")
+        try:
+            table.write.parquet(path)
+        finally:
+            self.spark.conf.set(_CLEAN, before)
         stored = self.spark.read.schema(table.schema).parquet(path)
         self._paths[id(stored)] = path
         return stored
