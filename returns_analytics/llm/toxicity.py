@@ -6,8 +6,9 @@ how often each voter votes in either class by expectation maximisation, and the
 within the classes; correlated voters share their weight. Its posteriors are the labels a linear
 classifier is trained on, which then scores every text.
 
-Word counts cover all labelled rows of the training folds; only the voters and the classifier are
-fitted on a bounded sample of them (``sample_rows``).
+All of it is fitted on a bounded sample of the labelled rows of the training folds (``sample_rows``), whose ids
+and labels are small enough to be sent to every task, so that no text is shuffled to meet its label.
+Every text is scored.
 
 Defined results: null and empty texts are scored by the intercept; without labelled rows of both classes
 nothing is known to be toxic and every score is 0; repeated rows are scored once each; a document with
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 from returns_analytics.llm.arrays import LOWER, PUNCTUATION, slices, span_hashes, word_bounds
 from returns_analytics.llm.sampling import bounded, fold
 
-#: Rows the voters and the classifier are fitted on, words of the classifier, words per lexicon, lexicons.
-SAMPLE_ROWS, VOCABULARY, LEXICON_WORDS, LEXICONS = 16_000, 256, 4, 16
+#: Labelled rows the voters and the classifier are fitted on, words of the classifier, words per lexicon, lexicons.
+SAMPLE_ROWS, VOCABULARY, LEXICON_WORDS, LEXICONS = 20_000, 256, 4, 16
 #: Labelled rows of a class that a word has to occur in, and by how many standard errors it has to favour one.
 LEAST_ROWS, LEAST_Z = 5, 3.5
 FOLDS, HELD_OUT = 5, 0
@@ -194,7 +195,9 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
     known = labels.filter("toxic is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     if held_out is not None:
         known = known.filter(fold(F.col("doc_id"), FOLDS) != held_out)
-    rows = documents.select("doc_id", "text").join(known, "doc_id")
+    known = bounded(known, "doc_id", sample_rows)
+    # at most about sample_rows ids and labels
+    rows = documents.select("doc_id", "text").join(F.broadcast(known), "doc_id")
     counts = (
         rows.select("text", "toxic")
         .mapInArrow(_count_words, "hash long, word string, toxic long, clean long")
@@ -229,7 +232,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
                     ["toxic", "found", "patterns"],
                 )
 
-    sample = bounded(rows, "doc_id", sample_rows).select("toxic", "text").mapInArrow(
+    sample = rows.select("toxic", "text").mapInArrow(
         look, "toxic int, found binary, patterns array<double>"
     ).collect()
     gold = np.array([row["toxic"] > 0 for row in sample], float)
