@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from returns_analytics.llm.arrays import PUNCTUATION, ragged, shingles, slices, span_hashes, word_bounds
+from returns_analytics.llm.storage import free_name
 
 SHINGLE, OVERLAP = 5, 0.8
 K1, B = 1.2, 0.75
@@ -250,9 +251,7 @@ def keep_clean(
     documents: DataFrame, benchmark: DataFrame, overlap: float = OVERLAP, shard_bytes: int = SHARD_BYTES
 ) -> DataFrame:
     """The rows of documents that hold no test item, all columns as they are."""
-    lowered = "_lower"
-    while lowered in documents.columns:
-        lowered += "_"
+    lowered = free_name("lower", documents.columns)
     for index in indexes(benchmark, overlap, shard_bytes):
 
         def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:

@@ -11,9 +11,10 @@ every linked pair meets: two sets this similar share one of the ``prefix`` shing
 common order, here the rarest first by a count of all shingles in hashed counters. Within a cell the
 trees prune. Equal sets are one point from the start.
 
-A cell of many near copies is not expanded into pairs: its members are compared with its first one,
-and only cells whose members are still in different components are searched further. No link between
-components is lost, so components are exact.
+A cell of many near copies is not expanded into pairs: first each point is verified with the partner
+of the largest bound, which is a likely link, and in the rounds after that only cells whose members
+are still in different components are searched, again for the best partners, in the last round for all.
+No link between components is lost, so components are exact.
 
 Defined results: words are in lower case (A-Z) and separated by ASCII white space; a set is that of the runs of
 ``size`` words, of a shorter text its whole sequence; null and empty texts and such without words have
@@ -23,7 +24,7 @@ its texts; a null doc_id is dropped; an empty table gives an empty table; extra
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,8 @@ from returns_analytics.llm.storage import Scratch
 SIZE, PERCENT = 4, 85
 #: Coordinates of a point, hashed counters of shingles, points of a tree leaf.
 GROUPS, COUNTERS, LEAF = 32, 1 << 20, 32
+#: Rounds in which points are verified with their best partners only, and bits of the filter of ids.
+BEST_ROUNDS, FILTER_BITS = 3, 1 << 23
 _KEY = np.uint64((1 << 40) - 1)
 _PIECE = 1 << 16
 
@@ -160,36 +163,60 @@ class CountTree:
         self.least_n = np.array([n[p].min() for p in parts])
         self.most_n = np.array([n[p].max() for p in parts])
 
-    def partners(self, at: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For the points ``at``: pairs of numbers whose overlap may reach what is required."""
+    def partners(self, at: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For the points ``at``: pairs of numbers whose overlap may reach what is required, and its bound."""
         for leaf, largest, least, most in zip(self.leaves, self.largest, self.least_n, self.most_n, strict=True):
             # smallest requirement of any member against the sum of coordinate minima with the node
-            bound = np.minimum(self.points[at], largest).sum(axis=1)
+            bound = np.minimum(self.points[at], largest).sum(axis=1, dtype=np.int64)
             near = (bound >= required(self.n[at], least, percent)) & (100 * least <= 100 * self.n[at] * 100 // percent)
             near &= 100 * most >= percent * self.n[at]
             for some in np.array_split(at[near], max(1, near.sum() * len(leaf) // 50_000)):
-                both = np.minimum(self.points[some][:, None], self.points[leaf][None]).sum(axis=2)
+                both = np.minimum(self.points[some][:, None], self.points[leaf][None]).sum(axis=2, dtype=np.int64)
                 i, j = np.nonzero(both >= required(self.n[some][:, None], self.n[leaf][None], percent))
-                yield some[i], leaf[j]
+                yield some[i], leaf[j], both[i, j]
 
 
-def _cells(percent: int, use: Callable[[dict[str, np.ndarray]], tuple[np.ndarray, np.ndarray]]):
-    """Pairs of points of each cell that ``use`` asks for and bounds let pass; rows come sorted by key.
+def _cells(percent: int, best: bool):
+    """Pairs (a, b) of points of each cell in different components that the bounds let pass, and the bound.
 
-    ``use`` gives the members to search from and a label: pairs of equal label are not returned.
+    Rows come sorted by key. ``best``: for each point only the pair with the largest bound, seen from a
+    as its best partner b; otherwise all pairs.
     """
 
-    def pairs(rows: dict[str, np.ndarray]) -> np.ndarray:
-        search, label = use(rows)
-        if not len(search):
-            return np.zeros((0, 2), np.int64)
-        points = np.frombuffer(b"".join(rows["point"]), "<u4").reshape(-1, GROUPS).astype(np.int64)
-        tree, out = CountTree(points, rows["n"]), []
-        for i, j in tree.partners(search, percent):
-            other = (label[i] != label[j]) & (rows["id"][i] != rows["id"][j])
-            out.append(np.column_stack([rows["id"][i[other]], rows["id"][j[other]]]))
-        found = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return np.unique(np.sort(found, axis=1), axis=0)
+    def pairs(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        points = np.frombuffer(b"".join(rows["point"]), "<u4").reshape(-1, GROUPS)
+        label, ids, n = rows["component"], rows["id"], rows["n"]
+        if points.max() < 1 << 8:
+            points = points.astype(np.uint8)
+        share = np.full(len(n), -1.0)
+        partner = np.full(len(n), -1)
+        out = []
+        common = np.bincount(np.unique(label, return_inverse=True)[1])
+        # a component that all but a few members belong to is searched from those few
+        names = np.unique(label)
+        search = np.flatnonzero(label != names[common.argmax()]) if not best and len(names) > 1 else np.arange(len(n))
+        for i, j, bound in CountTree(points, n).partners(search, percent):
+            other = (label[i] != label[j]) & (ids[i] != ids[j])
+            i, j, bound = i[other], j[other], bound[other]
+            if not best:
+                out.append((ids[i], ids[j], bound))
+                continue
+            value = bound / (n[i] + n[j] - bound)
+            # smallest partner of those with the largest share
+            order = np.lexsort((ids[j], -value, i))
+            i, j, value = i[order], j[order], value[order]
+            lead = np.ones(len(i), bool)
+            lead[1:] = i[1:] != i[:-1]
+            i, j, value = i[lead], j[lead], value[lead]
+            more = (value > share[i]) | ((value == share[i]) & (ids[j] < ids[partner[i]]))
+            share[i[more]], partner[i[more]] = value[more], j[more]
+        if best:
+            has = np.flatnonzero(partner >= 0)
+            return ids[has], ids[partner[has]], (share[has] * (1 << 20)).astype(np.int64)
+        if not out:
+            return (np.zeros(0, np.int64),) * 3
+        x, y, bound = (np.concatenate(o) for o in zip(*out, strict=True))
+        return np.minimum(x, y), np.maximum(x, y), bound
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -203,8 +230,9 @@ def _cells(percent: int, use: Callable[[dict[str, np.ndarray]], tuple[np.ndarray
             edges = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]))
             for a, b in zip(edges, edges[1:]):
                 out.append(pairs({name: values[a:b] for name, values in rows.items()}))
-            found = np.concatenate(out)
-            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([o[k] for o in out]).astype(np.int64)) for k in range(3)], ["a", "b", "bound"]
+            )
 
         for batch in batches:
             if not batch.num_rows:
@@ -224,20 +252,26 @@ def _cells(percent: int, use: Callable[[dict[str, np.ndarray]], tuple[np.ndarray
     return run
 
 
-def _far(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Search from members not close to the first one; every pair is wanted."""
-    return np.flatnonzero(~rows["close"].astype(bool)), np.arange(len(rows["id"]))
-
+def _id_filter(ids: DataFrame) -> np.ndarray:
+    """Bits of a table of fixed size, set for the hashes of the ids in column ``a``.
 
-def _apart(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Search between components, from the members outside that of the first one."""
-    label = rows["component"]
-    return np.flatnonzero(label != rows["first_component"]), label
+    It spares a shuffle of all texts to meet few ids: rows whose bit is not set are none of them.
+    """
+    at = F.pmod(F.xxhash64("a"), F.lit(FILTER_BITS))
+    words = ids.select((at % 64).cast("int").alias("bit"), F.floor(at / 64).alias("word")).groupBy("word").agg(
+        F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")
+    )
+    table = np.zeros(FILTER_BITS // 64, np.int64)
+    for row in words.collect():
+        table[row["word"]] = row["bits"]
+    return table
 
 
-def _hold_sets(size: int):
+def _hold_sets(size: int, bits: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            at = batch["at"].to_numpy()
+            batch = batch.filter(pa.array((bits[at // 64] >> (at % 64)) & 1 == 1))
             for first, values, begin in _sets(batch["text"], size):
                 packed = values.astype("<u8").tobytes()
                 yield pa.RecordBatch.from_arrays(
@@ -285,47 +319,30 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
         distinct.select(F.col("doc_id").alias("id"), "n", "one", "two", "point", "keys")
     )
     by_key = Window.partitionBy("key").orderBy("id")
+    # cells of one point are done; neighbours in the order show which these are
     cells = scratch.store(
         unique.select("id", F.explode("keys").alias("key"))
-        .select("key", "id", F.min("id").over(by_key).alias("first"), F.lead("id").over(by_key).alias("next"))
-        .filter("first <> id or next is not null")
-        .select("key", "id", "first")
+        .select("key", "id", F.lag("id").over(by_key).alias("last"), F.lead("id").over(by_key).alias("next"))
+        .filter("last is not null or next is not null")
+        .select("key", "id")
     )
     ids = unique.select("id", "n", "point")
-    # one document may have several texts under its id: points stay apart, links join the ids
-
-    def close(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose points allow a link."""
-        left = ids.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("point").alias("x"))
-        right = ids.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("point").alias("y"))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                x, y = (
-                    np.frombuffer(b"".join(batch[c].to_pylist()), "<u4").reshape(-1, GROUPS) for c in ("x", "y")
-                )
-                need = required(batch["n_a"].to_numpy(), batch["n_b"].to_numpy(), percent)
-                yield batch.select(["a", "b"]).filter(pa.array(np.minimum(x, y).sum(axis=1) >= need))
-
-        return pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "x", "y").mapInArrow(
-            run, "a long, b long"
-        ).distinct()
-
-    stars = cells.filter("first <> id").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    near = scratch.store(close(stars))
-    marked = cells.join(near.select(F.col("a").alias("first"), F.col("b").alias("id"), F.lit(True).alias("c")), ["first", "id"], "left")
-    marked = scratch.store(marked.select("key", "id", "first", (F.coalesce("c", F.lit(False)) | (F.col("id") == F.col("first"))).alias("close")))
-    loose = marked.groupBy("key").agg(F.min("close").alias("all")).filter("not all").select("key")
 
-    def search(rows: DataFrame, use) -> DataFrame:
+    def search(rows: DataFrame, best: bool) -> DataFrame:
         members = rows.join(ids, "id").repartition(tasks, "key").sortWithinPartitions("key", "id")
-        return members.mapInArrow(_cells(percent, use), "a long, b long").distinct()
-
-    far = scratch.store(search(marked.join(loose, "key").select("key", "id", "close"), _far))
-    # the sets of all documents that any pair to verify can hold, from one more reading of the texts
-    involved = near.select(F.col("a").alias("doc_id")).unionByName(near.select(F.col("b").alias("doc_id")))
-    involved = involved.unionByName(far.select(F.col("a").alias("doc_id"))).unionByName(far.select(F.col("b").alias("doc_id")))
-    sets = scratch.store(texts.join(involved.distinct(), "doc_id", "left_semi").mapInArrow(_hold_sets(size), "id long, held binary"))
+        pairs = members.select("key", "id", "component", "n", "point").mapInArrow(_cells(percent, best), "a long, b long, bound long")
+        if not best:
+            return pairs.select("a", "b").distinct()
+        chosen = pairs.groupBy("a").agg(F.max(F.struct("bound", F.negative("b").alias("b"))).alias("p"))
+        return chosen.select(F.least("a", F.negative("p.b")).alias("a"), F.greatest("a", F.negative("p.b")).alias("b")).distinct()
+
+    pairs = scratch.store(search(cells.withColumn("component", F.col("id")), True))
+    # every point with any partner has a best one: no other text is needed from here on
+    involved = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a")))
+    bits = _id_filter(involved)
+    held = texts.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("at"), "text")
+    sets = scratch.store(held.mapInArrow(_hold_sets(size, bits), "id long, held binary"))
+    live = scratch.store(cells.join(involved.select(F.col("a").alias("id")).distinct(), "id").select("key", "id"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("held").alias("x")), "a").join(
@@ -333,22 +350,20 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
         )
         return scratch.store(joined.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long").distinct())
 
-    # first the pair of each point with the smallest first member, and all pairs of the far ones
-    first_pairs = near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = verify(first_pairs.unionByName(far).distinct())
-    found = scratch.store(components(links, scratch))
-    label = lambda name, column: found.select(F.col("node").alias(name), F.col("component").alias(column))
-    labelled = (
-        marked.filter("close")
-        .join(label("id", "c"), "id", "left")
-        .join(label("first", "f"), "first", "left")
-        .select("key", "id", F.coalesce("c", "id").alias("component"), F.coalesce("f", "first").alias("first_component"))
-    )
-    labelled = scratch.store(labelled)
-    apart = labelled.groupBy("key").agg(F.max(F.col("component") != F.col("first_component")).alias("apart")).filter("apart").select("key")
-    more = verify(search(labelled.join(apart, "key"), _apart))
+    links = verify(pairs)
+    for number in range(BEST_ROUNDS):
+        found = scratch.store(components(links, scratch))
+        labelled = live.join(found.withColumnRenamed("node", "id"), "id", "left").select(
+            "key", "id", F.coalesce("component", "id").alias("component")
+        )
+        labelled = scratch.store(labelled)
+        mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        mixed = mixed.filter("low <> high").select("key")
+        pairs = scratch.store(search(labelled.join(mixed, "key"), number + 1 < BEST_ROUNDS))
+        new = verify(pairs)
+        links = links.unionByName(new)
     equal = points.filter("n > 0").join(firsts, digest).select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
-    final = components(links.unionByName(more).unionByName(equal), scratch)
+    final = components(links.unionByName(equal), scratch)
     sizes = points.groupBy("doc_id").agg(F.max("n").alias("n_shingles"))
     return sizes.join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from returns_analytics.llm.storage import Scratch
+from returns_analytics.llm.storage import Scratch, free_name
 
 #: Words a repeated run holds at least.
 MIN_WORDS = 50
@@ -148,17 +148,19 @@ def cut(text: str, runs: list[dict]) -> tuple[str, int, int]:
     return "\n".join(kept), len(lines), len(kept)
 
 
-def _with_runs(documents: DataFrame, min_words: int) -> DataFrame:
+def _with_runs(documents: DataFrame, columns: list[str], min_words: int) -> DataFrame:
+    """Columns of the documents and, last, the runs to delete."""
     runs = repeated_runs(documents, Scratch(documents.sparkSession, "lines"), min_words)
     doc, text_hash = _key()
     condition = (doc == runs["doc"]) & (text_hash == runs["text_hash"])
-    return documents.join(runs, condition, "left")
+    joined = documents.join(runs, condition, "left")
+    return joined.select(*[documents[c] for c in columns], runs["runs"].alias(free_name("runs", columns)))
 
 
 def dedup_lines(documents: DataFrame, min_words: int = MIN_WORDS, drop_empty: bool = True) -> DataFrame:
     """The documents without later copies; all columns. Documents that lose all their lines go, if asked."""
     at = documents.columns.index("text")
-    joined = _with_runs(documents, min_words).select(*[documents[c] for c in documents.columns], "runs")
+    joined = _with_runs(documents, documents.columns, min_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,7 +184,7 @@ def digest(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, n_lines, n_removed, n_runs and the kept text's SHA-256 of every document row."""
     import hashlib
 
-    joined = _with_runs(documents, min_words).select(documents["doc_id"], documents["text"], "runs")
+    joined = _with_runs(documents, ["doc_id", "text"], min_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -12,6 +12,13 @@ from returns_analytics.sources.sinks import staging_folder
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+def free_name(name: str, columns: list[str]) -> str:
+    """The name, or one like it that no column has."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a folder of any file system Spark reads."""
     java = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
