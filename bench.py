@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 
 from returns_analytics.parity.fixtures import Fixtures
 from returns_analytics.parity.queries import CATALOG
+from returns_analytics.session import tune
 
 
 def run(frame) -> float:
@@ -38,7 +39,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    fixtures = Fixtures(spark, folder)
+    fixtures = Fixtures(tune(spark), folder)
 
     start = time.perf_counter()
     for query in CATALOG.values():

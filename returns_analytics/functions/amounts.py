@@ -10,8 +10,9 @@ from returns_analytics.schemas import AMOUNT, PERCENT, SCORE
 # Fixed value: bound of every derived ratio.
 RATIO_BOUND = 9.9999
 
-#: totals are cut to 20 digits before a division, which leaves 17 digits after the point
-_DIVIDEND = "decimal(20,2)"
+#: totals of up to 18 integer digits are divided with 17 digits after the point, longer ones (up to
+#: the 24 of an office total) with 12
+_DIVIDEND, _LONG_DIVIDEND, _SHORT = "decimal(20,2)", "decimal(26,2)", 10**18
 
 
 def zero_if_null(amount: Column) -> Column:
@@ -24,12 +25,19 @@ def money(amount: Column) -> Column:
 
 
 def clamp_score(score: Column) -> Column:
-    """0..100 with two digits half-up; NULL and negative become 0.00.
+    """0..100 with two digits half-up; NULL and negative become 0.00, NaN and infinity NULL.
 
-    A double is cast to decimal through its shortest text, so it rounds half-up as printed.
+    It is clamped before it becomes a decimal, so no size of a number fails. A double is cast to
+    decimal through its shortest text, so it rounds half-up as printed.
     """
-    exact = F.coalesce(score, F.lit(0)).cast("decimal(38,18)")
-    return F.round(F.least(F.greatest(exact, F.lit(0)), F.lit(100)), 2).cast(SCORE)
+    within = F.least(F.greatest(F.coalesce(score, F.lit(0)), F.lit(0)), F.lit(100)).cast("decimal(38,18)")
+    return F.when(is_number(score), F.round(within, 2).cast(SCORE))
+
+
+def is_number(score: Column) -> Column:
+    """Neither NaN nor infinite; true for NULL."""
+    value = F.coalesce(score, F.lit(0)).cast("double")
+    return ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
 
 
 def output_tax(total: Column, igst: Column, cgst: Column, sgst: Column, cess: Column) -> Column:
@@ -46,9 +54,14 @@ def growth_ratio(current: Column, base: Column) -> Column:
 
 def growth_percent(current: Column, base: Column) -> Column:
     """Percent growth, rounded to 8 digits as a ratio and then to 2 as a percent, half-up."""
-    current, base = current.cast(_DIVIDEND), base.cast(_DIVIDEND)
-    ratio = F.when(base != 0, F.round((current - base) / F.abs(base), 8))
-    return F.round(ratio * 100, 2).cast(PERCENT)
+
+    def ratio(kind: str) -> Column:
+        now, before = current.cast(kind), base.cast(kind)
+        return F.round((now - before) / F.abs(before), 8)
+
+    short = (F.abs(current) < _SHORT) & (F.abs(base) < _SHORT)
+    value = F.when(short, ratio(_DIVIDEND)).otherwise(ratio(_LONG_DIVIDEND))
+    return F.when(base != 0, F.round(value * 100, 2).cast(PERCENT))
 
 
 def clipped_ratio(numerator: Column, denominator: Column) -> Column:

@@ -75,7 +75,8 @@ def risk_band(score: Column, thresholds: Sequence[float] = RISK_THRESHOLDS) -> C
 
 
 def default_level(score: Column) -> Column:
-    return _band(score, DEFAULT_THRESHOLDS, DEFAULT_LEVELS)
+    """NULL without a score."""
+    return F.when(score.isNotNull(), _band(score, DEFAULT_THRESHOLDS, DEFAULT_LEVELS))
 
 
 def _label(text: Column) -> Column:

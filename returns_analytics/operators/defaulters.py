@@ -113,7 +113,10 @@ def current_return(summary: DataFrame, population: DataFrame, period: str) -> Da
 
 
 def history_months(requested: int = HISTORY_MONTHS_DEFAULT) -> int:
-    return min(HISTORY_MONTHS_MAX, max(HISTORY_MONTHS_MIN, requested))
+    """The lookback as given; a length outside the allowed range raises."""
+    if not HISTORY_MONTHS_MIN <= requested <= HISTORY_MONTHS_MAX:
+        raise ValueError(f"the lookback must be {HISTORY_MONTHS_MIN} to {HISTORY_MONTHS_MAX} months, not {requested}")
+    return requested
 
 
 def last_filed(
@@ -122,11 +125,12 @@ def last_filed(
     period: str,
     months: int = HISTORY_MONTHS_DEFAULT,
     risk: DataFrame | None = None,
+    population: DataFrame | None = None,
 ) -> DataFrame:
     """Latest earlier growth row, within the lookback, whose return has a filing date.
 
-    It comes with its averages, its trend and, if ``risk`` is given, the risk of that period: all
-    three tables meet on (gstin, ret_period), so that no later join on the picked period is needed.
+    It comes with its averages and its trend. Only taxpayers of the population are looked at, before
+    anything meets; the risk table joins last, one row per taxpayer on the picked period.
     """
     start = F.lit(parse_period(period))
     recent = growth.filter(
@@ -138,6 +142,8 @@ def last_filed(
         F.col("growth_trend").alias("last_growth_trend"),
         *[F.col(f"avg_{n}m_output_tax").alias(f"avg_output_tax_{n}m") for n in (3, 6, 12)],
     )
+    if population is not None:
+        recent = recent.join(population.select("gstin"), "gstin", "left_semi")
     # The periods of the lookback prune the other tables' partitions at run time. They are distinct
     # valid periods, a few dozen and at most 120,000 short texts, so they are always small.
     periods = F.broadcast(recent.select("ret_period").filter(is_valid_period(F.col("ret_period"))).distinct())
@@ -148,25 +154,27 @@ def last_filed(
         .groupBy("gstin", "ret_period")
         .agg(F.max("filing_date").alias("last_filing_date"))
     )
+    if population is not None:
+        filed = filed.join(population.select("gstin"), "gstin", "left_semi")
     rows = recent.join(filed, ["gstin", "ret_period"])
     carried = ["last_filing_date", *[f"avg_output_tax_{n}m" for n in (3, 6, 12)], "last_growth_trend"]
-    if risk is not None:
-        risks = risk.join(periods, "ret_period", "left_semi").select(
-            "gstin",
-            "ret_period",
-            F.col("risk_level").alias("last_risk_level"),
-            F.col("risk_score").alias("last_risk_score"),
-        )
-        rows = rows.join(risks, ["gstin", "ret_period"], "left")
-        carried += ["last_risk_level", "last_risk_score"]
     order = Window.partitionBy("gstin").orderBy(
         F.col("period_date").desc(), F.col("last_filing_date").desc(), F.col("ret_period").desc()
     )
-    return (
+    picked = (
         rows.withColumn("rank", F.row_number().over(order))
         .filter("rank = 1")
         .select("gstin", F.col("ret_period").alias("last_filed_period"), *carried)
     )
+    if risk is None:
+        return picked
+    risks = risk.join(periods, "ret_period", "left_semi").select(
+        "gstin",
+        F.col("ret_period").alias("last_filed_period"),
+        F.col("risk_level").alias("last_risk_level"),
+        F.col("risk_score").alias("last_risk_score"),
+    )
+    return picked.join(risks, ["gstin", "last_filed_period"], "left")
 
 
 def historical_defaults(history: DataFrame, period: str) -> DataFrame:
@@ -231,10 +239,11 @@ def defaulter_candidates(
     growth and risk must be unique by (gstin, ret_period) and the jurisdiction master by code;
     otherwise taxpayers come out twice, which operators.quality.bad_taxpayer_keys finds.
     """
+    population = eligible(registration, period)
     rows = with_effective_period(
-        eligible(registration, period),
+        population,
         latest_return(summary, period),
-        last_filed(growth, summary, period, months, risk),
+        last_filed(growth, summary, period, months, risk, population),
         growth,
         risk,
         period,
@@ -280,7 +289,7 @@ REJECT_COLUMNS = ("gstin", "ret_period", "error_code", "error_message")
 
 def checked_candidates(candidates: DataFrame) -> DataFrame:
     """Candidates with the code of the first failing check (NULL if sound)."""
-    code = reject_code(*[F.col(c) for c in ("gstin", "ret_period", "due_date", "filed", "filing_date")])
+    code = reject_code(*[F.col(c) for c in ("gstin", "ret_period", "due_date", "filed", "filing_date", "risk_score")])
     return candidates.withColumn("error_code", code)
 
 

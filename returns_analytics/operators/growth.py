@@ -20,6 +20,8 @@ where this plays no part.
 
 from __future__ import annotations
 
+import calendar
+import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from returns_analytics.functions.amounts import growth_ratio, zero_if_null
 from returns_analytics.functions.bands import growth_trend
-from returns_analytics.functions.periods import effective_date, is_valid_period
+from returns_analytics.functions.periods import effective_date, is_valid_period, parse_period
 from returns_analytics.schemas import AVERAGE, RATIO
 from returns_analytics.sources.tables import period_slices
 
@@ -61,10 +63,42 @@ def _dated_rows(summary: DataFrame) -> DataFrame:
     )
 
 
-def history_rows(summary: DataFrame, periods: list[str] | None) -> DataFrame:
-    """The dated rows that growth of the periods reads: theirs, and those up to twelve months before."""
+Bounds = tuple[dt.date, dt.date]
+
+
+def month_bounds(periods: list[str]) -> Bounds:
+    """First and last day of the months of the periods."""
+    first = parse_period(min(periods, key=lambda p: p[2:] + p[:2]))
+    last = parse_period(max(periods, key=lambda p: p[2:] + p[:2]))
+    return first, last.replace(day=calendar.monthrange(last.year, last.month)[1])
+
+
+def date_bounds(summary: DataFrame, periods: list[str]) -> Bounds:
+    """First and last date at which rows of the periods are compared, their months included. Eager.
+
+    It only differs from the months of the periods if rows are dated outside them.
+    """
+    row = period_slices(_dated_rows(summary), periods).agg(F.min("compare_date"), F.max("compare_date")).first()
+    first, last = month_bounds(periods)
+    return min(first, row[0] or first), max(last, row[1] or last)
+
+
+def history_rows(summary: DataFrame, periods: list[str] | None, bounds: Bounds | None = None) -> DataFrame:
+    """The dated rows that growth of the periods reads: theirs, and those up to twelve months before.
+
+    Two scans that share no row: the partitions of the periods, and in the other partitions the rows dated
+    within reach, a range the files' statistics can be held against. ``bounds`` are the dates of the
+    rows of the periods (date_bounds); by default the months of the periods.
+    """
     rows = _dated_rows(summary)
-    return rows if periods is None else _reachable(rows, periods)
+    if periods is None:
+        return rows
+    if not periods:
+        return rows.filter(F.lit(False))
+    first, last = bounds or month_bounds(periods)
+    elsewhere = F.col("ret_period").isNull() | ~F.col("ret_period").isin(periods)
+    earlier = rows.filter(elsewhere & F.col("period_date").between(F.add_months(F.lit(first), -12), F.lit(last)))
+    return period_slices(rows, periods).unionByName(earlier)
 
 
 def _in_history(column: str) -> Column:
@@ -113,15 +147,20 @@ def _history_columns() -> dict[str, Column]:
     return columns
 
 
-def growth_history(summary: DataFrame, periods: Iterable[str] | None = None, unique_rows: bool = False) -> DataFrame:
-    """Summary rows with the value one and twelve months before and the trailing averages.
+def growth_history(
+    summary: DataFrame,
+    periods: Iterable[str] | None = None,
+    unique_rows: bool = False,
+    bounds: Bounds | None = None,
+) -> DataFrame:
+    """Summary rows with the value one and twelve months before and the trailing averages. Lazy.
 
-    For a list of periods the scan is limited to the dates they reach back to, before the windows
-    (this runs one small aggregate to find the dates), and to the periods themselves after them.
+    For a list of periods the scan is limited to what they reach back to (history_rows), before the
+    windows, and to the periods themselves after them.
     """
     wanted = None if periods is None else list(periods)
-    rows = history_rows(summary, wanted)
-    current = period_slices(rows, wanted).filter(is_valid_period(F.col("ret_period")))
+    rows = history_rows(summary, wanted, bounds)
+    current = period_slices(_dated_rows(summary), wanted).filter(is_valid_period(F.col("ret_period")))
     if unique_rows:
         parts = [c for c in _with_parts(rows).columns if c not in rows.columns]
         history = _with_parts(rows).filter(F.col("compare_date").isNotNull()).withColumns(_history_columns())
@@ -134,17 +173,6 @@ def growth_history(summary: DataFrame, periods: Iterable[str] | None = None, uni
     return current.join(history, _KEY, "left")
 
 
-def _reachable(rows: DataFrame, periods: list[str]) -> DataFrame:
-    """Rows of the periods and every row dated within twelve months before them."""
-    bounds = period_slices(rows, periods).agg(
-        F.add_months(F.min("compare_date"), -12).alias("first"), F.max("compare_date").alias("last")
-    ).first()
-    if bounds["first"] is None:
-        return period_slices(rows, periods)
-    dated = F.col("period_date").between(F.lit(bounds["first"]), F.lit(bounds["last"]))
-    return rows.filter(dated | F.col("ret_period").isin(periods))
-
-
 def growth_ratios(history: DataFrame) -> DataFrame:
     """Eight growth ratios (unrounded) from the values of growth_history."""
     return history.withColumns({

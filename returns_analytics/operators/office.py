@@ -76,13 +76,17 @@ def office_totals(
     a plain count and bounds what one taxpayer brings to the join; the office level then has
     partial sums on the map side, however few offices there are. Offices are named last, on the
     already small result. No side is hinted: Spark broadcasts one when its measured size allows.
+
+    For one period the taxpayer is the whole key, so sums and join share one exchange per side.
     """
-    returns = (
-        period_slices(summary, periods)
-        .filter(F.col("gstin").isNotNull() & is_valid_period(F.col("ret_period")))
-        .groupBy("ret_period", "gstin")
-        .agg(*[F.sum(zero_if_null(F.col(column))).alias(name) for column, name in TOTALS])
+    wanted = None if periods is None else list(periods)
+    rows = period_slices(summary, wanted).filter(F.col("gstin").isNotNull() & is_valid_period(F.col("ret_period")))
+    single = wanted is not None and len(wanted) == 1
+    returns = rows.groupBy(*(["gstin"] if single else ["ret_period", "gstin"])).agg(
+        *[F.sum(zero_if_null(F.col(column))).alias(name) for column, name in TOTALS]
     )
+    if single:
+        returns = returns.withColumn("ret_period", F.lit(wanted[0]))
     return (
         returns.join(dealer_offices(dealer), "gstin")
         .groupBy(*OFFICE_KEY)

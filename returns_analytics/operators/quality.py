@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from returns_analytics.errors import DuplicateKeys, GateFailed
 from returns_analytics.functions.keys import normalise
 from returns_analytics.functions.periods import effective_date, month_index, shift_period
-from returns_analytics.operators.growth import history_rows
+from returns_analytics.operators.growth import Bounds, history_rows
 from returns_analytics.sources.tables import period_slice, period_slices
 
 
@@ -214,12 +214,18 @@ def duplicate_office_months(offices: DataFrame) -> DataFrame:
     return duplicate_keys(offices.withColumn("month_idx", month), ["st_juri", "month_idx"])
 
 
-def has_unique_dates(summary: DataFrame, periods: list[str] | None = None) -> bool:
+def has_unique_dates(summary: DataFrame, periods: list[str] | None = None, bounds: Bounds | None = None) -> bool:
     """Whether no taxpayer has two rows at one date, which allows the one-shuffle growth plan. Eager.
 
     For a list of periods, only the rows that their growth reads are looked at.
     """
-    return duplicate_keys(history_rows(summary, periods), ["gstin", "compare_date"]).isEmpty()
+    return duplicate_keys(history_rows(summary, periods, bounds), ["gstin", "compare_date"]).isEmpty()
+
+
+def invalid_periods(summary: DataFrame) -> DataFrame:
+    """Rows whose return period is none, by its text: no computation produces a row for them."""
+    bad = F.col("ret_period").isNull() | ~is_valid_period(F.col("ret_period"))
+    return summary.filter(bad).groupBy("ret_period").agg(F.count(F.lit(1)).alias("rows"))
 
 
 # --- coverage and failure rate -------------------------------------------------------------

@@ -8,25 +8,21 @@ from pyspark.sql import functions as F
 from returns_analytics.functions.keys import normalise
 from returns_analytics.sources.sinks import stage
 
-# Page size used for a size that makes no sense, the largest page, the smallest range.
-DEFAULT_PAGE, MAX_PAGE = 1_000, 5_000
-MIN_RANGE = 1_000
 
-
-def page_size(requested: int) -> int:
-    if requested <= 0:
-        return DEFAULT_PAGE
-    return min(requested, MAX_PAGE)
+def _positive(size: int, what: str) -> int:
+    if size <= 0:
+        raise ValueError(f"{what} must be positive, not {size}")
+    return size
 
 
 def page_after(rows: DataFrame, key: str, size: int, start_after: str | None = None) -> DataFrame:
     """The first rows by key, optionally after a key (compared trimmed and in upper case).
 
-    The limit is the feature here; Spark keeps the first rows of each partition only.
+    The limit is the feature here, and the size is taken as given; Spark keeps the first rows of each partition only.
     """
     if start_after is not None and start_after.strip():
         rows = rows.filter(normalise(F.col(key)) > start_after.strip().upper())
-    return rows.orderBy(key).limit(page_size(size))
+    return rows.orderBy(key).limit(_positive(size, "the page size"))
 
 
 def key_slice(rows: DataFrame, key: str, first: str, last: str) -> DataFrame:
@@ -36,8 +32,7 @@ def key_slice(rows: DataFrame, key: str, first: str, last: str) -> DataFrame:
 
 def range_count(total_rows: int, rows_per_range: int) -> int:
     """Number of ranges that hold about the given number of rows each."""
-    size = max(MIN_RANGE, rows_per_range)
-    return max(1, -(-total_rows // size))
+    return max(1, -(-total_rows // _positive(rows_per_range, "the rows of a range")))
 
 
 def _bucket(position: str, n: int) -> Column:

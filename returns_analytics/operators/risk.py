@@ -75,7 +75,7 @@ def scored_returns(
     summary: DataFrame,
     model: TreeModel,
     periods: Iterable[str] | None = None,
-    arrow: bool | None = None,
+    arrow: bool = False,
 ) -> DataFrame:
     """Every return with its score or the reason it has none."""
     reason = F.col("reject_reason")

@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Name of the defaulter job in logs, cut lengths, run states and messages.
-DEFAULTER_JOB = "RETURN_DEFAULTER"
-CODE_LENGTH, MESSAGE_LENGTH, REVENUE_MESSAGE_LENGTH = 100, 1_000, 2_000
+# Names of the jobs in logs, run states and messages.
+DEFAULTER_JOB, MONTHLY_JOB = "RETURN_DEFAULTER", "MONTHLY_ANALYTICS"
 CLEAN = ("COMPLETED", "Completed successfully")
+RUNNING = ("RUNNING", "Run started")
 WITH_REJECTS = ("COMPLETED_WITH_ERRORS", "Completed with quarantined invalid source records")
 
 
@@ -30,6 +30,9 @@ REVENUE_RUN_LOG = _shape(
     "run_id ret_period status message",
     "source_rows source_gstins offices_processed unmapped_registrations unmapped_jurisdictions duplicate_mappings",
 )
+MONTHLY_LOG = _shape(
+    "run_id job_name ret_period status message", "source_rows growth_rows scored failed missing_dates"
+)
 
 
 def _count(flag: Column) -> Column:
@@ -37,14 +40,14 @@ def _count(flag: Column) -> Column:
 
 
 def reject_log(rejects: DataFrame, run_id: str, run_at: dt.datetime, job: str = DEFAULTER_JOB) -> DataFrame:
-    """Rows to append to the reject log; codes and texts are cut to their column lengths."""
+    """Rows to append to the reject log; codes and texts are kept whole."""
     return rejects.select(
         F.lit(run_id).alias("run_id"),
         F.lit(job).alias("job_name"),
         "gstin",
         "ret_period",
-        F.substring("error_code", 1, CODE_LENGTH).alias("error_code"),
-        F.substring("error_message", 1, MESSAGE_LENGTH).alias("error_message"),
+        "error_code",
+        "error_message",
         F.lit(0).alias("retry_count"),
         F.lit(run_at).cast("timestamp").alias("created_at"),
     )
@@ -78,24 +81,22 @@ def risk_counters(scored: DataFrame) -> DataFrame:
 
 
 def run_summary(counters: DataFrame, eligible: DataFrame, run_id: str) -> DataFrame:
-    """Final row of a defaulter run: population, counters, state and message."""
-    skipped = F.col("skipped") > 0
+    """Final row of a defaulter run: population, counters, state and message.
+
+    Starts from the population, so a run without candidates has its row, with counts of 0.
+    """
+    counts = ["scanned", "written", "skipped", "not_filed", "filed_late", "filed_on_time", "notice_eligible"]
+    skipped = F.coalesce(F.col("skipped"), F.lit(0)) > 0
     state = F.when(skipped, WITH_REJECTS[0]).otherwise(CLEAN[0])
     message = F.when(skipped, WITH_REJECTS[1]).otherwise(CLEAN[1])
-    return counters.join(eligible, "ret_period", "left").select(
+    return eligible.join(counters, "ret_period", "left").select(
         F.lit(run_id).alias("run_id"),
         F.lit(DEFAULTER_JOB).alias("job_name"),
         "ret_period",
         state.alias("status"),
         F.coalesce(F.col("eligible"), F.lit(0)).alias("total_eligible"),
-        "scanned",
-        "written",
-        "skipped",
-        "not_filed",
-        "filed_late",
-        "filed_on_time",
-        "notice_eligible",
-        F.substring(message, 1, MESSAGE_LENGTH).alias("message"),
+        *[F.coalesce(F.col(name), F.lit(0)).alias(name) for name in counts],
+        message.alias("message"),
     )
 
 
@@ -116,17 +117,21 @@ def revenue_run_summary(precheck: DataFrame, offices: DataFrame, run_id: str) ->
     )
 
 
-def failed_run(
-    spark: SparkSession, shape: T.StructType, run_id: str, period: str, error: Exception, length: int
+def run_row(
+    spark: SparkSession, shape: T.StructType, run_id: str, period: str, state: tuple[str, str], counters: dict | None = None
 ) -> DataFrame:
-    """Row of a run that stopped: state FAILED and the cut error text; counters are empty."""
-    known = {"run_id": run_id, "ret_period": period, "status": "FAILED", "message": str(error)[:length]}
+    """Row of a run in a state, with its message and what was counted so far; other counters are empty."""
+    known = {"run_id": run_id, "ret_period": period, "status": state[0], "message": state[1]}
     if "job_name" in shape.fieldNames():
-        known["job_name"] = DEFAULTER_JOB
+        known["job_name"] = MONTHLY_JOB if shape == MONTHLY_LOG else DEFAULTER_JOB
+    known |= {name: value for name, value in (counters or {}).items() if name in shape.fieldNames() and name not in known}
     return spark.createDataFrame([tuple(known.get(name) for name in shape.fieldNames())], shape)
 
 
 def latest_runs(runs: DataFrame, keys: Sequence[str] = ("job_name", "ret_period")) -> DataFrame:
-    """The newest run row per key; rows of the same instant are decided by run id."""
-    order = Window.partitionBy(*keys).orderBy(F.col("started_at").desc_nulls_last(), F.col("run_id").desc())
+    """The newest run row per key. Of one run its final row; runs of the same instant are decided by run id."""
+    order = [F.col("started_at").desc_nulls_last(), F.col("run_id").desc()]
+    if "finished_at" in runs.columns:
+        order.append(F.col("finished_at").desc_nulls_last())
+    order = Window.partitionBy(*keys).orderBy(*order)
     return runs.withColumn("rank", F.row_number().over(order)).filter("rank = 1").drop("rank")

@@ -24,9 +24,6 @@ from pyspark.sql import functions as F
 
 from returns_analytics.errors import GateFailed
 
-#: models with more nodes than this are scored over Arrow batches
-MAX_EXPRESSION_NODES = 500
-
 
 @dataclass(frozen=True)
 class TreeModel:
@@ -192,11 +189,10 @@ def _score_udf(model: TreeModel) -> Column:
     return score(*[F.col(name).cast("double") for name in model.features])
 
 
-def score(model: TreeModel, arrow: bool | None = None) -> Column:
+def score(model: TreeModel, arrow: bool = False) -> Column:
     """Score 0..1 of the feature columns named by the model.
 
-    ``arrow`` chooses the form; by default it follows from the size of the model.
+    By default the model is one Column, which suits models of some hundred nodes; ``arrow=True`` walks
+    the trees over Arrow batches and suits models of any size. Both give the same scores.
     """
-    if arrow is None:
-        arrow = model.node_count > MAX_EXPRESSION_NODES
     return _score_udf(model) if arrow else _score_expression(model)

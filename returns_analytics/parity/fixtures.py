@@ -15,7 +15,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from returns_analytics.session import tune
 from returns_analytics.sources.sinks import staging_folder
 from returns_analytics.sources.tables import read_parquet
 
@@ -209,9 +208,6 @@ class Fixtures:
     spark: SparkSession
     folder: str
 
-    def __post_init__(self) -> None:
-        tune(self.spark)
-
     def base(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 

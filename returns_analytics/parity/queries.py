@@ -264,12 +264,12 @@ def _(fx):
 
 @query("clipped_ratio", f"{_KEY}; n: ratio",
        """select gstin, ret_period, case when reversed_itc <= 0 then 0::double else least(greatest(
-         cast(total_output_tax as double)/cast(reversed_itc as double), -9.9999::double), 9.9999::double) end ratio
-       from summary where total_output_tax is not null""")
+         cast(total_output_tax as double)/cast(reversed_itc as double), -9.9999::double), 9.9999::double)
+         + 0 * cast(total_output_tax as double) end ratio
+       from summary""")
 def _(fx):
     ratio = amounts.clipped_ratio(F.col("total_output_tax").cast("double"), F.col("reversed_itc").cast("double"))
-    return fx.table("summary").filter("total_output_tax is not null").select(
-        "gstin", "ret_period", ratio.alias("ratio"))
+    return fx.table("summary").select("gstin", "ret_period", ratio.alias("ratio"))
 
 
 # --- labels and bands ----------------------------------------------------------------------
@@ -312,12 +312,12 @@ def _(fx):
 _OB_STATUS = oracle.status_of("filed", "filing_date", "due_date", oracle.AS_OF)
 _OB_DELAY = oracle.delay_of("filed", "filing_date", "due_date", oracle.AS_OF)
 _OB_SCORE = oracle.default_cents("filing_status", "delay_days", "past", "risk_in", "label")
-_OB_SOUND = f"select *, {_OB_STATUS} filing_status, {_OB_DELAY} delay_days from obligations where not filed or filing_date is not null"
+_OB_SOUND = f"select *, {_OB_STATUS} filing_status, {_OB_DELAY} delay_days from obligations"
 
 
 def _obligations(fx: Fixtures) -> DataFrame:
     today = F.lit(AS_OF)
-    rows = fx.table("obligations").filter("not filed or filing_date is not null")
+    rows = fx.table("obligations")
     case = (F.col("filed"), F.col("filing_date"), F.col("due_date"), today)
     rows = rows.withColumns({
         "filing_status": filing.filing_status(*case), "delay_days": filing.delay_days(*case)})
@@ -387,6 +387,21 @@ def _(fx):
     return pipelines.growth_analytics(fx.table("summary"))
 
 
+def _some_growth(fx: Fixtures, periods: list[str]) -> DataFrame:
+    summary = fx.table("summary")
+    return pipelines.growth_analytics(summary, periods, bounds=growth.date_bounds(summary, periods))
+
+
+@query("growth_period", _GROWTH, f"{oracle.GROWTH_TABLE} where ret_period = '{PERIOD}'")
+def _(fx):
+    return _some_growth(fx, [PERIOD])
+
+
+@query("growth_periods", _GROWTH, f"{oracle.GROWTH_TABLE} where ret_period in ('{PERIOD}', '051997', '011999')")
+def _(fx):
+    return _some_growth(fx, [PERIOD, "051997", "011999"])
+
+
 @query("growth_analytics_unique", _GROWTH, oracle.GROWTH_TABLE)
 def _(fx):
     return pipelines.growth_analytics(fx.table("summary"), unique_rows=True)
@@ -408,6 +423,13 @@ def _(fx):
     return office.office_growth(produced, _repeated_offices(fx))
 
 
+@query("office_revenue_period", f"{_OFFICE_TOTALS}; {_OFFICE_GROWTH}",
+       f"select {oracle.OFFICE_TOTAL_COLUMNS}, {oracle.OFFICE_GROWTH_COLUMNS} from o_offices o "
+       f"join o_office_growth g on g.ret_period = o.ret_period and g.st_juri = o.st_juri where o.ret_period = '{PERIOD}'")
+def _(fx):
+    return pipelines.office_revenue(fx.table("summary"), fx.table("dealer"), fx.table("juri"), _offices(fx), [PERIOD])
+
+
 @query("office_revenue", f"{_OFFICE_TOTALS}; {_OFFICE_GROWTH}",
        f"select {oracle.OFFICE_TOTAL_COLUMNS}, {oracle.OFFICE_GROWTH_COLUMNS} from o_offices o "
        "join o_office_growth g on g.ret_period = o.ret_period and g.st_juri = o.st_juri")
@@ -722,6 +744,20 @@ def _(fx):
     return runs.run_summary(counters, population, RUN_ID)
 
 
+@query("run_summary_empty", f"s: run_id job_name ret_period status message; i: total_eligible; {_COUNTERS}",
+       f"""select '{RUN_ID}' run_id, 'RETURN_DEFAULTER' job_name, '{PERIOD}' ret_period, 'COMPLETED' status,
+         'Completed successfully' message, n total_eligible, n scanned, n written, n skipped, n not_filed, n filed_late,
+         n filed_on_time, n notice_eligible
+       from (select count(*) n from registration where auth_status = 'NOBODY') x""")
+def _(fx):
+    nobody = fx.table("registration").filter("auth_status = 'NOBODY'")
+    candidates = defaulters.defaulter_candidates(
+        nobody, fx.table("summary"), _growth(fx), _risk(fx), fx.table("history"), fx.table("juri"), PERIOD, DUE)
+    counters = runs.defaulter_counters(*defaulters.evaluate_defaulters(candidates, AS_OF))
+    return runs.run_summary(
+        counters, defaulters.eligible_count(nobody, PERIOD).withColumn("ret_period", F.lit(PERIOD)), RUN_ID)
+
+
 @query("revenue_run_summary",
        "s: run_id ret_period status message; i: source_rows source_gstins offices_processed unmapped_registrations "
        "unmapped_jurisdictions duplicate_mappings",
@@ -755,9 +791,9 @@ def _(fx):
 # --- pages and ranges ----------------------------------------------------------------------
 
 @query("page_after", "s: gstin st_juri",
-       "select * from o_eligible where gstin > '11ABCDE' order by gstin limit 1000")
+       "select * from o_eligible where gstin > '11ABCDE' order by gstin limit 40")
 def _(fx):
-    return ranges.page_after(defaulters.eligible(fx.table("registration"), PERIOD), "gstin", 0, " 11abcde ")
+    return ranges.page_after(defaulters.eligible(fx.table("registration"), PERIOD), "gstin", 40, " 11abcde ")
 
 
 @query("key_slice", f"{_KEY}; n: taxable_value",

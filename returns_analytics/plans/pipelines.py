@@ -16,10 +16,16 @@ from returns_analytics.schemas import OFFICE_KEY, TAXPAYER_KEY
 
 
 def growth_analytics(
-    summary: DataFrame, periods: Iterable[str] | None = None, unique_rows: bool = False
+    summary: DataFrame,
+    periods: Iterable[str] | None = None,
+    unique_rows: bool = False,
+    bounds: growth.Bounds | None = None,
 ) -> DataFrame:
-    """Growth table of the periods (all for None) in one pass over the history."""
-    return growth.growth_table(growth.growth_history(summary, periods, unique_rows))
+    """Growth table of the periods (all for None) in one pass over the history they reach back to.
+
+    ``bounds``: see growth.history_rows.
+    """
+    return growth.growth_table(growth.growth_history(summary, periods, unique_rows, bounds))
 
 
 def risk_profile(
@@ -27,7 +33,7 @@ def risk_profile(
     model: TreeModel,
     periods: Iterable[str] | None = None,
     thresholds: Sequence[float] = RISK_THRESHOLDS,
-    arrow: bool | None = None,
+    arrow: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(profile, rejects) of the periods."""
     return risk.risk_profile_of(risk.scored_returns(summary, model, periods, arrow), model, thresholds)

@@ -8,6 +8,7 @@ is also how late returns get in.
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -19,12 +20,13 @@ from pyspark.sql import types as T
 
 from returns_analytics.errors import GateFailed
 from returns_analytics.functions.bands import RISK_THRESHOLDS
+from returns_analytics.functions.periods import shift_period
 from returns_analytics.operators import defaulters, quality, risk, runs
+from returns_analytics.operators.growth import date_bounds
 from returns_analytics.operators.trees import TreeModel
 from returns_analytics.operators.upsert import stale_keys
 from returns_analytics.plans import pipelines
 from returns_analytics.schemas import OFFICE_KEY, TAXPAYER_KEY
-from returns_analytics.session import tune
 from returns_analytics.sources.sinks import append_log, replace_periods, stage
 from returns_analytics.sources.tables import period_slice, require_registration, require_rows
 
@@ -107,32 +109,52 @@ def run_monthly(
     thresholds: Sequence[float] = RISK_THRESHOLDS,
     max_failure_percent: float = 1.0,
 ) -> MonthlyOutcome:
-    """Growth and then risk of one period. A period without returns stores nothing."""
-    summary = inputs.summary
-    spark = tune(summary.sparkSession)
+    """Growth and then risk of one period. A period without returns stores nothing but its log rows.
+
+    The run is logged when it starts and when it ends or stops, with what was counted so far.
+    """
+    with _logged(store, inputs.summary.sparkSession, "monthly_runs", runs.MONTHLY_LOG, str(batch_id), period, run_at) as counted:
+        _store_month(inputs, store, model, period, run_at, batch_id, thresholds, max_failure_percent, counted)
+    return MonthlyOutcome(period, *[counted[name] for name in ("source_rows", "growth_rows", "scored", "failed", "missing_dates")])
+
+
+def _store_month(
+    inputs: Inputs,
+    store: Store,
+    model: TreeModel,
+    period: str,
+    run_at: dt.datetime,
+    batch_id: int,
+    thresholds: Sequence[float],
+    max_failure_percent: float,
+    counted: dict,
+) -> None:
+    summary, spark = inputs.summary, inputs.summary.sparkSession
+    counted |= dict.fromkeys(("source_rows", "growth_rows", "scored", "failed", "missing_dates"), 0)
     counts = quality.source_counts(summary, [period]).first()
     if counts is None:
-        return MonthlyOutcome(period, 0, 0, 0, 0, 0)
-    missing = quality.missing_period_dates(summary, [period]).first().missing_dates
-
-    # the uniqueness check reads two columns; it decides whether rows need combining by date
-    unique = quality.has_unique_dates(summary, [period])
-    growth = stage(pipelines.growth_analytics(summary, [period], unique_rows=unique))
+        return
+    counted["source_rows"] = counts.source_rows
+    counted["missing_dates"] = quality.missing_period_dates(summary, [period]).first().missing_dates
+
+    # what the period reaches back to, and whether rows need combining by date: two pruned scans
+    bounds = date_bounds(summary, [period])
+    unique = quality.has_unique_dates(summary, [period], bounds)
+    growth = stage(pipelines.growth_analytics(summary, [period], unique, bounds))
     quality.require_unique(growth, TAXPAYER_KEY)
     stored = period_slice(store.read(spark, "growth", growth_schema(growth)), period)
     replace_periods(stage(pipelines.merge_growth(stored, growth, run_at)), store.path("growth"))
+    counted["growth_rows"] = growth.count()
 
     scored = stage(
         risk.scored_returns(summary, model, [period]).select("gstin", "ret_period", "risk_score", "reject_reason"))
     counters = runs.risk_counters(scored).first()
+    counted |= {"scored": counters.scored, "failed": counters.failed}
     quality.enforce_failure_limit(counters.rows_read, counters.failed, max_failure_percent)
     profile, _ = risk.risk_profile_of(scored, model, thresholds)
     quality.require_unique(profile, TAXPAYER_KEY)
     stored = period_slice(store.read(spark, "risk", risk_schema(profile)), period)
     replace_periods(stage(pipelines.merge_risk(stored, profile, run_at, batch_id)), store.path("risk"))
-    return MonthlyOutcome(
-        period, counts.source_rows, growth.count(), counters.scored, counters.failed, missing
-    )
 
 
 def run_defaulters(
@@ -148,11 +170,15 @@ def run_defaulters(
 ) -> dict:
     """Evaluate a period, merge the results, log the rejects, and return the run summary.
 
-    A run that stops is logged as failed and the error passed on.
+    A run begins once its due date is known and its registrations are there; what fails before is raised
+    and not logged. From then on a run that stops is logged as failed, with what was counted so far,
+    and the error passed on.
     """
-    spark = tune(inputs.summary.sparkSession)
-    with _logged_failure(spark, store, "runs", runs.RUN_LOG, run_id, period, run_at, runs.MESSAGE_LENGTH):
-        return _evaluate_period(inputs, store, growth, risk_rows, period, as_of, run_at, run_id, months)
+    due_date = defaulters.required_due_date(inputs.due, period)
+    require_registration(inputs.registration, period)
+    with _logged(store, inputs.summary.sparkSession, "runs", runs.RUN_LOG, run_id, period, run_at) as counted:
+        return _evaluate_period(
+            inputs, store, growth, risk_rows, period, due_date, as_of, run_at, run_id, months, counted)
 
 
 def _evaluate_period(
@@ -161,15 +187,17 @@ def _evaluate_period(
     growth: DataFrame,
     risk_rows: DataFrame,
     period: str,
+    due_date: dt.date,
     as_of: dt.date,
     run_at: dt.datetime,
     run_id: str,
     months: int,
+    counted: dict,
 ) -> dict:
     spark = inputs.summary.sparkSession
-    due_date = defaulters.required_due_date(inputs.due, period)
-    require_registration(inputs.registration, period)
     warning = quality.coverage_warning(growth, inputs.summary, period)
+    eligible = defaulters.eligible_count(inputs.registration, period).withColumn("ret_period", F.lit(period))
+    counted["total_eligible"] = eligible.first().eligible
 
     # the candidates' own earlier results are their history: read it before anything is written
     shape = defaulters.results_of(
@@ -192,38 +220,49 @@ def _evaluate_period(
         raise GateFailed(f"taxpayer {bad.gstin} comes out {bad.n} times; growth, risk or jurisdictions hold duplicates")
 
     results, rejects = defaulters.results_of(checked, as_of), defaulters.rejects_of(checked)
+    row = runs.run_summary(runs.defaulter_counters(results, rejects), eligible, run_id).first()
+    counted |= row.asDict()
     target = period_slice(stored, period)
     replace_periods(stage(pipelines.merge_defaulters(target, results, run_at)), store.path("defaulters"))
     append_log(runs.reject_log(rejects, run_id, run_at), store.path("rejects"))
-
-    eligible = defaulters.eligible_count(inputs.registration, period).withColumn("ret_period", F.lit(period))
-    summary = runs.run_summary(runs.defaulter_counters(results, rejects), eligible, run_id)
-    _log_run(summary, runs.RUN_LOG, run_at, store.path("runs"))
-    row = summary.first()
-    return (row.asDict() if row is not None else {}) | {"warnings": [warning] if warning else []}
-
-
-def _log_run(row: DataFrame, shape: T.StructType, run_at: dt.datetime, path: str) -> None:
-    append_log(row.select(*shape.fieldNames(), F.lit(run_at).alias("started_at")), path)
+    counted["state"] = (row.status, row.message)
+    return row.asDict() | {"warnings": [warning] if warning else []}
 
 
 @contextmanager
-def _logged_failure(
-    spark: SparkSession,
+def _logged(
     store: Store,
+    spark: SparkSession,
     table: str,
     shape: T.StructType,
     run_id: str,
     period: str,
     run_at: dt.datetime,
-    length: int,
-) -> Iterator[None]:
+    done: tuple[str, str] = runs.CLEAN,
+) -> Iterator[dict]:
+    """Log a run as running, then as ended or failed. Gives the dict the run writes its counters to.
+
+    Its entry ``state`` replaces the state and message of a run that ended. Both rows of a run share their
+    start; the final one has the time it finished.
+    """
+    counted: dict = {}
+    began = time.monotonic()
+
+    def log(state: tuple[str, str], finished: dt.datetime | None) -> None:
+        rows = runs.run_row(spark, shape, run_id, period, state, counted)
+        times = (("started_at", run_at), ("finished_at", finished))
+        append_log(rows.withColumns({n: F.lit(t).cast("timestamp") for n, t in times}), store.path(table))
+
+    def finished() -> dt.datetime:
+        return run_at + dt.timedelta(seconds=time.monotonic() - began)
+
+    log(runs.RUNNING, None)
     try:
-        yield
+        yield counted
     except Exception as error:
-        row = runs.failed_run(spark, shape, run_id, period, error, length)
-        _log_run(row, shape, run_at, store.path(table))
+        log(("FAILED", str(error)), finished())
         raise
+    log(counted.pop("state", done), finished())
 
 
 def _no_history(spark: SparkSession) -> DataFrame:
@@ -237,31 +276,36 @@ def run_office_revenue(
 ) -> dict:
     """Check the sources, compute the offices of a period, and store them all or not at all.
 
-    A run that stops is logged as failed and the error passed on.
+    The run is logged when it starts and when it ends or stops, with what was counted so far.
     """
-    spark = tune(inputs.summary.sparkSession)
-    shape, length = runs.REVENUE_RUN_LOG, runs.REVENUE_MESSAGE_LENGTH
-    with _logged_failure(spark, store, "revenue_runs", shape, run_id, period, run_at, length):
-        return _replace_offices(inputs, store, period, run_at, run_id)
+    spark = inputs.summary.sparkSession
+    with _logged(store, spark, "revenue_runs", runs.REVENUE_RUN_LOG, run_id, period, run_at) as counted:
+        return _replace_offices(inputs, store, period, run_at, run_id, counted)
 
 
-def _replace_offices(inputs: Inputs, store: Store, period: str, run_at: dt.datetime, run_id: str) -> dict:
+def _replace_offices(
+    inputs: Inputs, store: Store, period: str, run_at: dt.datetime, run_id: str, counted: dict
+) -> dict:
     spark = inputs.summary.sparkSession
     require_rows(period_slice(inputs.summary, period), f"summary of {period}")
     precheck = stage(quality.office_precheck(inputs.summary, inputs.dealer, inputs.juri, [period]))
+    for row in precheck.collect():  # one row: a single period
+        counted |= row.asDict()
     warnings = quality.enforce_precheck(precheck)
 
     plan = pipelines.office_revenue(inputs.summary, inputs.dealer, inputs.juri, None, [period])
     stored = store.read(spark, "offices", office_schema(plan))
-    months = quality.duplicate_office_months(stored).first()
+    # the months that growth and averages of the period look at
+    reach = [shift_period(period, -back) for back in range(13)]
+    months = quality.duplicate_office_months(stored.filter(F.col("ret_period").isin(reach))).first()
     if months is not None:
         raise GateFailed(f"office {months.st_juri} is stored {months.n} times for one month")
     offices = stage(pipelines.office_revenue(inputs.summary, inputs.dealer, inputs.juri, stored, [period]))
     require_rows(offices, f"mapped offices of {period}")
     target = period_slice(stored, period)
     stale = stale_keys(target, offices, OFFICE_KEY).count()
+    summary = runs.revenue_run_summary(precheck, offices, run_id).first()
+    counted |= summary.asDict()
     replace_periods(stage(pipelines.merge_offices(target, offices, run_at)), store.path("offices"))
-
-    summary = runs.revenue_run_summary(precheck, offices, run_id)
-    _log_run(summary, runs.REVENUE_RUN_LOG, run_at, store.path("revenue_runs"))
-    return summary.first().asDict() | {"stale_deleted": stale, "warnings": warnings}
+    counted["state"] = (summary.status, summary.message)
+    return summary.asDict() | {"stale_deleted": stale, "warnings": warnings}

@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; fall back to a new local one only if none is set."""
+    """Use the shared folder the cluster names; a new local one only where all tasks run on this machine."""
     context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(shared)
     elif context.getCheckpointDir() is None:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="returns-checkpoint-"))
 
 

@@ -124,5 +124,8 @@ def test_lookback(spark):
     # 37 months back is outside by default and inside with a longer lookback; short ones are raised to a year
     far = defaulters.last_filed(growth, table, PERIOD, months=37)
     assert (G[5], "051997") in collect(far, "gstin", "last_filed_period")
-    assert defaulters.history_months(1) == 12 and defaulters.history_months(999) == 120
+    assert [defaulters.history_months(n) for n in (12, 36, 120)] == [12, 36, 120]
+    for months in (6, 240):
+        with pytest.raises(ValueError):
+            defaulters.history_months(months)
     assert month("051997") == dt.date(1997, 5, 1)

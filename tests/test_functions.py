@@ -187,17 +187,45 @@ def test_default_score(spark, status, delay, past, risk, growth, points):
 
 def test_reject_codes_by_precedence(spark):
     rows = [
-        ("bad", "13", None, True, None),
-        (GOOD, "13", None, True, None),
-        (GOOD, "062000", None, True, None),
-        (GOOD, "062000", DUE, True, None),
-        (GOOD, "062000", DUE, False, None),
-        (f" {RELAXED.lower()} ", "062000", DUE, True, DUE),
-        (None, "062000", DUE, True, DUE),
+        ("bad", "13", None, True, None, 0.0),
+        (GOOD, "13", None, True, None, 0.0),
+        (GOOD, "062000", None, True, None, 0.0),
+        (GOOD, "062000", DUE, True, None, float("nan")),
+        (GOOD, "062000", DUE, False, None, None),
+        (f" {RELAXED.lower()} ", "062000", DUE, True, DUE, 1e25),
+        (None, "062000", DUE, True, DUE, 0.0),
+        (GOOD, "062000", DUE, False, None, float("nan")),
+        (GOOD, "062000", DUE, False, None, float("-inf")),
     ]
-    frame = spark.createDataFrame(rows, "g string, p string, due date, f boolean, d date")
-    code = filing.reject_code(*[F.col(c) for c in ("g", "p", "due", "f", "d")])
+    frame = spark.createDataFrame(rows, "g string, p string, due date, f boolean, d date, r double")
+    code = filing.reject_code(*[F.col(c) for c in ("g", "p", "due", "f", "d", "r")])
     got = [tuple(row) for row in frame.select(code, filing.reject_message(code)).collect()]
     assert [row[0] for row in got] == [
-        "INVALID_GSTIN", "INVALID_RET_PERIOD", "DUE_DATE_MISSING", "FILING_DATE_MISSING", None, None, "INVALID_GSTIN"]
+        "INVALID_GSTIN", "INVALID_RET_PERIOD", "DUE_DATE_MISSING", "FILING_DATE_MISSING", None, None, "INVALID_GSTIN",
+        "CALCULATION_ERROR", "CALCULATION_ERROR"]
     assert got[4] == (None, None) and all(message for code, message in got if code)
+
+
+def test_scores_of_any_size(spark):
+    from returns_analytics.functions import amounts
+
+    frame = spark.createDataFrame(
+        [(x,) for x in (1e25, -1e25, float("nan"), float("inf"), None, 12.345)], "x double")
+    got = [r[0] for r in frame.select(amounts.clamp_score(F.col("x"))).collect()]
+    assert [None if g is None else float(g) for g in got] == [100, 0, None, None, 0, 12.35]
+
+
+def test_a_filed_return_without_a_date_has_no_status(spark):
+    frame = spark.createDataFrame([(True, None), (True, DUE), (False, None)], "f boolean, d date")
+    case = (F.col("f"), F.col("d"), F.lit(DUE), F.lit(DUE))
+    status, delay = filing.filing_status(*case), filing.delay_days(*case)
+    score = filing.default_score(status, delay, F.lit(1), F.lit(5.0), F.lit("STABLE"))
+    got = [tuple(r) for r in frame.select(status, delay, score.isNull()).collect()]
+    assert got == [(None, None, True), ("FILED_ON_TIME", 0, False), ("NOT_DUE", 0, False)]
+
+
+def test_percent_of_long_totals(spark):
+    from returns_analytics.functions import amounts
+
+    frame = spark.sql("select cast(150000000000000000000000 as decimal(26,2)) a, cast(100000000000000000000000 as decimal(26,2)) b")
+    assert float(frame.select(amounts.growth_percent(F.col("a"), F.col("b"))).first()[0]) == 50.0

@@ -56,6 +56,22 @@ def test_growth_combines_rows_before_the_window(small, plan_of):
     assert sorted(k.rsplit(",", 1)[0] for k in keys) == ["gstin"] + ["gstin, compare_date"] * 3
 
 
+@pytest.mark.parametrize("unique", [False, True])
+def test_growth_of_a_period_reads_its_reach_only(small, plan_of, unique):
+    plan = plan_of(pipelines.growth_analytics(small.table("summary"), [PERIOD], unique))
+    scans = re.findall(r"FileScan parquet .*", plan)
+    assert all(re.search(r"PartitionFilters: \[[^\]]*ret_period", scan) for scan in scans)
+    dated = [s for s in scans if "GreaterThanOrEqual(period_date,1999-06-01)" in s]
+    assert len(dated) == 1 and "NOT (ret_period" in re.sub(r"#\d+", "", dated[0])
+    assert all(f"= {PERIOD})" in s for s in scans if s not in dated)
+
+
+def test_offices_of_a_period_share_one_exchange_per_side(small, plan_of):
+    plan = plan_of(pipelines.office_revenue(small.table("summary"), small.table("dealer"), small.table("juri"), None, [PERIOD]))
+    keys = [re.sub(r"#\d+", "", text).rsplit(",", 1)[0] for _, text in shuffles(plan)]
+    assert keys.count("gstin") == 2 and "ret_period, gstin" not in keys
+
+
 def test_risk_is_narrow(small, plan_of):
     plan = plan_of(whole_plans(small)["risk"])
     assert not shuffles(plan) and "*(1)" in plan

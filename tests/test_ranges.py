@@ -33,7 +33,9 @@ def test_equal_depth(spark, n, hot):
 
 def test_range_count():
     assert [ranges.range_count(*case) for case in ((0, 50_000), (50_000, 50_000), (50_001, 50_000), (2_500, 1))] == [
-        1, 1, 2, 3]
+        1, 1, 2, 2_500]
+    with pytest.raises(ValueError):
+        ranges.range_count(10, 0)
 
 
 def test_pages(spark):
@@ -41,5 +43,9 @@ def test_pages(spark):
     assert [r.gstin for r in ranges.page_after(frame, "gstin", 2).collect()] == ["K0000", "K0001"]
     assert [r.gstin for r in ranges.page_after(frame, "gstin", 2, " k0007").collect()] == ["K0008", "K0009"]
     assert ranges.page_after(frame, "gstin", 2, "  ").count() == 2
-    assert [ranges.page_size(n) for n in (-1, 0, 1, 5_000, 5_001)] == [1_000, 1_000, 1, 5_000, 5_000]
+    many = spark.range(7_000).selectExpr("lpad(id, 5, '0') gstin")
+    assert ranges.page_after(many, "gstin", 6_500).count() == 6_500
+    for size in (0, -1):
+        with pytest.raises(ValueError):
+            ranges.page_after(frame, "gstin", size)
     assert ranges.key_slice(frame, "gstin", "K0003", "K0005").count() == 3

@@ -77,10 +77,9 @@ def test_failure_limit_is_strict():
         quality.enforce_failure_limit(199, 2)
 
 
-def test_large_models_go_over_arrow(model):
+def test_the_form_is_the_callers_choice(model):
     big = trees.TreeModel("big", "1", "18", model.features, model.trees * 100)
-    assert model.node_count <= trees.MAX_EXPRESSION_NODES < big.node_count
-    assert "score" in str(trees.score(big))
+    assert "score(" in str(trees.score(big, arrow=True)) and "score(" not in str(trees.score(model))
 
 
 @pytest.mark.parametrize("change", [

@@ -62,11 +62,30 @@ def test_monthly_then_defaulters(spark, inputs, model, tmp_path):
 
     log = spark.read.parquet(store.path("runs")).filter("ret_period = '062000'")
     assert [r.run_id for r in runs.latest_runs(log).collect()] == ["run-2"]
+    # what fails before a run begins is raised, not logged
     with pytest.raises(DueDateError):
         run_defaulters(inputs, store, growth, profile, "011990", AS_OF, NOW, "run-4")
-    failed = spark.read.parquet(store.path("runs")).filter("run_id = 'run-4'").first()
-    assert (failed.status, failed.job_name, failed.scanned) == ("FAILED", "RETURN_DEFAULTER", None)
-    assert "011990" in failed.message
+    assert spark.read.parquet(store.path("runs")).filter("run_id = 'run-4'").isEmpty()
+    # a run that stops keeps its counters
+    with pytest.raises(GateFailed):
+        run_defaulters(inputs, store, growth.unionByName(growth), profile, "062000", AS_OF, LATER, "run-5")
+    failed = spark.read.parquet(store.path("runs")).filter("run_id = 'run-5'")
+    assert sorted(r.status for r in failed.collect()) == ["FAILED", "RUNNING"]
+    failed = failed.filter("status = 'FAILED'").first()
+    assert failed.total_eligible == first["total_eligible"] and failed.scanned is None and failed.finished_at > LATER
+    # a population of nobody is a run of its own
+    nobody = Inputs(inputs.summary, inputs.registration.withColumn("auth_status", inputs.registration.auth_status.substr(1, 0)),
+                    inputs.dealer, inputs.juri, inputs.due)
+    empty = run_defaulters(nobody, store, growth, profile, "062000", AS_OF, LATER, "run-6")
+    assert (empty["status"], empty["total_eligible"], empty["scanned"], empty["skipped"]) == ("COMPLETED", 0, 0, 0)
+    logged = spark.read.parquet(store.path("runs")).filter("run_id = 'run-6' and finished_at is not null").first()
+    assert (logged.status, logged.scanned, logged.notice_eligible) == ("COMPLETED", 0, 0)
+
+    months = spark.read.parquet(store.path("monthly_runs"))
+    assert {(r.run_id, r.status) for r in runs.latest_runs(months, ("run_id",)).collect()} == {
+        ("1", "COMPLETED"), ("2", "COMPLETED"), ("3", "COMPLETED")}
+    last = months.filter("run_id = '2' and status = 'COMPLETED'").first()
+    assert (last.job_name, last.growth_rows, last.scored) == ("MONTHLY_ANALYTICS", again.growth_rows, again.scored)
 
 
 def test_failing_rows_stop_the_monthly_run(spark, inputs, model, tmp_path):
@@ -77,6 +96,8 @@ def test_failing_rows_stop_the_monthly_run(spark, inputs, model, tmp_path):
         inputs.due)
     with pytest.raises(GateFailed):
         run_monthly(broken, Store(str(tmp_path)), model, "062000", NOW, batch_id=1)
+    log = spark.read.parquet(f"{tmp_path}/monthly_runs").filter("status = 'FAILED'").first()
+    assert log.failed == log.source_rows > 0 and log.growth_rows > 0 and "percent" in log.message
 
 
 def test_office_revenue(spark, inputs, tmp_path):
@@ -99,7 +120,7 @@ def test_office_revenue(spark, inputs, tmp_path):
             Inputs(inputs.summary, inputs.registration, doubled, inputs.juri, inputs.due), store, "052000", NOW, "bad")
     assert spark.read.parquet(store.path("offices")).count() == len(after)
     log = spark.read.parquet(store.path("revenue_runs"))
-    assert {(r.run_id, r.status) for r in log.collect()} == {
+    assert {(r.run_id, r.status) for r in runs.latest_runs(log, ("run_id",)).collect()} == {
         ("run-042000", "SUCCESS"), ("run-052000", "SUCCESS"), ("run-again", "SUCCESS"), ("bad", "FAILED")}
 
 
@@ -115,8 +136,8 @@ def test_period_write_replaces_only_its_periods(spark, tmp_path):
     assert collect(read_parquet(spark, path, schemas.SUMMARY), "gstin") == [("",), ("",)]
 
 
-def test_log_texts_are_cut(spark):
+def test_log_texts_stay_whole(spark):
     rejects = spark.createDataFrame([("A", "012000", "C" * 150, "m" * 1500)],
                                     "gstin string, ret_period string, error_code string, error_message string")
     got = runs.reject_log(rejects, "r", NOW).first()
-    assert (len(got.error_code), len(got.error_message), got.job_name) == (100, 1000, "RETURN_DEFAULTER")
+    assert (len(got.error_code), len(got.error_message), got.job_name) == (150, 1500, "RETURN_DEFAULTER")
