@@ -206,7 +206,8 @@ def indexes(benchmark: DataFrame, overlap: float = OVERLAP, shard_bytes: int = S
     frequencies = terms.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     for shard in range(shards):
         own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard) if shards > 1 else items
-        rows = sorted((row["item_id"], row["text"] or "") for row in own.collect())
+        rows = [(row["item_id"], row["text"] or "") for row in own.collect()]
+        rows.sort(key=lambda row: (row[0] is not None, row[0] or 0, row[1]))
         found = [item for item in (read_item(*row) for row in rows) if item]
         if not found:
             continue

@@ -237,7 +237,7 @@ def _all_linked(members: DataFrame, dim: int, threshold: float) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 centre = _rows(batch["centre"])
-                centre /= np.maximum(np.sqrt((centre**2).sum(axis=1, keepdims=True)), 1e-300)
+                centre = centre / np.maximum(np.sqrt((centre**2).sum(axis=1, keepdims=True)), 1e-300)
                 cosine = (centre * _rows(batch["data"])).sum(axis=1)
                 yield pa.RecordBatch.from_arrays([batch["component"], pa.array(np.arccos(np.clip(cosine, -1, 1)))], ["component", "angle"])
 

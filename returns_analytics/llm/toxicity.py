@@ -114,7 +114,7 @@ class LabelModel:
         return 1 / (1 + np.exp(np.clip(log[0] - log[1], -50, 50)))
 
 
-def fit_label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 25) -> LabelModel:
+def fit_label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 400) -> LabelModel:
     """Expectation maximisation from initial posteriors; voters that repeat others weigh less.
 
     votes: rows by voters, 0 clean, 1 toxic, 2 abstains.

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from returns_analytics.llm import langid, toxicity
 
@@ -65,7 +66,7 @@ def test_label_model_finds_accuracies_and_correlations():
     votes = np.column_stack([good, fair, fair, poor])  # the second one twice
     model = toxicity.fit_label_model(votes, voter(0.7).astype(float))
     right = lambda j: 0.7 * model.votes[0, j, 0] + 0.3 * model.votes[1, j, 1]
-    assert abs(right(0) - 0.95) < 0.05 and abs(right(1) - 0.8) < 0.05 and abs(right(3) - 0.55) < 0.05
+    assert abs(right(0) - 0.95) < 0.03 and abs(right(1) - 0.8) < 0.03 and abs(right(3) - 0.55) < 0.03
     assert model.weight[1] < 0.6 < model.weight[0]
     assert ((model.posterior(votes) > 0.5) == truth).mean() > 0.94
 
@@ -87,7 +88,7 @@ def test_languages_of_odd_texts(spark):
     assert len(got) == len(rows) + len(odd)
     assert all(found[i] == ("und", 1.0) for i in (100, 101, 102, 104))
     assert found[105][0] == found[106][0] == "de" and found[0][0] == "en"
-    nothing = langid.identify(frame.withColumn("lang", frame["text"].substr(1, 0).cast("int").cast("string"))).collect()
+    nothing = langid.identify(frame.withColumn("lang", F.lit(None).cast("string"))).collect()
     assert {(r.lang_pred, r.score) for r in nothing} == {("und", 1.0), ("und", 0.0)}
     assert langid.identify(frame.filter("false")).count() == 0
 
