@@ -473,30 +473,21 @@ def _(fx):
     return quality.missing_period_dates(fx.table("summary_repeated"))
 
 
-_UNMAPPED = """count(distinct case when r.gstin is null or r.st_juri is null then s.gstin end) unmapped_registrations"""
-
-
 @query("unmapped_registrations", "s: ret_period; i: unmapped_registrations",
-       f"select s.ret_period, {_UNMAPPED} from summary_repeated s left join dealer_repeated r on r.gstin = s.gstin group by 1")
+       "select ret_period, count(*) filter (no_office) unmapped_registrations from o_flags_repeated group by 1")
 def _(fx):
     return quality.unmapped_registrations(fx.table("summary_repeated"), fx.table("dealer_repeated"))
 
 
-_UNKNOWN = """select s.ret_period, count(distinct s.gstin) unmapped_jurisdictions from summary_repeated s
-    join dealer_repeated r on r.gstin = s.gstin left join juri_repeated j on j.jurisdiction_code = r.st_juri
-    where r.st_juri is not null and j.jurisdiction_code is null group by 1"""
-_SEVERAL = """select s.ret_period, count(*) duplicate_mappings from (select distinct ret_period, gstin from summary_repeated) s
-    where s.gstin in (select gstin from dealer_repeated where st_juri is not null group by 1
-                      having count(distinct st_juri) > 1) group by 1"""
-
-
-@query("unmapped_jurisdictions", "s: ret_period; i: unmapped_jurisdictions", _UNKNOWN)
+@query("unmapped_jurisdictions", "s: ret_period; i: unmapped_jurisdictions",
+       "select ret_period, count(*) unmapped_jurisdictions from o_flags_repeated where unknown_office group by 1")
 def _(fx):
     return quality.unmapped_jurisdictions(
         fx.table("summary_repeated"), fx.table("dealer_repeated"), fx.table("juri_repeated"))
 
 
-@query("duplicate_mappings", "s: ret_period; i: duplicate_mappings", _SEVERAL)
+@query("duplicate_mappings", "s: ret_period; i: duplicate_mappings",
+       "select ret_period, count(*) duplicate_mappings from o_flags_repeated where several_offices group by 1")
 def _(fx):
     return quality.duplicate_mappings(fx.table("summary_repeated"), fx.table("dealer_repeated"))
 
@@ -507,17 +498,10 @@ _PRECHECK_COLUMNS = (
 
 
 @query("office_precheck", _PRECHECK_COLUMNS,
-       f"""select c.ret_period, c.source_rows, c.source_gstins, u.unmapped_registrations,
-         coalesce(k.unmapped_jurisdictions,0) unmapped_jurisdictions, coalesce(m.duplicate_mappings,0) duplicate_mappings,
-         d.duplicate_source_gstins
-       from (select ret_period, count(*) source_rows, count(distinct gstin) source_gstins from summary_repeated group by 1) c
-       join (select s.ret_period, {_UNMAPPED} from summary_repeated s left join dealer_repeated r on r.gstin = s.gstin
-             group by 1) u on u.ret_period = c.ret_period
-       left join ({_UNKNOWN}) k on k.ret_period = c.ret_period
-       left join ({_SEVERAL}) m on m.ret_period = c.ret_period
-       join (select ret_period, count(case when n > 1 then 1 end) duplicate_source_gstins from
-             (select ret_period, gstin, count(*) n from summary_repeated group by 1, 2) x group by 1) d
-         on d.ret_period = c.ret_period""")
+       """select ret_period, sum(n) source_rows, count(gstin) source_gstins,
+         count(*) filter (no_office) unmapped_registrations, count(*) filter (unknown_office) unmapped_jurisdictions,
+         count(*) filter (several_offices) duplicate_mappings, count(*) filter (n > 1) duplicate_source_gstins
+       from o_flags_repeated group by 1""")
 def _(fx):
     return quality.office_precheck(
         fx.table("summary_repeated"), fx.table("dealer_repeated"), fx.table("juri_repeated"))
@@ -761,14 +745,11 @@ def _(fx):
 @query("revenue_run_summary",
        "s: run_id ret_period status message; i: source_rows source_gstins offices_processed unmapped_registrations "
        "unmapped_jurisdictions duplicate_mappings",
-       f"""select '{RUN_ID}' run_id, s.ret_period, 'SUCCESS' status, count(*) source_rows, count(distinct s.gstin) source_gstins,
-         coalesce(max(o.n),0) offices_processed,
-         count(distinct case when r.gstin is null or r.st_juri is null then s.gstin end) unmapped_registrations,
-         count(distinct case when r.st_juri is not null and j.jurisdiction_code is null then s.gstin end)
-           unmapped_jurisdictions, 0 duplicate_mappings, 'Office revenue batch completed successfully' message
-       from summary s left join dealer r on r.gstin = s.gstin left join juri j on j.jurisdiction_code = r.st_juri
-         left join (select ret_period, count(*) n from o_offices group by 1) o on o.ret_period = s.ret_period
-       group by s.ret_period""")
+       f"""select '{RUN_ID}' run_id, ret_period, 'SUCCESS' status, sum(n) source_rows, count(gstin) source_gstins,
+         (select count(*) from o_offices o where o.ret_period = f.ret_period) offices_processed,
+         count(*) filter (no_office) unmapped_registrations, count(*) filter (unknown_office) unmapped_jurisdictions,
+         count(*) filter (several_offices) duplicate_mappings, 'Office revenue batch completed successfully' message
+       from o_flags f group by ret_period""")
 def _(fx):
     precheck = quality.office_precheck(fx.table("summary"), fx.table("dealer"), fx.table("juri"))
     return runs.revenue_run_summary(precheck, _offices(fx), RUN_ID)
