@@ -12,9 +12,9 @@ common order, here the rarest first by a count of all shingles in hashed counter
 trees prune. Equal sets are one point from the start.
 
 A cell of many near copies is not expanded into pairs: first each point is verified with the partner
-of the largest bound, which is a likely link, and in the rounds after that only cells whose members
-are still in different components are searched, again for the best partners, in the last round for all.
-No link between components is lost, so components are exact.
+of the largest bound, which is a likely link, and after that only cells whose members are still in
+different components are searched for all pairs between these. No link between components is lost, so
+components are exact. Before sets are compared, finer points of the pair are held against the same bound.
 
 Defined results: words are in lower case (A-Z) and separated by ASCII white space; a set is that of the runs of
 ``size`` words, of a shorter text its whole sequence; null and empty texts and such without words have
@@ -37,9 +37,11 @@ from returns_analytics.llm.storage import Scratch
 
 SIZE, PERCENT = 4, 85
 #: Coordinates of a point, hashed counters of shingles, points of a tree leaf.
-GROUPS, COUNTERS, LEAF = 32, 1 << 20, 32
-#: Rounds in which points are verified with their best partners only, and bits of the filter of ids.
-BEST_ROUNDS, FILTER_BITS = 3, 1 << 23
+GROUPS, COUNTERS, LEAF = 32, 1 << 20, 128
+#: Coordinates of the finer point that a pair is held against before its sets, and bits of the filter of ids.
+FINE, FILTER_BITS = 512, 1 << 23
+#: Pairs a task holds before it passes them on.
+PAIRS = 100_000
 _KEY = np.uint64((1 << 40) - 1)
 _PIECE = 1 << 16
 
@@ -107,8 +109,27 @@ def required(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * (a + b) // (100 + percent))
 
 
+def _narrow(point: np.ndarray) -> bytes:
+    """Counts in one byte each, or in four if one is too large: the length tells which."""
+    return (point.astype(np.uint8) if point.max() < 256 else point).tobytes()
+
+
+def _wide(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8 if len(data) == FINE else "<u4")
+
+
+def _overlaps(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sums of coordinate minima of all rows of x with all rows of y, coordinate by coordinate."""
+    total = np.zeros((len(x), len(y)), np.result_type(x.dtype, np.uint32))
+    least = np.empty(total.shape, x.dtype)
+    for a, b in zip(np.ascontiguousarray(x.T), np.ascontiguousarray(y.T), strict=True):
+        np.minimum(a[:, None], b[None], out=least)
+        total += least
+    return total
+
+
 def _points(size: int, percent: int, levels: np.ndarray):
-    """doc_id, n, two digests of the set, its group counts and the keys of its prefix."""
+    """doc_id, n, two digests of the set, its group counts, coarse and fine, and the keys of its prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -118,6 +139,8 @@ def _points(size: int, percent: int, levels: np.ndarray):
                 owner = np.repeat(np.arange(rows), n)
                 group = (values >> np.uint64(8)).astype(np.int64) % GROUPS
                 points = np.bincount(owner * GROUPS + group, minlength=rows * GROUPS).reshape(rows, GROUPS)
+                number = (values >> np.uint64(24)).astype(np.int64) % FINE
+                fine = np.bincount(owner * FINE + number, minlength=rows * FINE).reshape(rows, FINE).astype("<u4")
                 full = n > 0
                 one, two = np.zeros(rows, np.uint64), np.zeros(rows, np.uint64)
                 if len(values):
@@ -134,9 +157,10 @@ def _points(size: int, percent: int, levels: np.ndarray):
                         pa.array(one.view(np.int64)),
                         pa.array(two.view(np.int64)),
                         pa.array([p.astype("<u4").tobytes() for p in points], pa.binary()),
+                        pa.array([_narrow(p) for p in fine], pa.binary()),
                         list_array(pa.array(keys), length),
                     ],
-                    ["doc_id", "n", "one", "two", "point", "keys"],
+                    ["doc_id", "n", "one", "two", "point", "fine", "keys"],
                 )
 
     return run
@@ -170,8 +194,8 @@ class CountTree:
             bound = np.minimum(self.points[at], largest).sum(axis=1, dtype=np.int64)
             near = (bound >= required(self.n[at], least, percent)) & (100 * least <= 100 * self.n[at] * 100 // percent)
             near &= 100 * most >= percent * self.n[at]
-            for some in np.array_split(at[near], max(1, near.sum() * len(leaf) // 50_000)):
-                both = np.minimum(self.points[some][:, None], self.points[leaf][None]).sum(axis=2, dtype=np.int64)
+            for some in np.array_split(at[near], max(1, near.sum() * len(leaf) // 200_000)):
+                both = _overlaps(self.points[some], self.points[leaf]).astype(np.int64)
                 i, j = np.nonzero(both >= required(self.n[some][:, None], self.n[leaf][None], percent))
                 yield some[i], leaf[j], both[i, j]
 
@@ -186,8 +210,8 @@ def _cells(percent: int, best: bool):
     def pairs(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         points = np.frombuffer(b"".join(rows["point"]), "<u4").reshape(-1, GROUPS)
         label, ids, n = rows["component"], rows["id"], rows["n"]
-        if points.max() < 1 << 8:
-            points = points.astype(np.uint8)
+        if points.max() < 1 << 16:
+            points = points.astype(np.uint16)
         share = np.full(len(n), -1.0)
         partner = np.full(len(n), -1)
         out = []
@@ -226,13 +250,16 @@ def _cells(percent: int, best: bool):
             rows = {
                 name: table[name].to_pylist() if name == "point" else table[name].to_numpy() for name in table.column_names
             }
-            key, out = rows["key"], []
+            key = rows["key"]
             edges = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]))
+            out, size = [], 0
             for a, b in zip(edges, edges[1:]):
                 out.append(pairs({name: values[a:b] for name, values in rows.items()}))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([o[k] for o in out]).astype(np.int64)) for k in range(3)], ["a", "b", "bound"]
-            )
+                size += len(out[-1][0])
+                if size > PAIRS or b == len(key):
+                    columns = [pa.array(np.concatenate([o[k] for o in out]).astype(np.int64)) for k in range(3)]
+                    yield pa.RecordBatch.from_arrays(columns, ["a", "b", "bound"])
+                    out, size = [], 0
 
         for batch in batches:
             if not batch.num_rows:
@@ -285,6 +312,21 @@ def _hold_sets(size: int, bits: np.ndarray):
     return run
 
 
+def _refine(percent: int):
+    """The pairs whose fine points allow a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bound = [
+                int(np.minimum(_wide(x), _wide(y)).sum(dtype=np.int64))
+                for x, y in zip(batch["x"].to_pylist(), batch["y"].to_pylist(), strict=True)
+            ]
+            need = required(batch["n_a"].to_numpy(), batch["n_b"].to_numpy(), percent)
+            yield batch.select(["a", "b"]).filter(pa.array(np.array(bound, np.int64) >= need))
+
+    return run
+
+
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -308,7 +350,7 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
     levels = frequency_levels(texts, size)
     points = scratch.store(
         texts.mapInArrow(
-            _points(size, percent, levels), "doc_id long, n long, one long, two long, point binary, keys array<long>"
+            _points(size, percent, levels), "doc_id long, n long, one long, two long, point binary, fine binary, keys array<long>"
         )
     )
     digest = ["n", "one", "two"]
@@ -316,7 +358,7 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
     # one row per distinct set; of equal rows under one id any serves
     distinct = points.join(firsts.withColumnRenamed("id", "doc_id"), ["doc_id", *digest]).dropDuplicates(["doc_id", *digest])
     unique = scratch.store(
-        distinct.select(F.col("doc_id").alias("id"), "n", "one", "two", "point", "keys")
+        distinct.select(F.col("doc_id").alias("id"), "n", "one", "two", "point", "fine", "keys")
     )
     by_key = Window.partitionBy("key").orderBy("id")
     # cells of one point are done; neighbours in the order show which these are
@@ -332,7 +374,7 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
         members = rows.join(ids, "id").repartition(tasks, "key").sortWithinPartitions("key", "id")
         pairs = members.select("key", "id", "component", "n", "point").mapInArrow(_cells(percent, best), "a long, b long, bound long")
         if not best:
-            return pairs.select("a", "b").distinct()
+            return pairs.select("a", "b").distinct()  # a pair shares many cells: combined before the shuffle
         chosen = pairs.groupBy("a").agg(F.max(F.struct("bound", F.negative("b").alias("b"))).alias("p"))
         return chosen.select(F.least("a", F.negative("p.b")).alias("a"), F.greatest("a", F.negative("p.b")).alias("b")).distinct()
 
@@ -344,24 +386,31 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
     sets = scratch.store(held.mapInArrow(_hold_sets(size, bits), "id long, held binary"))
     live = scratch.store(cells.join(involved.select(F.col("a").alias("id")).distinct(), "id").select("key", "id"))
 
+    fine = unique.select("id", "n", "fine")
+
+    def both(pairs: DataFrame, table: DataFrame, column: str, more: tuple[str, ...] = ()) -> DataFrame:
+        """The pairs with a column of either side as x and y."""
+        for side, name in (("a", "x"), ("b", "y")):
+            own = [F.col(column).alias(name), *[F.col(m).alias(f"{m}_{side}") for m in more]]
+            pairs = pairs.join(table.select(F.col("id").alias(side), *own), side)
+        return pairs
+
     def verify(pairs: DataFrame) -> DataFrame:
-        joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("held").alias("x")), "a").join(
-            sets.select(F.col("id").alias("b"), F.col("held").alias("y")), "b"
-        )
-        return scratch.store(joined.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long").distinct())
+        close = both(pairs, fine, "fine", ("n",)).select("a", "b", "n_a", "n_b", "x", "y")
+        close = scratch.store(close.mapInArrow(_refine(percent), "a long, b long"))
+        compared = both(close, sets, "held").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long")
+        return scratch.store(compared.distinct())
 
     links = verify(pairs)
-    for number in range(BEST_ROUNDS):
-        found = scratch.store(components(links, scratch))
-        labelled = live.join(found.withColumnRenamed("node", "id"), "id", "left").select(
-            "key", "id", F.coalesce("component", "id").alias("component")
-        )
-        labelled = scratch.store(labelled)
-        mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        mixed = mixed.filter("low <> high").select("key")
-        pairs = scratch.store(search(labelled.join(mixed, "key"), number + 1 < BEST_ROUNDS))
-        new = verify(pairs)
-        links = links.unionByName(new)
+    found = scratch.store(components(links, scratch))
+    labelled = live.join(found.withColumnRenamed("node", "id"), "id", "left").select(
+        "key", "id", F.coalesce("component", "id").alias("component")
+    )
+    labelled = scratch.store(labelled)
+    mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    mixed = mixed.filter("low <> high").select("key")
+    rest = search(labelled.join(mixed, "key"), False).join(pairs, ["a", "b"], "left_anti")
+    links = links.unionByName(verify(scratch.store(rest)))
     equal = points.filter("n > 0").join(firsts, digest).select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
     final = components(links.unionByName(equal), scratch)
     sizes = points.groupBy("doc_id").agg(F.max("n").alias("n_shingles"))
