@@ -1,7 +1,7 @@
 """Runs: compute a period and store the result. Everything here is eager.
 
 A run computes the full new state of the period, stages it in the checkpoint folder, and then
-replaces the period's partition in one commit. Running a period again gives the same state, which
+replaces the period's partition. Running a period again gives the same state, which
 is also how late returns get in.
 """
 

@@ -37,10 +37,12 @@ def stage(table: DataFrame) -> DataFrame:
 
 
 def replace_periods(table: DataFrame, path: str) -> None:
-    """Overwrite exactly the periods present in the table, in one commit.
+    """Overwrite exactly the periods present in the table.
 
     Spark moves the new partitions into place after every task has succeeded; a job that fails
-    before leaves the stored table as it was. The table must not read from ``path`` any more
+    before leaves the stored table as it was. The move itself is no transaction: a driver lost
+    between the removal of an old partition and the move of its new one leaves that period
+    without files, and running the period again restores it. The table must not read from ``path`` any more
     (see stage). The rebalance hint lets AQE split a big period over many tasks and put small
     ones together, so files come out near the advisory size whatever the periods hold.
     """
