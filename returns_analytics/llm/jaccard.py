@@ -119,8 +119,11 @@ def _wide(data: bytes) -> np.ndarray:
 
 
 def _overlaps(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Sums of coordinate minima of all rows of x with all rows of y, coordinate by coordinate."""
-    total = np.zeros((len(x), len(y)), np.result_type(x.dtype, np.uint32))
+    """Sums of coordinate minima of all rows of x with all rows of y, coordinate by coordinate.
+
+    The type of the coordinates has to hold the sum of a row, and so holds every overlap.
+    """
+    total = np.zeros((len(x), len(y)), x.dtype)
     least = np.empty(total.shape, x.dtype)
     for a, b in zip(np.ascontiguousarray(x.T), np.ascontiguousarray(y.T), strict=True):
         np.minimum(a[:, None], b[None], out=least)
@@ -210,7 +213,7 @@ def _cells(percent: int, best: bool):
     def pairs(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         points = np.frombuffer(b"".join(rows["point"]), "<u4").reshape(-1, GROUPS)
         label, ids, n = rows["component"], rows["id"], rows["n"]
-        if points.max() < 1 << 16:
+        if n.max() < 1 << 16:  # the coordinates of a point add up to n
             points = points.astype(np.uint16)
         share = np.full(len(n), -1.0)
         partner = np.full(len(n), -1)
