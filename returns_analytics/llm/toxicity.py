@@ -208,9 +208,17 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
     n = {int(row["toxic"] > 0): row["n"] for row in totals}
     if not n.get(0) or not n.get(1):
         return Model(Vocabulary(np.zeros(0, np.uint64)), np.zeros(0))
-    odds = F.log((F.col("toxic") + 0.5) / (n[1] + 1)) - F.log((F.col("clean") + 0.5) / (n[0] + 1))
-    spread = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
-    ranked = counts.filter(F.greatest("toxic", "clean") >= LEAST_ROWS).withColumn("z", odds / spread)
+    # signed root of the log-likelihood ratio: unlike a standard error of odds it does not saturate for words
+    # that one class never holds
+    part = lambda x: F.when(x > 0, x * F.log(x)).otherwise(0.0)
+    toxic, clean = F.col("toxic").cast("double"), F.col("clean").cast("double")
+    rest_toxic, rest_clean = F.greatest(n[1] - toxic, F.lit(0.0)), F.greatest(n[0] - clean, F.lit(0.0))
+    ratio = part(toxic) + part(clean) + part(rest_toxic) + part(rest_clean) - part(toxic + clean)
+    ratio += part(rest_toxic + rest_clean) * -1 + part(toxic + clean + rest_toxic + rest_clean)
+    ratio += part(toxic + rest_toxic) * -1 - part(clean + rest_clean)
+    sign = F.when(toxic * n[0] > clean * n[1], 1.0).otherwise(-1.0)
+    z = sign * F.sqrt(2 * F.greatest(ratio, F.lit(0.0)))
+    ranked = counts.filter(F.greatest("toxic", "clean") >= LEAST_ROWS).withColumn("z", z)
     # a bounded vocabulary is the feature: the words that tell the classes apart best
     best = ranked.filter(F.abs("z") >= LEAST_Z).orderBy(F.abs("z").desc(), "word").limit(VOCABULARY).collect()
     best = sorted(((np.int64(r["hash"]).view(np.uint64), r["word"], r["z"]) for r in best), key=lambda r: int(r[0]))
