@@ -4,9 +4,12 @@ Equal vectors are one node. Neighbour lists start from random-projection trees:
 random projections are compared within blocks of neighbours in that order, so that a group of any size
 is many blocks. Lists are then refined through neighbours-of-neighbours joins: around each node the nodes
 of its list and those that list it are compared with each other. A list that is full of links is
-doubled. Edges at the threshold give components; within a component every link is then counted
-exactly, block against block, or without comparing any pair where its radius shows that all of it is
-linked. Nothing is lost by the bounds of the lists but what no path of edges reaches: the recall is
+doubled. The lists are bounded, the links are not: all links that a comparison sees go on as ties, which
+tie the nodes they connect to one of them. A link can only stay unseen for the bounds where both ends have
+many links, so such nodes of different components are compared exactly: centres of components with their
+radii first, then the nodes of the components that come close enough. Links and ties give components; within a
+component every link is then counted exactly, block against block, or without comparing any pair where its
+radius shows that all of it is linked. What remains to be lost is what no comparison meets: the recall is
 audited on a hash-chosen sample of nodes against all others, and if it is too low more trees are added.
 
 Cosines are computed in double precision. Defined results: vectors that are null, empty, zero or hold
@@ -21,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from returns_analytics.llm.components import components
@@ -78,17 +81,33 @@ def _codes(dim: int, first_tree: int, trees: int):
     return run
 
 
-def _best(ids: np.ndarray, cosines: np.ndarray, keep: int, least: float) -> pa.RecordBatch:
-    """For each row its most similar others."""
+def _ties(ids: np.ndarray, linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes that links connect, each with the first of those it is connected with."""
+    some = np.flatnonzero(linked.any(axis=1))
+    linked, label = linked[np.ix_(some, some)], np.arange(len(some))
+    while True:
+        new = np.minimum(np.where(linked, label, len(some)).min(axis=1, initial=len(some)), label)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    tied = np.flatnonzero(label != np.arange(len(some)))
+    return ids[some[tied]], ids[some[label[tied]]]
+
+
+def _best(ids: np.ndarray, cosines: np.ndarray, keep: int, least: float, threshold: float) -> pa.RecordBatch:
+    """For each row its most similar others; and the ties of all links."""
     np.fill_diagonal(cosines, -2)
+    tied, to = _ties(ids, cosines >= threshold)
     take = min(keep, len(ids) - 1)
     part = np.argpartition(-cosines, take - 1, axis=1)[:, :take] if take > 0 else np.zeros((len(ids), 0), int)
     a, value = np.repeat(ids, take), np.take_along_axis(cosines, part, 1).ravel()
     good = value >= least
-    return pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(ids[part].ravel()[good]), pa.array(value[good])], ["a", "b", "cosine"])
+    columns = (a[good], tied), (ids[part].ravel()[good], to), (value[good], np.ones(len(tied))), (np.zeros(good.sum(), bool), np.ones(len(tied), bool))
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["a", "b", "cosine", "tie"])
 
 
-def _block_edges(keep: int, least: float):
+def _block_edges(keep: int, least: float, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         n = 0
@@ -99,7 +118,7 @@ def _block_edges(keep: int, least: float):
             for at in range(0, len(ids), BLOCK):
                 for own in np.unique(tree[at : at + BLOCK]):
                     some = at + np.flatnonzero(tree[at : at + BLOCK] == own)
-                    yield _best(ids[some], x[some] @ x[some].T, keep, least)
+                    yield _best(ids[some], x[some] @ x[some].T, keep, least, threshold)
 
         for batch in batches:
             held.append(batch)
@@ -113,7 +132,7 @@ def _block_edges(keep: int, least: float):
     return run
 
 
-def _pivot_edges(keep: int, least: float):
+def _pivot_edges(keep: int, least: float, threshold: float):
     """All nodes around a pivot compared with each other; rows come sorted by pivot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +141,7 @@ def _pivot_edges(keep: int, least: float):
         def around(table: pa.Table) -> Iterator[pa.RecordBatch]:
             pivot, ids, x = table["pivot"].to_numpy(), table["id"].to_numpy(), _rows(table["data"])
             edges = np.concatenate(([0], np.flatnonzero(pivot[1:] != pivot[:-1]) + 1, [len(pivot)]))
-            out = [_best(ids[a:b], x[a:b] @ x[a:b].T, keep, least) for a, b in zip(edges, edges[1:]) if b > a + 1]
+            out = [_best(ids[a:b], x[a:b] @ x[a:b].T, keep, least, threshold) for a, b in zip(edges, edges[1:]) if b > a + 1]
             if out:
                 yield from pa.Table.from_batches(out).combine_chunks().to_batches()
 
@@ -181,31 +200,34 @@ def _pair_counts(threshold: float):
     return run
 
 
-def _descend(nodes: DataFrame, dim: int, scratch: Scratch, first_tree: int, trees: int, known: DataFrame | None) -> DataFrame:
-    """Neighbour lists (a, b, cosine) of the nodes (id, data): trees, then rounds of joins."""
+def _descend(
+    nodes: DataFrame, dim: int, scratch: Scratch, first_tree: int, trees: int, known: DataFrame | None, threshold: float
+) -> DataFrame:
+    """Neighbour lists (a, b, cosine) of the nodes (id, data) and, with tie, all ties: trees, then rounds of joins."""
     tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    edge = "a long, b long, cosine double"
+    edge = "a long, b long, cosine double, tie boolean"
 
     def lists(edges: DataFrame, keep: int) -> DataFrame:
-        """The best of each list. A list full of links is let grow to twice its size."""
-        order = Window.partitionBy("a").orderBy(F.col("cosine").desc(), "b")
-        numbered = edges.groupBy("a", "b").agg(F.max("cosine").alias("cosine")).withColumn("k", F.row_number().over(order))
-        roomy = F.when(F.col("cosine") >= THRESHOLD, 2 * keep).otherwise(keep)
-        return scratch.store(numbered.filter(F.col("k") <= roomy).drop("k"))
+        """The best of each list, and every tie. A list full of links is let grow to twice its size."""
+        order = Window.partitionBy("a", "tie").orderBy(F.col("cosine").desc(), "b")
+        numbered = edges.groupBy("a", "b", "tie").agg(F.max("cosine").alias("cosine")).withColumn("k", F.row_number().over(order))
+        roomy = F.when(F.col("cosine") >= threshold, 2 * keep).otherwise(keep)
+        return scratch.store(numbered.filter(F.col("tie") | (F.col("k") <= roomy)).select("a", "b", "cosine", "tie"))
 
     dealt = nodes.mapInArrow(_codes(dim, first_tree, trees), "tree int, code long, id long, data binary")
     dealt = dealt.repartitionByRange(tasks, "tree", "code").sortWithinPartitions("tree", "code", "id")
-    start = dealt.mapInArrow(_block_edges(NEIGHBOURS, FOLLOWED), edge)
+    start = dealt.mapInArrow(_block_edges(NEIGHBOURS, FOLLOWED, threshold), edge)
     keep, now = NEIGHBOURS, lists(start if known is None else start.unionByName(known), NEIGHBOURS)
     for _ in range(ROUNDS):
-        back = now.select(F.col("b").alias("pivot"), F.col("a").alias("id"), "cosine")
+        listed = now.filter(~F.col("tie"))
+        back = listed.select(F.col("b").alias("pivot"), F.col("a").alias("id"), "cosine")
         # those that list a node: as many as its own list holds, others meet it around their own neighbours
         order = Window.partitionBy("pivot").orderBy(F.col("cosine").desc(), F.xxhash64("id"))
         back = back.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= keep).drop("k", "cosine")
-        around = now.select(F.col("a").alias("pivot"), F.col("b").alias("id")).unionByName(back)
-        around = around.unionByName(now.select(F.col("a").alias("pivot"), F.col("a").alias("id"))).distinct()
+        around = listed.select(F.col("a").alias("pivot"), F.col("b").alias("id")).unionByName(back)
+        around = around.unionByName(listed.select(F.col("a").alias("pivot"), F.col("a").alias("id"))).distinct()
         gathered = around.join(nodes, "id").repartition(tasks, "pivot").sortWithinPartitions("pivot", "id")
-        found = gathered.select("pivot", "id", "data").mapInArrow(_pivot_edges(keep, FOLLOWED), edge)
+        found = gathered.select("pivot", "id", "data").mapInArrow(_pivot_edges(keep, FOLLOWED, threshold), edge)
         new = lists(now.unionByName(found), keep)
         before, after = (t.agg(F.count(F.lit(1)), F.sum("cosine")).first() for t in (now, new))
         scratch.drop(now)
@@ -215,8 +237,8 @@ def _descend(nodes: DataFrame, dim: int, scratch: Scratch, first_tree: int, tree
     return now
 
 
-def _all_linked(members: DataFrame, dim: int, threshold: float) -> DataFrame:
-    """Components of more than one block of which every pair is linked, seen from their radius alone."""
+def _radii(members: DataFrame, dim: int) -> DataFrame:
+    """component, centre (of length one) and r, the widest angle of its members (component, data) with it."""
     tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,21 +255,139 @@ def _all_linked(members: DataFrame, dim: int, threshold: float) -> DataFrame:
             ["component", "data"],
         )
 
-    def widest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scale(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                centre = _rows(batch["centre"])
+                centre = _rows(batch["data"])
                 centre = centre / np.maximum(np.sqrt((centre**2).sum(axis=1, keepdims=True)), 1e-300)
-                cosine = (centre * _rows(batch["data"])).sum(axis=1)
-                yield pa.RecordBatch.from_arrays([batch["component"], pa.array(np.arccos(np.clip(cosine, -1, 1)))], ["component", "angle"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch["component"], pa.array([v.astype("<f8").tobytes() for v in centre], pa.binary())], ["component", "centre"]
+                )
 
-    large = members.filter(F.col("size") > COUNT_BLOCK).select("component", "data")
     sums = "component long, data binary"
     # sums of each task first, then one row per task and component
-    centres = large.mapInArrow(add, sums).repartition(tasks, "component").mapInArrow(add, sums).withColumnRenamed("data", "centre")
-    angles = large.join(centres, "component").select("component", "data", "centre").mapInArrow(widest, "component long, angle double")
+    centres = members.select("component", "data").mapInArrow(add, sums).repartition(tasks, "component").mapInArrow(add, sums)
+    centres = centres.mapInArrow(scale, "component long, centre binary")
+    angles = members.join(centres, "component").select("component", "data", "centre").mapInArrow(_angles, "component long, angle double")
+    return centres.join(angles.groupBy("component").agg(F.max("angle").alias("r")), "component")
+
+
+def _angles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The angle of data with centre, in place of both."""
+    for batch in batches:
+        if batch.num_rows:
+            cosine = (_rows(batch["centre"]) * _rows(batch["data"])).sum(axis=1)
+            rest = batch.drop_columns(["data", "centre"])
+            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(np.arccos(np.clip(cosine, -1, 1)))], [*rest.schema.names, "angle"])
+
+
+def _all_linked(members: DataFrame, dim: int, threshold: float) -> DataFrame:
+    """Components of more than one block of which every pair is linked, seen from their radius alone."""
     limit = float(np.arccos(threshold)) - 1e-6
-    return angles.groupBy("component").agg(F.max("angle").alias("r")).filter(F.col("r") * 2 <= limit).select("component")
+    return _radii(members.filter(F.col("size") > COUNT_BLOCK), dim).filter(F.col("r") * 2 <= limit).select("component")
+
+
+def _block_pairs(rows: DataFrame, size: Column, group: str, node: str) -> DataFrame:
+    """The rows of each group in blocks, once for each block that theirs meets: side 2 for itself, else 0 or 1."""
+    return (
+        rows.withColumn("blocks", F.ceil(size / COUNT_BLOCK))
+        .withColumn("own", F.pmod(F.xxhash64(node), F.col("blocks")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .withColumn("low", F.least("own", "other"))
+        .withColumn("high", F.greatest("own", "other"))
+        .withColumn("side", F.when(F.col("low") == F.col("high"), 2).when(F.col("own") == F.col("low"), 0).otherwise(1))
+        .withColumn("group", F.xxhash64(group, "low", "high"))
+    )
+
+
+def _complete(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups and where these begin and end; rows come with a group side by side."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        rest = table if rest is None else pa.concat_tables([rest, table])
+        group = rest["group"].to_numpy()
+        new = np.flatnonzero(group[1:] != group[:-1]) + 1
+        if len(new):
+            yield rest.slice(0, new[-1]), np.concatenate(([0], new))
+            rest = rest.slice(new[-1])
+    if rest is not None and rest.num_rows:
+        yield rest, np.array([0, rest.num_rows])
+
+
+def _near_centres(limit: float):
+    """Pairs of components whose members may come as close as an angle of limit."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, edges in _complete(batches):
+            component, r, side, x = table["component"].to_numpy(), table["r"].to_numpy(), table["side"].to_numpy(), _rows(table["centre"])
+            for a, b in zip(edges, edges[1:]):
+                here, there = a + np.flatnonzero(side[a:b] != 1), a + np.flatnonzero(side[a:b] != 0)
+                near = np.arccos(np.clip(x[here] @ x[there].T, -1, 1)) <= r[here][:, None] + r[there][None] + limit
+                if (side[a:b] == 2).any():
+                    near &= component[here][:, None] < component[there][None]
+                one, two = np.nonzero(near)
+                yield pa.RecordBatch.from_arrays([pa.array(component[here[one]]), pa.array(component[there[two]])], ["a", "b"])
+
+    return run
+
+
+def _any_link(threshold: float):
+    """One link of each group between its sides, if there is one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, edges in _complete(batches):
+            ids, side, x = table["id"].to_numpy(), table["side"].to_numpy(), _rows(table["data"])
+            for a, b in zip(edges, edges[1:]):
+                here, there = a + np.flatnonzero(side[a:b] == 0), a + np.flatnonzero(side[a:b] == 1)
+                linked = x[here] @ x[there].T >= threshold
+                if linked.any():
+                    one, two = np.unravel_index(linked.argmax(), linked.shape)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[here[one : one + 1]]), pa.array(ids[there[two : two + 1]])], ["a", "b"])
+
+    return run
+
+
+def _between(nodes: DataFrame, found: DataFrame, edges: DataFrame, dim: int, threshold: float, scratch: Scratch) -> DataFrame | None:
+    """Links (a, b) that join components whose nodes have so many links that a bounded list may hold none of these."""
+    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    limit = float(np.arccos(threshold)) + 1e-6
+    crowded = edges.filter(~F.col("tie") & (F.col("cosine") >= threshold)).groupBy(F.col("a").alias("id")).agg(F.count(F.lit(1)).alias("k"))
+    crowded = crowded.filter(F.col("k") >= NEIGHBOURS).select("id")
+    members = nodes.join(crowded, "id").join(found.withColumnRenamed("node", "id"), "id")
+    members = scratch.store(members.select("component", "id", "data"))
+    groups = scratch.store(_radii(members, dim))
+    many = groups.count()
+    if many < 2:
+        return None
+    spread = _block_pairs(groups.withColumn("all", F.lit(0)), F.lit(many), "all", "component")
+    spread = spread.repartition(tasks, "low", "high").sortWithinPartitions("group", "component")
+    pairs = spread.select("group", "component", "r", "side", "centre").mapInArrow(_near_centres(limit), "a long, b long")
+    pairs = scratch.store(pairs)
+    if pairs.isEmpty():
+        return None
+    # of each pair the nodes that come near enough to the other component
+    ways = pairs.select("a", "b", F.col("a").alias("component"), F.col("b").alias("to"), F.lit(0).alias("side")).unionByName(
+        pairs.select("a", "b", F.col("b").alias("component"), F.col("a").alias("to"), F.lit(1).alias("side"))
+    )
+    ways = ways.join(groups.select(F.col("component").alias("to"), "centre", "r"), "to")
+    meet = members.join(ways, "component").select("a", "b", "side", "id", "r", "data", "centre")
+    meet = meet.mapInArrow(_angles, "a long, b long, side int, id long, r double, angle double").filter(F.col("angle") <= F.col("r") + limit)
+    meet = scratch.store(meet.select("a", "b", "side", "id"))
+    sizes = meet.groupBy("a", "b").agg(
+        *(F.ceil(F.count(F.when(F.col("side") == k, 1)) / COUNT_BLOCK).alias(f"blocks{k}") for k in (0, 1))
+    )
+    first = F.col("side") == 0
+    dealt = (
+        meet.join(sizes.filter("blocks0 > 0 and blocks1 > 0"), ["a", "b"])
+        .withColumn("own", F.pmod(F.xxhash64("id"), F.when(first, F.col("blocks0")).otherwise(F.col("blocks1"))))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.when(first, F.col("blocks1")).otherwise(F.col("blocks0")) - 1)))
+        .withColumn("group", F.xxhash64("a", "b", F.when(first, F.col("own")).otherwise(F.col("other")), F.when(first, F.col("other")).otherwise(F.col("own"))))
+    )
+    spread = dealt.select("group", "id", "side").join(members.select("id", "data"), "id")
+    spread = spread.repartition(tasks, "group").sortWithinPartitions("group", "side", "id")
+    links = scratch.store(spread.select("group", "id", "side", "data").mapInArrow(_any_link(threshold), "a long, b long"))
+    return None if links.isEmpty() else links
 
 
 def _count_links(nodes: DataFrame, found: DataFrame, dim: int, threshold: float, scratch: Scratch) -> DataFrame:
@@ -259,17 +399,7 @@ def _count_links(nodes: DataFrame, found: DataFrame, dim: int, threshold: float,
     whole = scratch.store(_all_linked(members, dim, threshold))
     total = members.join(whole, "component", "left_semi").groupBy("component").agg(F.sum("copies").alias("all"))
     tight = members.join(total, "component").select("id", (F.col("all") - F.col("copies")).alias("n"))
-    blocks = F.ceil(F.col("size") / COUNT_BLOCK)
-    dealt = (
-        members.join(whole, "component", "left_anti")
-        .withColumn("blocks", blocks)
-        .withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .withColumn("low", F.least("own", "other"))
-        .withColumn("high", F.greatest("own", "other"))
-        .withColumn("side", F.when(F.col("low") == F.col("high"), 2).when(F.col("own") == F.col("low"), 0).otherwise(1))
-        .withColumn("group", F.xxhash64("component", "low", "high"))
-    )
+    dealt = _block_pairs(members.join(whole, "component", "left_anti"), F.col("size"), "component", "id")
     spread = dealt.repartition(tasks, "component", "low", "high").sortWithinPartitions("group", "component", "low", "high")
     counted = spread.select("group", "id", "copies", "side", "data").mapInArrow(_pair_counts(threshold), "id long, n long")
     return counted.groupBy("id").agg(F.sum("n").alias("n")).unionByName(tight)
@@ -318,10 +448,13 @@ def link(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         plain, edges, trees = own.select("id", "data"), None, 0
         for attempt in range(TRIES):
             more = TREES << attempt
-            edges = _descend(plain, dim, scratch, trees, more, edges)
+            edges = _descend(plain, dim, scratch, trees, more, edges, threshold)
             trees += more
-            links = edges.filter(F.col("cosine") >= threshold).select("a", "b")
+            links = edges.filter(F.col("tie") | (F.col("cosine") >= threshold)).select("a", "b")
             found = scratch.store(components(links, scratch))
+            across = _between(plain, found, edges, dim, threshold, scratch)
+            if across is not None:
+                found = scratch.store(components(links.unionByName(across), scratch))
             counted = scratch.store(_count_links(own, found, dim, threshold, scratch))
             if audit(own, counted, threshold) >= LEAST_RECALL:
                 break

@@ -49,3 +49,36 @@ def test_empty_table_and_nothing_valid(spark):
     assert neighbours.link(spark.createDataFrame([], SCHEMA)).count() == 0
     frame = spark.createDataFrame([(1, None, "x", 1), (2, [0.0], "x", 1), (None, [1.0], "x", 1)], SCHEMA)
     assert sorted(map(tuple, neighbours.link(frame).collect())) == [(1, 0, 1, True), (2, 0, 2, True)]
+
+
+def two_tight_groups(size, seed=3):
+    """Two groups, inside far more alike than across, where all cosines are still over the threshold."""
+    rng = np.random.default_rng(seed)
+    centre = rng.standard_normal(64)
+    centre /= np.linalg.norm(centre)
+    aside = rng.standard_normal(64)
+    aside -= (aside @ centre) * centre
+    aside /= np.linalg.norm(aside)
+    rows = []
+    for angle in (-0.135, 0.135):
+        middle = np.cos(angle) * centre + np.sin(angle) * aside
+        rows += [middle + 0.004 * rng.standard_normal(64) for _ in range(size)]
+    return [(k, [float(x) for x in np.float32(v)]) for k, v in enumerate(rows)]
+
+
+def test_links_across_tight_groups_outlive_full_lists(spark):
+    rows = two_tight_groups(150)
+    frame = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA).repartition(4)
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in neighbours.link(frame).collect()}
+    assert got == brute(rows)
+
+
+def test_full_groups_that_no_comparison_met_are_joined(spark):
+    rows = two_tight_groups(150)
+    unit = [(i, (np.array(v) / np.linalg.norm(v)).astype("<f8").tobytes()) for i, v in rows]
+    nodes = spark.createDataFrame(unit, "id long, data binary")
+    found = spark.createDataFrame([(i, i // 150 * 150) for i, _ in rows], "node long, component long")
+    listed = [(a, a // 150 * 150 + (a + k) % 150, 0.999, False) for a, _ in rows for k in range(1, 20)]
+    edges = spark.createDataFrame(listed, "a long, b long, cosine double, tie boolean")
+    across = neighbours._between(nodes, found, edges, 64, 0.95, neighbours.Scratch(spark, "test")).collect()
+    assert across and all(row.a // 150 != row.b // 150 for row in across)
