@@ -9,8 +9,11 @@ tie the nodes they connect to one of them. A link can only stay unseen for the b
 many links, so such nodes of different components are compared exactly: centres of components with their
 radii first, then the nodes of the components that come close enough. Links and ties give components; within a
 component every link is then counted exactly, block against block, or without comparing any pair where its
-radius shows that all of it is linked. What remains to be lost is what no comparison meets: the recall is
-audited on a hash-chosen sample of nodes against all others, and if it is too low more trees are added.
+radius shows that all of it is linked. What remains to be lost is what no comparison meets: the trees grow in
+number with the nodes, so that a pair at the threshold seldom misses all of them, and the recall, a mean over
+nodes that hold links, is audited on a hash-chosen sample of nodes against all others. If it is too low more
+trees are added; if they do not help either, the run fails. Where no node of the largest sample holds a
+link there is nothing to measure it by.
 
 Cosines are computed in double precision. Defined results: vectors that are null, empty, zero or hold
 null or non-finite components link with nothing, nor do vectors of different length; equal vectors
@@ -31,10 +34,15 @@ from returns_analytics.llm.components import components
 from returns_analytics.llm.storage import Scratch
 
 THRESHOLD = 0.95
-#: Neighbours of a list, trees, nodes of a block, rounds, and the least cosine of an edge that is followed.
-NEIGHBOURS, TREES, BLOCK, ROUNDS, FOLLOWED = 16, 8, 128, 3, 0.8
-#: Nodes of a component compared at once, nodes of the audit, least recall, and tries with more trees.
-COUNT_BLOCK, AUDITED, LEAST_RECALL, TRIES = 2048, 64, 0.9, 3
+#: Neighbours of a list, least trees (and trees at once), nodes of a block, rounds, and the least cosine of an edge
+#: that is followed whatever its place in a list; the first WALK of a list always are.
+NEIGHBOURS, TREES, BLOCK, ROUNDS, FOLLOWED, WALK = 16, 8, 128, 3, 0.8, 4
+#: Share of pairs at the threshold that may miss each other in all trees.
+MISSED = 0.01
+#: Nodes of a component compared at once, least recall, and tries with more trees.
+COUNT_BLOCK, LEAST_RECALL, TRIES = 2048, 0.98, 4
+#: Nodes of the audit at first and at most, and how many of them have to hold links.
+AUDITED, MOST_AUDITED, HOLDERS = 1024, 16384, 64
 _BITS = 24
 
 
@@ -101,8 +109,9 @@ def _best(ids: np.ndarray, cosines: np.ndarray, keep: int, least: float, thresho
     tied, to = _ties(ids, cosines >= threshold)
     take = min(keep, len(ids) - 1)
     part = np.argpartition(-cosines, take - 1, axis=1)[:, :take] if take > 0 else np.zeros((len(ids), 0), int)
+    part = np.take_along_axis(part, np.argsort(-np.take_along_axis(cosines, part, 1), axis=1), 1)
     a, value = np.repeat(ids, take), np.take_along_axis(cosines, part, 1).ravel()
-    good = value >= least
+    good = (value >= least) | (np.tile(np.arange(take), len(ids)) < WALK)
     columns = (a[good], tied), (ids[part].ravel()[good], to), (value[good], np.ones(len(tied))), (np.zeros(good.sum(), bool), np.ones(len(tied), bool))
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["a", "b", "cosine", "tie"])
 
@@ -212,12 +221,16 @@ def _descend(
         order = Window.partitionBy("a", "tie").orderBy(F.col("cosine").desc(), "b")
         numbered = edges.groupBy("a", "b", "tie").agg(F.max("cosine").alias("cosine")).withColumn("k", F.row_number().over(order))
         roomy = F.when(F.col("cosine") >= threshold, 2 * keep).otherwise(keep)
-        return scratch.store(numbered.filter(F.col("tie") | (F.col("k") <= roomy)).select("a", "b", "cosine", "tie"))
-
-    dealt = nodes.mapInArrow(_codes(dim, first_tree, trees), "tree int, code long, id long, data binary")
-    dealt = dealt.repartitionByRange(tasks, "tree", "code").sortWithinPartitions("tree", "code", "id")
-    start = dealt.mapInArrow(_block_edges(NEIGHBOURS, FOLLOWED, threshold), edge)
-    keep, now = NEIGHBOURS, lists(start if known is None else start.unionByName(known), NEIGHBOURS)
+        listed = ((F.col("cosine") >= FOLLOWED) & (F.col("k") <= roomy)) | (F.col("k") <= WALK)
+        return scratch.store(numbered.filter(F.col("tie") | listed).select("a", "b", "cosine", "tie"))
+
+    keep, now = NEIGHBOURS, known
+    for first in range(first_tree, first_tree + trees, TREES):
+        some = min(TREES, first_tree + trees - first)
+        dealt = nodes.mapInArrow(_codes(dim, first, some), "tree int, code long, id long, data binary")
+        dealt = dealt.repartitionByRange(tasks, "tree", "code").sortWithinPartitions("tree", "code", "id")
+        start = dealt.mapInArrow(_block_edges(NEIGHBOURS, FOLLOWED, threshold), edge)
+        now = lists(start if now is None else start.unionByName(now), NEIGHBOURS)
     for _ in range(ROUNDS):
         listed = now.filter(~F.col("tie"))
         back = listed.select(F.col("b").alias("pivot"), F.col("a").alias("id"), "cosine")
@@ -405,27 +418,50 @@ def _count_links(nodes: DataFrame, found: DataFrame, dim: int, threshold: float,
     return counted.groupBy("id").agg(F.sum("n").alias("n")).unionByName(tight)
 
 
-def audit(nodes: DataFrame, counts: DataFrame, threshold: float = THRESHOLD, audited: int = AUDITED) -> float:
-    """Share of the true links of about ``audited`` nodes that were counted; 1 if they have none."""
-    share = max(1, min(1 << 30, (audited << 30) // max(nodes.count(), 1)))
-    chosen = nodes.filter(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 30)) < share).select("id", "data").collect()
-    if not chosen:
-        return 1.0
-    ids = np.array([row["id"] for row in chosen])
-    queries = np.frombuffer(b"".join(bytes(row["data"]) for row in chosen), "<f8").reshape(len(ids), -1)
+def trees_for(n: int, threshold: float) -> int:
+    """Trees in which all but MISSED of the pairs at the threshold meet: a block of n nodes is so many signs deep."""
+    depth = np.log2(max(n / BLOCK, 1)) + 1
+    meet = (1 - np.arccos(threshold) / np.pi) ** depth
+    return max(TREES, int(np.ceil(np.log(MISSED) / np.log1p(-meet))))
+
+
+def true_links(nodes: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
+    """id, links of the audited nodes, from a comparison with all; more are audited while few hold links."""
+    total, wanted = nodes.count(), AUDITED
+    while True:
+        share = max(1, min(1 << 30, (wanted << 30) // max(total, 1)))
+        chosen = nodes.filter(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 30)) < share).select("id", "data").collect()
+        ids = np.array([row["id"] for row in chosen], np.int64)
+        queries = np.frombuffer(b"".join(bytes(row["data"]) for row in chosen), "<f8").reshape(len(ids), -1) if chosen else None
+        true = scratch.store(
+            nodes.select("id", "data", "copies").mapInArrow(_compare(ids, queries, threshold), "id long, n long")
+            .groupBy("id").agg(F.sum("n").alias("links"))
+        )
+        if wanted >= min(total, MOST_AUDITED) or true.filter("links > 0").count() >= HOLDERS:
+            return true
+        wanted *= 4
+
 
+def _compare(ids: np.ndarray, queries: np.ndarray | None, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(ids), np.int64)
         for batch in batches:
-            if batch.num_rows:
-                linked = queries @ _rows(batch["data"]).T >= threshold
-                linked &= ids[:, None] != batch["id"].to_numpy()[None]
-                total += linked @ batch["copies"].to_numpy()
+            if batch.num_rows and len(ids):
+                x, own, copies = _rows(batch["data"]), batch["id"].to_numpy(), batch["copies"].to_numpy()
+                for at in range(0, len(ids), 256):
+                    linked = queries[at : at + 256] @ x.T >= threshold
+                    linked &= ids[at : at + 256, None] != own[None]
+                    total[at : at + 256] += linked @ copies
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], ["id", "n"])
 
-    true = nodes.select("id", "data", "copies").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("true"))
-    both = true.join(counts, "id", "left").agg(F.sum("true").alias("t"), F.sum(F.least("true", F.coalesce("n", F.lit(0)))).alias("f")).first()
-    return 1.0 if not both["t"] else both["f"] / both["t"]
+    return run
+
+
+def audit(true: DataFrame, counts: DataFrame) -> float:
+    """Mean share of the true links that were counted, over the audited nodes that hold links; 1 if none does."""
+    share = F.least("links", F.coalesce("n", F.lit(0))) / F.col("links")
+    recall = true.filter("links > 0").join(counts, "id", "left").agg(F.avg(share)).first()[0]
+    return 1.0 if recall is None else recall
 
 
 def link(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -446,8 +482,9 @@ def link(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     for dim in sorted(dims):
         own = nodes.filter(F.col("dim") == dim).select("id", "copies", "data")
         plain, edges, trees = own.select("id", "data"), None, 0
+        wanted, true = trees_for(own.count(), threshold), true_links(own, threshold, scratch)
         for attempt in range(TRIES):
-            more = TREES << attempt
+            more = wanted << attempt
             edges = _descend(plain, dim, scratch, trees, more, edges, threshold)
             trees += more
             links = edges.filter(F.col("tie") | (F.col("cosine") >= threshold)).select("a", "b")
@@ -456,8 +493,11 @@ def link(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             if across is not None:
                 found = scratch.store(components(links.unionByName(across), scratch))
             counted = scratch.store(_count_links(own, found, dim, threshold, scratch))
-            if audit(own, counted, threshold) >= LEAST_RECALL:
+            recall = audit(true, counted)
+            if recall >= LEAST_RECALL:
                 break
+        else:
+            raise RuntimeError(f"recall {recall:.3f} of the links of audited vectors after {trees} trees, below {LEAST_RECALL}")
         counts.append(counted)
         labels.append(found)
     per_class = groups.select("dim", "key", "id", "copies")

@@ -82,3 +82,19 @@ def test_full_groups_that_no_comparison_met_are_joined(spark):
     edges = spark.createDataFrame(listed, "a long, b long, cosine double, tie boolean")
     across = neighbours._between(nodes, found, edges, 64, 0.95, neighbours.Scratch(spark, "test")).collect()
     assert across and all(row.a // 150 != row.b // 150 for row in across)
+
+
+def test_links_that_stay_lost_fail_the_run(spark, monkeypatch):
+    none = spark.createDataFrame([], "a long, b long, cosine double, tie boolean")
+    monkeypatch.setattr(neighbours, "_descend", lambda *rest: none)
+    monkeypatch.setattr(neighbours, "TRIES", 1)
+    frame = spark.createDataFrame([(*r, "x", 1) for r in vectors(1)], SCHEMA)
+    with pytest.raises(RuntimeError, match="recall"):
+        neighbours.link(frame)
+
+
+def test_recall_is_a_mean_over_nodes_and_trees_grow_with_the_table(spark):
+    true = spark.createDataFrame([(1, 999), (2, 1), (3, 0)], "id long, links long")
+    counts = spark.createDataFrame([(1, 999)], "id long, n long")
+    assert neighbours.audit(true, counts) == 0.5
+    assert neighbours.trees_for(2_000, 0.95) == 8 < neighbours.trees_for(10_000_000, 0.95)
