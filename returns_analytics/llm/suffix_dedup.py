@@ -9,8 +9,10 @@ by prefix doubling of ranks, and the previous and next smaller positions in suff
 window's longest earlier match, cut at the depth. An earlier match of full depth makes a window a later
 copy; ``keep_first`` removes later copies only, otherwise every copy goes.
 
-An anchor with very many different stretches is dealt further, by the bytes that ``SPLIT`` neighbouring
-windows share, so that no task has to hold all its stretches.
+An anchor with very many different stretches is not sorted, so that no task has to hold all its stretches. They
+are dealt in parts of ``SPLIT`` windows by the bytes these share; equal parts are counted like equal stretches,
+and where parts that share these bytes still differ, their windows are counted one by one. Parts and windows are
+told apart by 128 bits of a hash.
 
 Defined results: a null text is empty; texts shorter than a window stay; matches never cross documents but
 may overlap, within one document as well; rows that agree in doc_id and text count as two documents with
@@ -35,7 +37,7 @@ from returns_analytics.llm.storage import Scratch
 LENGTH, GRAM = 200, 40
 #: Different stretches of an anchor from which they are dealt further, and the windows dealt as one then.
 MANY, SPLIT = 4096, 16
-#: Bytes of stretches sorted at once; more if an anchor has more.
+#: Bytes of stretches sorted at once; more if an anchor has more, which has MANY stretches at most.
 SORT_BYTES = 1 << 21
 _NO_ID = -(1 << 63)
 _HASH_BITS, _AT_BITS = np.uint64(36), np.uint64(28)
@@ -140,7 +142,7 @@ def earlier_matches(rank: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np
 
 
 def _cut(length: int):
-    """The bytes of the stretches asked for of each document, whole or in parts for anchors with many."""
+    """The bytes of the stretches asked for of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,28 +150,55 @@ def _cut(length: int):
             for doc, text_hash, text, wanted in zip(*(batch[c].to_pylist() for c in (*_AT, "text", "wanted")), strict=True):
                 data = text.encode()
                 for w in wanted:
-                    first, last, anchor = w["first"], w["last"], w["anchor"]
-                    if not w["many"]:
-                        out.append((w["key"], w["key"], w["content"], doc, text_hash, first, 0, data[first : last + length]))
+                    out.append((w["key"], w["content"], doc, text_hash, w["first"], data[w["first"] : w["last"] + length]))
+            yield _batch(out, ["key", "content", *_AT, "first", "bytes"], (*(pa.int64(),) * 4, pa.int32(), pa.binary()))
+
+    return run
+
+
+def _batch(rows: list[tuple], names: list[str], kinds: tuple) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+
+
+def _digest(data: bytes) -> tuple[int, int]:
+    whole = hashlib.blake2b(data, digest_size=16).digest()
+    return int.from_bytes(whole[:8], "little", signed=True), int.from_bytes(whole[8:], "little", signed=True)
+
+
+def _parts(length: int, single: bool):
+    """The stretches asked for in parts of SPLIT windows or, if ``single``, window by window: place and hashes.
+
+    skip: windows of the stretch before the part. dealt: hash of the bytes all windows of a part share.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for doc, text_hash, text, wanted in zip(*(batch[c].to_pylist() for c in (*_AT, "text", "wanted")), strict=True):
+                data = text.encode()
+                for w in wanted:
+                    first, last, anchor, before = w["first"], w["last"], w["anchor"], w["skip"]
+                    at = (w["key"], w["content"], doc, text_hash)
+                    if single:
+                        for k in range(first, last + 1):
+                            one, two = _digest(data[k : k + length])
+                            out.append((one, one, two, *at, k, k, anchor, before + k - first))
                         continue
                     # windows by their distance to the anchor: parts begin at fixed distances
                     for part in range((anchor - last) // SPLIT, (anchor - first) // SPLIT + 1):
                         low, high = anchor - part * SPLIT - SPLIT + 1, anchor - part * SPLIT
                         a, b = max(first, low), min(last, high)
-                        core = hashlib.blake2b(data[max(high, 0) : low + length], digest_size=8).digest()
-                        dealt = int.from_bytes(core, "little", signed=True)
-                        out.append((dealt, w["key"], w["content"], doc, text_hash, a, a - first, data[a : b + length]))
-            columns = list(zip(*out, strict=True)) or [()] * 8
-            kinds = (pa.int64(),) * 5 + (pa.int32(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
-                ["dealt", "key", "content", *_AT, "first", "skip", "bytes"],
-            )
+                        dealt = _digest(data[max(high, 0) : low + length])[0]
+                        out.append((dealt, *_digest(data[a : b + length]), *at, a, b, anchor, before + a - first))
+            names = ["dealt", "one", "two", "key", "content", *_AT, "first", "last", "anchor", "skip"]
+            yield _batch(out, names, (*(pa.int64(),) * 7, *(pa.int32(),) * 4))
 
     return run
 
 
-_CUT = "dealt long, key long, content long, doc long, text_hash long, first int, skip int, bytes binary"
+_PARTS = "dealt long, one long, two long, key long, content long, doc long, text_hash long, first int, last int, anchor int, skip int"
+_CUT = "key long, content long, doc long, text_hash long, first int, bytes binary"
 
 
 def _match(length: int, keep_first: bool):
@@ -198,8 +227,8 @@ def _match(length: int, keep_first: bool):
         new[1:] = (np.diff(hit) != 1) | (owner[hit[1:]] != owner[hit[:-1]])
         low = hit[new]
         high = hit[np.append(np.flatnonzero(new)[1:], len(hit)) - 1]
-        own, skip = owner[low], table["skip"].to_numpy()
-        offset = skip[own] - begin[own]
+        own = owner[low]
+        offset = -begin[own]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(table["key"].to_numpy()[own]), pa.array(table["content"].to_numpy()[own]),
@@ -214,12 +243,12 @@ def _match(length: int, keep_first: bool):
         for batch in batches:
             while batch.num_rows:
                 # complete anchors up to the wanted size; rows come sorted
-                dealt = batch["dealt"].to_numpy()
-                ends = np.append(np.flatnonzero(dealt[1:] != dealt[:-1]) + 1, len(dealt))
-                if held and held[-1]["dealt"][-1].as_py() != dealt[0] and size >= SORT_BYTES:
+                key = batch["key"].to_numpy()
+                ends = np.append(np.flatnonzero(key[1:] != key[:-1]) + 1, len(key))
+                if held and held[-1]["key"][-1].as_py() != key[0] and size >= SORT_BYTES:
                     yield from sort(pa.Table.from_batches(held))
                     held, size = [], 0
-                lengths = np.frombuffer(batch["bytes"].buffers()[1], np.int32, len(dealt) + 1, batch["bytes"].offset * 4)
+                lengths = np.frombuffer(batch["bytes"].buffers()[1], np.int32, len(key) + 1, batch["bytes"].offset * 4)
                 taken = (lengths[ends] - lengths[0]).astype(np.int64)
                 k = int(np.searchsorted(taken, SORT_BYTES - size))
                 cut = int(ends[min(k, len(ends) - 1)])
@@ -232,6 +261,32 @@ def _match(length: int, keep_first: bool):
     return run
 
 
+def _crowded(texts: DataFrame, wanted: DataFrame, length: int, keep_first: bool, scratch: Scratch) -> DataFrame:
+    """key, content, low, high as ``_match`` gives them, for stretches of anchors with very many, by counting."""
+    here, kept = F.struct(*_AT, "first"), F.struct("kept.doc", "kept.text_hash", "kept.first")
+
+    def read(some: DataFrame, single: bool) -> DataFrame:
+        asked = F.struct("key", "content", "first", "last", "anchor", "skip")
+        per_text = some.groupBy(*_AT).agg(F.collect_list(asked).alias("wanted"))
+        cut_up = texts.join(per_text, _AT).select(*_AT, "text", "wanted").mapInArrow(_parts(length, single), _PARTS)
+        return scratch.store(cut_up)
+
+    def again(some: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Each part once, and the rows of those that occur again and go."""
+        place = F.struct(*_AT, "first", "last", "anchor", "skip", "key", "content")
+        once = scratch.store(some.groupBy("dealt", "one", "two").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("kept")))
+        rows = some.join(once.filter("n > 1").select("dealt", "one", "two", "kept"), ["dealt", "one", "two"])
+        rows = rows.filter(here > kept) if keep_first else rows
+        return once, rows.select(
+            "key", "content", F.col("skip").alias("low"), (F.col("skip") + F.col("last") - F.col("first")).alias("high")
+        )
+
+    once, equal = again(read(wanted, False))
+    differ = scratch.store(once.groupBy("dealt").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("dealt"))
+    _, single = again(read(once.join(differ, "dealt").select("kept.*"), True))
+    return equal.unionByName(single)
+
+
 def removed_spans(documents: DataFrame, scratch: Scratch, length: int = LENGTH, keep_first: bool = False) -> DataFrame:
     """doc, text_hash, windows: first and last of the windows to remove, for each document that has any."""
     spark = documents.sparkSession
@@ -258,12 +313,14 @@ def removed_spans(documents: DataFrame, scratch: Scratch, length: int = LENGTH,
         "kept.doc", "kept.text_hash",
         F.struct("key", "content", "kept.first", "kept.last", "kept.anchor", (F.col("kinds") > MANY).alias("many")).alias("w"),
     )
-    per_text = wanted.groupBy(*_AT).agg(F.collect_list("w").alias("wanted"))
-    parts = texts.join(per_text, _AT).select(*_AT, "text", "wanted").mapInArrow(_cut(length), _CUT)
-    sorted_parts = parts.repartition(tasks, "dealt").sortWithinPartitions("dealt", *_AT, "first")
-    matched = scratch.store(
-        sorted_parts.mapInArrow(_match(length, keep_first), "key long, content long, low int, high int")
-    )
+    wanted = scratch.store(wanted)
+    per_text = wanted.filter("not w.many").groupBy(*_AT).agg(F.collect_list("w").alias("wanted"))
+    whole_ones = texts.join(per_text, _AT).select(*_AT, "text", "wanted").mapInArrow(_cut(length), _CUT)
+    sorted_ones = whole_ones.repartition(tasks, "key").sortWithinPartitions("key", *_AT, "first")
+    matched = scratch.store(sorted_ones.mapInArrow(_match(length, keep_first), "key long, content long, low int, high int"))
+    many = wanted.filter("w.many").select(*_AT, "w.key", "w.content", "w.first", "w.last", "w.anchor", F.lit(0).alias("skip"))
+    if not many.isEmpty():
+        matched = matched.unionByName(scratch.store(_crowded(texts, many, length, keep_first, scratch)))
     if keep_first:
         # copies of a stretch go whole; its first one loses the windows that match an earlier place
         here = F.struct(*_AT, "first")

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from helpers_llm import later_bytes, repeated_bytes
 
@@ -54,3 +55,32 @@ def test_digest_and_empty_table(spark):
     out = suffix_dedup.remove_repeats(frame, digest=True)
     assert out.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     assert out.count() == 0
+
+
+@pytest.mark.parametrize("keep_first", [False, True])
+def test_no_task_holds_an_anchor_with_many_stretches(spark, monkeypatch, keep_first):
+    """One passage behind different text in every document: its edge has a different stretch in each."""
+    rng = np.random.default_rng(8)
+    word = lambda n: "".join(chr(c) for c in rng.integers(97, 123, n))
+    passage = word(150)
+    rows = [(k, word(90) + passage + word(90)) for k in range(40)]
+    monkeypatch.setattr(suffix_dedup, "MANY", 8)
+    real = suffix_dedup._match
+
+    def bounded(length, first):
+        match = real(length, first)
+
+        def run(batches):
+            held = list(batches)
+            names = [c for c in ("dealt", "key") if held and c in held[0].schema.names]
+            at = [k for batch in held for k in batch[names[0]].to_pylist()]
+            assert max((at.count(k) for k in set(at)), default=0) <= 8
+            yield from match(iter(held))
+
+        return run
+
+    monkeypatch.setattr(suffix_dedup, "_match", bounded)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: bytes(r.kept) for r in suffix_dedup.remove_repeats(frame, 60, keep_first).collect()}
+    wanted = later_bytes(rows, 60) if keep_first else [r[3] for r in repeated_bytes(rows, 60)]
+    assert got == {k: kept for (k, _), kept in zip(rows, wanted)}
