@@ -50,7 +50,7 @@ _BLOCKS = pa.schema(
     [("file", pa.string()), ("first", pa.int64()), ("n", pa.int32()), ("width", pa.int32()), ("ids", pa.list_(pa.int64())),
      ("cells", pa.binary()), ("low", pa.binary()), ("high", pa.binary())]
 )
-#: A round's rows: a block with its clusters now and what changed, by cluster.
+#: A round's rows: a block with its clusters now; the last block of a task carries what its task changed, by cluster.
 STATE = (
     "file string, first long, n int, width int, cells binary, low binary, high binary, clusters binary, "
     "touched array<int>, counts array<long>, sums array<array<long>>, fetched long"
@@ -231,9 +231,12 @@ def _assigner(folder: str, edges: np.ndarray, centroids: np.ndarray):
     dimensions = centroids.shape[1]
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files = _Files(folder)
+        files, last = _Files(folder), None
+        counts, sums = np.zeros(len(centroids), np.int64), np.zeros(centroids.shape, np.int64)
         for batch in batches:
             for block in batch.to_pylist():
+                if last is not None:
+                    yield pa.RecordBatch.from_pylist([last], _STATE)
                 n = block["n"]
                 low, high = (np.frombuffer(block[k], "<i4").astype(np.int64) for k in ("low", "high"))
                 cells = _unpacked(block["cells"], n, dimensions, block["width"])
@@ -241,13 +244,16 @@ def _assigner(folder: str, edges: np.ndarray, centroids: np.ndarray):
                 fetch = lambda rows: _fetch(files[block["file"]], block["first"], rows, dimensions)  # noqa: B023, E731
                 clusters, seen = nearest(cells, edges, low, high, centroids, fetch)
                 changed = np.flatnonzero(clusters != before)
-                touched, counts, sums = _changes(fetch(changed), clusters[changed], before[changed], len(centroids))
-                block |= {
-                    "clusters": clusters.astype("<i4").tobytes(), "touched": touched, "counts": counts, "sums": sums,
-                    "fetched": len(np.union1d(seen, changed)),
+                _add_changes(counts, sums, fetch(changed), clusters[changed], before[changed])
+                last = block | {
+                    "clusters": clusters.astype("<i4").tobytes(), "fetched": len(np.union1d(seen, changed)),
+                    "touched": [], "counts": [], "sums": [],
                 }
-                yield pa.RecordBatch.from_pylist([block], _STATE)
         files.close()
+        if last is not None:
+            touched = np.flatnonzero((counts != 0) | (sums != 0).any(axis=1))
+            last |= {"touched": touched.tolist(), "counts": counts[touched].tolist(), "sums": sums[touched].tolist()}
+            yield pa.RecordBatch.from_pylist([last], _STATE)
 
     return assign
 
@@ -259,19 +265,16 @@ _STATE = pa.schema(
 )
 
 
-def _changes(vectors: np.ndarray, now: np.ndarray, before: np.ndarray, clusters: int) -> tuple[list, list, list]:
-    """Clusters that won or lost vectors, and by how much their counts and sums change."""
-    counts, sums = np.zeros(clusters, np.int64), np.zeros((clusters, vectors.shape[1]), np.int64)
+def _add_changes(counts: np.ndarray, sums: np.ndarray, vectors: np.ndarray, now: np.ndarray, before: np.ndarray) -> None:
+    """Add vectors to the clusters they joined and take them from those they left (-1: none)."""
     for labels, sign in ((now, 1), (before, -1)):
         known = labels >= 0
         np.add.at(counts, labels[known], sign)
         order = np.argsort(labels[known], kind="stable")
-        sorted_labels = labels[known][order]
-        if len(sorted_labels):
-            starts = np.flatnonzero(np.r_[True, np.diff(sorted_labels) > 0])
-            sums[sorted_labels[starts]] += sign * np.add.reduceat(vectors[known][order], starts, axis=0)
-    touched = np.flatnonzero((counts != 0) | (sums != 0).any(axis=1))
-    return touched.tolist(), counts[touched].tolist(), sums[touched].tolist()
+        ordered = labels[known][order]
+        if len(ordered):
+            starts = np.flatnonzero(np.r_[True, np.diff(ordered) > 0])
+            sums[ordered[starts]] += sign * np.add.reduceat(vectors[known][order], starts, axis=0)
 
 
 def _measurer(folder: str, edges: np.ndarray, centroids: np.ndarray):
@@ -295,14 +298,24 @@ def _measurer(folder: str, edges: np.ndarray, centroids: np.ndarray):
     return measure
 
 
-def _moved(state: DataFrame, k: int, dimensions: int) -> tuple[np.ndarray, np.ndarray]:
-    """Changes of counts and sums by cluster; at most k rows come to the driver."""
+def _moved(state: DataFrame, k: int, dimensions: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Changes of counts and sums by cluster, and how many vectors were fetched.
+
+    One row per cluster and dimension at most comes to the driver; counts and fetches travel as dimensions -1 and -2.
+    """
     changes = state.select(F.explode(F.arrays_zip("touched", "counts", "sums")).alias("c")).select("c.*")
-    totals = [F.sum(F.col("sums")[d]).alias(f"s{d}") for d in range(dimensions)]
-    counts, sums = np.zeros(k, np.int64), np.zeros((k, dimensions), np.int64)
-    for row in changes.groupBy("touched").agg(F.sum("counts").alias("n"), *totals).collect():
-        counts[row["touched"]], sums[row["touched"]] = row["n"], row[2:]
-    return counts, sums
+    parts = changes.select("touched", F.posexplode("sums").alias("d", "x"))
+    parts = parts.unionAll(changes.select("touched", F.lit(-1), "counts"))
+    parts = parts.unionAll(state.select(F.lit(0), F.lit(-2), "fetched"))
+    counts, sums, fetched = np.zeros(k, np.int64), np.zeros((k, dimensions), np.int64), 0
+    for c, d, x in parts.groupBy("touched", "d").agg(F.sum("x")).collect():
+        if d >= 0:
+            sums[c, d] = x
+        elif d == -1:
+            counts[c] = x
+        else:
+            fetched = x
+    return counts, sums, fetched
 
 
 def centroid_sha256(centroid: np.ndarray) -> str:
@@ -335,16 +348,15 @@ def cluster(
     blocks = scratch.store(kept.mapInArrow(_indexer(scratch.folder, edges, bits, block), BLOCKS))
     counts, sums = np.zeros(len(centroids), np.int64), np.zeros(centroids.shape, np.int64)
     state = blocks.drop("ids").withColumn("clusters", F.lit(None).cast("binary"))
-    fetched, total = [], None
+    fetched = []
     for _ in range(rounds):
         before = state
         columns = [f.name for f in _STATE][:8]
         state = scratch.store(before.select(*columns).mapInArrow(_assigner(scratch.folder, edges, centroids), STATE))
         scratch.drop(before)
-        count_change, sum_change = _moved(state, len(centroids), dimensions)
+        count_change, sum_change, seen = _moved(state, len(centroids), dimensions)
         counts, sums = counts + count_change, sums + sum_change
-        total = int(counts.sum())
-        fetched.append(state.agg(F.sum("fetched")).first()[0] / total)
+        fetched.append(seen / int(counts.sum()))
         full = counts > 0
         centroids = centroids.copy()
         centroids[full] = sums[full] // counts[full][:, None]  # numpy rounds down
