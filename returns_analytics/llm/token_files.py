@@ -44,7 +44,7 @@ FINAL_ID = 2
 #: Ids of a block; bytes of blocks and documents after which a file is closed.
 BLOCK, ROLL_BYTES, ROLL_DOCUMENTS = 4096, 64 << 20, 1 << 20
 #: Pieces of words, and words, whose ids a worker keeps in each of two generations.
-PIECES_KEPT, WORDS_KEPT = 250_000, 150_000
+PIECES_KEPT, WORDS_KEPT = 600_000, 300_000
 #: Ids unpacked at once.
 _RUN = 1 << 19
 #: Bytes of packed ids a task hands on at once.
@@ -68,11 +68,17 @@ def width_of(vocabulary: int) -> int:
     return max(1, (vocabulary - 1).bit_length())
 
 
+#: Widths for which the packed form is an array of whole numbers.
+_WHOLE_BYTES = {8: "u1", 16: "<u2", 32: "<u4"}
+
+
 def pack_bits(ids: np.ndarray, bits: int) -> bytes:
     """Ids at ``bits`` bits each, lowest bit first."""
     n = len(ids)
     if n and int(ids.max()) >> bits:
         raise ValueError(f"an id needs more than {bits} bits")
+    if bits in _WHOLE_BYTES:
+        return ids.astype(_WHOLE_BYTES[bits]).tobytes()
     lanes = np.zeros(-(-n // 8) * 8, np.uint64)
     lanes[:n] = ids
     lanes = lanes.reshape(-1, 8)
@@ -87,6 +93,8 @@ def pack_bits(ids: np.ndarray, bits: int) -> bytes:
 
 def unpack_bits(data: bytes, n: int, bits: int) -> np.ndarray:
     """The first ``n`` ids of packed bytes."""
+    if bits in _WHOLE_BYTES:
+        return np.frombuffer(data, _WHOLE_BYTES[bits], n).astype(np.uint32)
     groups = -(-n // 8)
     padded = np.zeros(groups * bits, np.uint8)
     taken = np.frombuffer(data, np.uint8, (n * bits + 7) // 8)
@@ -132,6 +140,7 @@ _IN_LATIN = re.compile("[\x00-\xff]*").fullmatch
 #: Byte-level characters: bytes that print stand for themselves, the others follow from 256 on.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in set(_PRINTED))}
+_SPACE = chr(_BYTE_LEVEL[32])
 #: A space behind white space: there a text must not be cut.
 _UNSAFE = re.compile(r"\s ").search
 _SAFE_CUT = re.compile(r"(?<=\S)(?= )")
@@ -158,16 +167,23 @@ class ByteTokenizer:
         added = [token.content for token in self._whole.get_added_tokens_decoder().values()]
         self._own_split = self._own_split and not any(" " in name for name in added)
         self._added = re.compile("|".join(map(re.escape, added)) or "(?!)").search
-        self._model = self._whole.model.tokenize
+        model = self._whole.model
+        # pieces are looked up here; the model's own small table would cost more than it finds
+        getattr(model, "_resize_cache", lambda size: None)(0)
+        self._model = model.tokenize
         self._pieces = _Kept(self._piece, PIECES_KEPT)
         self._first, self._next = _Kept(self._part, WORDS_KEPT), _Kept(lambda word: self._part(" " + word), WORDS_KEPT)
 
     def _piece(self, piece: str) -> bytes:
-        tokens = self._model(piece.encode().decode("latin-1").translate(_BYTE_LEVEL))
-        return b"".join([token.id.to_bytes(4, "little") for token in tokens])
+        if piece.isascii() and piece.isprintable():
+            level = piece.replace(" ", _SPACE)
+        else:
+            level = piece.encode().decode("latin-1").translate(_BYTE_LEVEL)
+        ids = [token.id for token in self._model(level)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _part(self, part: str) -> bytes:
-        if _IN_LATIN(part) and not self._added(part):
+        if (part.isascii() or _IN_LATIN(part)) and not self._added(part):
             return b"".join(map(self._pieces.__getitem__, _SPLIT.findall(part)))
         return np.array(self._whole.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
 
