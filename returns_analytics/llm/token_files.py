@@ -36,20 +36,17 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from returns_analytics.llm.arrays import list_array
+from returns_analytics.llm.arrays import list_array, ragged, slices, span_hashes, table_of
 from returns_analytics.llm.storage import Scratch
 
 #: The id after every document.
 FINAL_ID = 2
 #: Ids of a block; bytes of blocks and documents after which a file is closed.
 BLOCK, ROLL_BYTES, ROLL_DOCUMENTS = 4096, 64 << 20, 1 << 20
-#: Pieces of words, and words, whose ids a worker keeps in each of two generations.
-PIECES_KEPT, WORDS_KEPT = 600_000, 300_000
+#: Parts of texts whose ids a worker keeps in each of two generations.
+PARTS_KEPT = 800_000
 #: Ids unpacked at once.
 _RUN = 1 << 19
-#: Bytes of packed ids a task hands on at once.
-_BATCH = 4 << 20
-
 _MAGIC = b"TOKBITS1"
 _TAIL = struct.Struct("<QQQQIII4x8s")
 _ENCODED = pa.schema([("shard", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("packed", pa.binary())])
@@ -118,7 +115,7 @@ class _Kept(dict):
         super().__init__()
         self._compute, self._size, self._old = compute, size, {}
 
-    def __missing__(self, key: str) -> bytes:
+    def __missing__(self, key: bytes) -> bytes:
         value = self._old.get(key)
         if value is None:
             value = self._compute(key)
@@ -141,18 +138,40 @@ _IN_LATIN = re.compile("[\x00-\xff]*").fullmatch
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in set(_PRINTED))}
 _SPACE = chr(_BYTE_LEVEL[32])
-#: A space behind white space: there a text must not be cut.
-_UNSAFE = re.compile(r"\s ").search
-_SAFE_CUT = re.compile(r"(?<=\S)(?= )")
+
+_ASCII_LETTERS = table_of(bytes(b for b in range(128) if chr(b).isalpha()))
+#: What ends a word without being able to join what follows it, unlike an apostrophe.
+_MARKS = table_of(bytes(b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'"))
+#: Bytes a space may be cut off from: what prints in ASCII, and all others but the last bytes of white space.
+_SOLID = table_of(bytes(b for b in range(33, 256) if b != 127 and b not in {*range(0x80, 0x8B), 0x9F, 0xA0, 0xA8, 0xA9, 0xAF}))
+
+
+def part_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the parts of all rows begin; no token of a byte-level split reaches over these places.
+
+    A part begins with its row, with a space that follows something else than white space, and with a
+    punctuation mark that follows a letter.
+    """
+    cut = np.zeros(len(data), bool)
+    cut[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+    before, here = data[:-1], data[1:]
+    space = here == 32
+    cut[1:] |= (space & _SOLID[before]) | (_MARKS[here] & _ASCII_LETTERS[before])
+    # last bytes that letters share with white space: decided by the bytes before
+    for at in (np.flatnonzero(space & ~_SOLID[before] & (before >= 0x80)) + 1,):
+        two = (data[at - 2] == 0xC2) & ((data[at - 1] == 0x85) | (data[at - 1] == 0xA0))
+        three = (data[at - 2] >= 0x80) & (data[at - 2] < 0xC0) & (data[at - 3] >= 0xE1) & (data[at - 3] <= 0xE3)
+        cut[at[~two & ~three]] = True
+    return np.flatnonzero(cut)
 
 
 class ByteTokenizer:
-    """Packed ids (little-endian, 32 bits) of whole texts by a byte-level tokenizer file.
+    """Ids of whole texts by a byte-level tokenizer file, many rows at once.
 
-    The split never joins a space to a character before it, so a text may be cut before every space that
-    follows something else than white space, and the ids of a text are those of its parts one after another.
-    Parts and their pieces are looked up; both tables are bounded. Parts with characters beyond Latin-1 or the
-    name of a special token go through the tokenizer whole.
+    The ids of a text are those of its parts (part_starts) one after another. The parts of a slice of rows are found and
+    made distinct by arrays; each distinct part is then looked up, and the tokenizer is asked for new ones only.
+    Parts with characters beyond Latin-1, rows that name a special token and files of another kind go
+    through the tokenizer whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -162,38 +181,76 @@ class ByteTokenizer:
         self._whole = Tokenizer.from_file(path)
         self.vocabulary = self._whole.get_vocab_size()
         split = self._whole.pre_tokenizer
-        self._own_split = isinstance(split, ByteLevel) and split.use_regex and not split.add_prefix_space
-        self._own_split = self._own_split and self._whole.normalizer is None and self._whole.post_processor is None
+        self.by_parts = isinstance(split, ByteLevel) and split.use_regex and not split.add_prefix_space
+        self.by_parts = self.by_parts and self._whole.normalizer is None and self._whole.post_processor is None
         added = [token.content for token in self._whole.get_added_tokens_decoder().values()]
-        self._own_split = self._own_split and not any(" " in name for name in added)
-        self._added = re.compile("|".join(map(re.escape, added)) or "(?!)").search
+        self._added = re.compile(b"|".join(re.escape(name.encode()) for name in added) or b"(?!)")
         model = self._whole.model
-        # pieces are looked up here; the model's own small table would cost more than it finds
+        # parts are looked up here; the model's own small table would cost more than it finds
         getattr(model, "_resize_cache", lambda size: None)(0)
         self._model = model.tokenize
-        self._pieces = _Kept(self._piece, PIECES_KEPT)
-        self._first, self._next = _Kept(self._part, WORDS_KEPT), _Kept(lambda word: self._part(" " + word), WORDS_KEPT)
-
-    def _piece(self, piece: str) -> bytes:
-        if piece.isascii() and piece.isprintable():
-            level = piece.replace(" ", _SPACE)
-        else:
-            level = piece.encode().decode("latin-1").translate(_BYTE_LEVEL)
-        ids = [token.id for token in self._model(level)]
+        self._parts = _Kept(self._part, PARTS_KEPT)
+
+    def _part(self, part: bytes) -> bytes:
+        text = part.decode()
+        if not (text.isascii() or _IN_LATIN(text)):
+            return self._whole_ids(text)
+        ids = []
+        for piece in _SPLIT.findall(text):
+            if piece.isascii() and piece.isprintable():
+                level = piece.replace(" ", _SPACE)
+            else:
+                level = piece.encode().decode("latin-1").translate(_BYTE_LEVEL)
+            ids += [token.id for token in self._model(level)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _part(self, part: str) -> bytes:
-        if (part.isascii() or _IN_LATIN(part)) and not self._added(part):
-            return b"".join(map(self._pieces.__getitem__, _SPLIT.findall(part)))
-        return np.array(self._whole.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def encode(self, text: str) -> bytes:
-        if not self._own_split:
-            return np.array(self._whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if _UNSAFE(text):
-            return b"".join(map(self._first.__getitem__, _SAFE_CUT.split(text)))
-        first, *others = text.split(" ")
-        return self._first[first] + b"".join(map(self._next.__getitem__, others))
+    def _whole_ids(self, text: str) -> bytes:
+        return np.array(self._whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of one text."""
+        return next(self.encode_rows(pa.array([text], pa.string())))[0]
+
+    def encode_rows(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of all rows of a slice, one after another, and how many each row has; null counts as empty."""
+        for _, _, data, offsets in slices(column):
+            blob = data.tobytes()
+            special = {int(np.searchsorted(offsets, m.start(), "right")) - 1 for m in self._added.finditer(blob)}
+            if not self.by_parts:
+                special = set(range(len(offsets) - 1))
+            ids, counts = self._slice(data, blob, offsets) if len(special) < len(offsets) - 1 else (None, None)
+            if special:
+                ends = np.cumsum(counts) if counts is not None else None
+                rows = []
+                for row in range(len(offsets) - 1):
+                    if row in special:
+                        whole = self._whole_ids(blob[offsets[row] : offsets[row + 1]].decode())
+                        rows.append(np.frombuffer(whole, "<u4"))
+                    else:
+                        rows.append(ids[ends[row] - counts[row] : ends[row]])
+                ids, counts = np.concatenate(rows), np.array([len(r) for r in rows], np.int64)
+            yield ids, counts
+
+    def _slice(self, data: np.ndarray, blob: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        starts = part_starts(data, offsets)
+        if not len(starts):
+            return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
+        ends = np.append(starts[1:], len(data))
+        _, first, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        # parts lie one after another, so all of them are compared with their first likeness at once
+        lengths = ends - starts
+        like = first[which]
+        if not (lengths == lengths[like]).all() or not (data == data[ragged(starts[like], lengths)]).all():
+            first, which = np.arange(len(starts)), np.arange(len(starts))
+        keys = [blob[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+        found = list(map(self._parts.__getitem__, keys))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), "<u4")
+        begin = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+        ids = flat[ragged(begin[which], sizes[which])]
+        rows = np.searchsorted(offsets, starts, "right") - 1
+        counts = np.bincount(rows, weights=sizes[which], minlength=len(offsets) - 1).astype(np.int64)
+        return ids, counts
 
 
 _TOKENIZERS: dict[str, ByteTokenizer] = {}
@@ -216,36 +273,34 @@ def shard_bounds(documents: DataFrame, shards: int) -> np.ndarray:
     return np.array(documents.agg(cuts.alias("cuts")).first()["cuts"] or [], np.int64)
 
 
-def _encoder(path: str, bits: int, final_id: int, bounds: np.ndarray):
-    last = final_id.to_bytes(4, "little")
+def _shards(doc_ids: pa.Array, bounds: np.ndarray, packed: list[bytes]) -> np.ndarray:
+    """Shard of every row: by doc_id, and by content where an id spans several bounds; null comes first.
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(path)
-        shard, doc_ids, n, packed, held = [], [], [], [], 0
+    Within such an id the shard ascends with the check sum, the next part of the order rows are written in.
+    """
+    ids = doc_ids.fill_null(0).to_numpy(zero_copy_only=False)
+    shard, end = np.searchsorted(bounds, ids, "left"), np.searchsorted(bounds, ids, "right")
+    for row in np.flatnonzero(end - shard > 1):
+        shard[row] += zlib.crc32(packed[row]) * int(end[row] - shard[row]) >> 32
+    shard[doc_ids.is_null().to_numpy(zero_copy_only=False)] = 0
+    return shard
 
-        def batch_of() -> pa.RecordBatch:
-            arrays = [pa.array(c, t) for c, t in zip((shard, doc_ids, n, packed), _ENCODED.types, strict=True)]
-            return pa.RecordBatch.from_arrays(arrays, schema=_ENCODED)
 
+def _encoder(path: str, bits: int, final_id: int, bounds: np.ndarray):
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer = _tokenizer(path)
         for batch in batches:
-            texts = batch["text"]
-            for row, doc_id in enumerate(batch["doc_id"].to_pylist()):
-                ids = np.frombuffer(tokenizer.encode(texts[row].as_py() or "") + last, "<u4")
-                data = pack_bits(ids, bits)
-                at = 0
-                if doc_id is not None:
-                    at, end = (int(np.searchsorted(bounds, doc_id, side)) for side in ("left", "right"))
-                    # an id that spans bounds is dealt by content; its part of the sort key ascends with the shard
-                    at += zlib.crc32(data) * (end - at) >> 32
-                shard.append(at)
-                doc_ids.append(doc_id)
-                n.append(len(ids))
-                packed.append(data)
-                held += len(data) + 64
-                if held >= _BATCH:
-                    yield batch_of()
-                    shard, doc_ids, n, packed, held = [], [], [], [], 0
-        yield batch_of()
+            row = 0
+            for ids, counts in tokenizer.encode_rows(batch["text"]):
+                ends = np.cumsum(counts)
+                ids, counts = np.insert(ids, ends, final_id), counts + 1
+                ends = np.cumsum(counts)
+                packed = [pack_bits(ids[b - n : b], bits) for b, n in zip(ends.tolist(), counts.tolist(), strict=True)]
+                doc_ids = batch["doc_id"].slice(row, len(counts))
+                row += len(counts)
+                shards = pa.array(_shards(doc_ids, bounds, packed), pa.int32())
+                columns = [shards, doc_ids.cast(pa.int64()), pa.array(counts), pa.array(packed, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, schema=_ENCODED)
 
     return encode
 

@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -24,11 +25,25 @@ def ids_of(text, whole=[]):  # noqa: B006
 
 def test_ids_are_the_tokenizers():
     own, rng = token_files.ByteTokenizer(PATH), random.Random(4)
-    assert own._own_split and token_files.width_of(own.vocabulary) == 16
-    letters = "ab cZ 9.\n'é\t<|ë½\x85\xa0　—s"
+    assert own.by_parts and token_files.width_of(own.vocabulary) == 16
+    letters = "ab cZ 9.\n'é\t<|ë½\x85\xa0　—s,àĀ\u2028\u1680ꠀ\x1f\x7f東"
     texts = [t or "" for t in TEXTS] + ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
-    for text in texts:
-        assert np.frombuffer(own.encode(text), "<u4").tolist() == ids_of(text), repr(text)
+    for text in texts[:500]:
+        assert own.encode(text).tolist() == ids_of(text), repr(text)
+    at = 0
+    for ids, counts in own.encode_rows(pa.array([*texts, None], pa.string())):
+        for row, end in zip(range(at, at + len(counts)), np.cumsum(counts)):
+            assert ids[end - counts[row - at] : end].tolist() == ids_of(texts[row] if row < len(texts) else ""), row
+        at += len(counts)
+    assert at == len(texts) + 1
+
+
+def test_files_of_another_kind_go_through_the_tokenizer():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, whole = token_files.ByteTokenizer(path), Tokenizer.from_file(path)
+    assert not own.by_parts
+    for text in TEXTS:
+        assert own.encode(text or "").tolist() == whole.encode(text or "", add_special_tokens=False).ids
 
 
 def test_lookups_keep_frequent_keys():
