@@ -23,3 +23,7 @@ class DuplicateKeys(RunError):
 
 class GateFailed(RunError):
     """A data-quality gate stopped the run."""
+
+
+class PublishConflict(RunError):
+    """Another run published the same period while this one was writing it."""

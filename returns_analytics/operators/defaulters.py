@@ -129,52 +129,45 @@ def last_filed(
 ) -> DataFrame:
     """Latest earlier growth row, within the lookback, whose return has a filing date.
 
-    It comes with its averages and its trend. Only taxpayers of the population are looked at, before
-    anything meets; the risk table joins last, one row per taxpayer on the picked period.
+    It comes with its averages, its trend and, where the table is given, its risk. Growth rows, filings and risk rows
+    are stacked and dealt by taxpayer once; they meet per month and the newest month with a filing is then the
+    greatest of a struct, both as aggregates within that one partitioning, so nothing is joined on two keys. Only
+    taxpayers of the population are looked at.
     """
     start = F.lit(parse_period(period))
     recent = growth.filter(
         (F.col("period_date") < start) & (F.col("period_date") >= F.add_months(start, -history_months(months)))
-    ).select(
-        "gstin",
-        "ret_period",
-        "period_date",
-        F.col("growth_trend").alias("last_growth_trend"),
-        *[F.col(f"avg_{n}m_output_tax").alias(f"avg_output_tax_{n}m") for n in (3, 6, 12)],
     )
-    if population is not None:
-        recent = recent.join(population.select("gstin"), "gstin", "left_semi")
     # The periods of the lookback prune the other tables' partitions at run time. They are distinct
     # valid periods, a few dozen and at most 120,000 short texts, so they are always small.
     periods = F.broadcast(recent.select("ret_period").filter(is_valid_period(F.col("ret_period"))).distinct())
+    averages = [F.col(f"avg_{n}m_output_tax").alias(f"avg_output_tax_{n}m") for n in (3, 6, 12)]
+    month = F.struct("period_date", *averages, F.col("growth_trend").alias("last_growth_trend"))
+    stack = recent.select("gstin", "ret_period", month.alias("month"))
+    filings = summary.join(periods, "ret_period", "left_semi").filter(F.col("filing_date").isNotNull())
+    stack = stack.unionByName(filings.select("gstin", "ret_period", "filing_date"), allowMissingColumns=True)
+    if risk is not None:
+        at_risk = F.struct(F.col("risk_level").alias("last_risk_level"), F.col("risk_score").alias("last_risk_score"))
+        risks = risk.join(periods, "ret_period", "left_semi").select("gstin", "ret_period", at_risk.alias("risk"))
+        stack = stack.unionByName(risks, allowMissingColumns=True)
+    if population is None:
+        stack = stack.filter(F.col("gstin").isNotNull()).repartition("gstin")
+    else:
+        stack = stack.join(population.select("gstin"), "gstin", "left_semi")
     # a period with several returns counts once, with its latest date
-    filed = (
-        summary.join(periods, "ret_period", "left_semi")
-        .filter(F.col("filing_date").isNotNull())
-        .groupBy("gstin", "ret_period")
-        .agg(F.max("filing_date").alias("last_filing_date"))
+    found = [F.max("month").alias("month"), F.max("filing_date").alias("last_filing_date")]
+    if risk is not None:
+        found.append(F.max("risk").alias("risk"))
+    months_filed = (
+        stack.groupBy("gstin", "ret_period").agg(*found).filter("month is not null and last_filing_date is not null")
     )
-    if population is not None:
-        filed = filed.join(population.select("gstin"), "gstin", "left_semi")
-    rows = recent.join(filed, ["gstin", "ret_period"])
-    carried = ["last_filing_date", *[f"avg_output_tax_{n}m" for n in (3, 6, 12)], "last_growth_trend"]
-    order = Window.partitionBy("gstin").orderBy(
-        F.col("period_date").desc(), F.col("last_filing_date").desc(), F.col("ret_period").desc()
-    )
-    picked = (
-        rows.withColumn("rank", F.row_number().over(order))
-        .filter("rank = 1")
-        .select("gstin", F.col("ret_period").alias("last_filed_period"), *carried)
-    )
-    if risk is None:
-        return picked
-    risks = risk.join(periods, "ret_period", "left_semi").select(
-        "gstin",
-        F.col("ret_period").alias("last_filed_period"),
-        F.col("risk_level").alias("last_risk_level"),
-        F.col("risk_score").alias("last_risk_score"),
-    )
-    return picked.join(risks, ["gstin", "last_filed_period"], "left")
+    order = F.struct("month.period_date", "last_filing_date", "ret_period")
+    picked = months_filed.groupBy("gstin").agg(
+        F.max_by(F.struct(*[c for c in months_filed.columns if c != "gstin"]), order).alias("pick"))
+    carried = ["pick.last_filing_date", *[f"pick.month.avg_output_tax_{n}m" for n in (3, 6, 12)], "pick.month.last_growth_trend"]
+    if risk is not None:
+        carried += ["pick.risk.last_risk_level", "pick.risk.last_risk_score"]
+    return picked.select("gstin", F.col("pick.ret_period").alias("last_filed_period"), *carried)
 
 
 def historical_defaults(history: DataFrame, period: str) -> DataFrame:
@@ -236,7 +229,7 @@ def defaulter_candidates(
 ) -> DataFrame:
     """The population of a period with everything its evaluation needs.
 
-    growth and risk must be unique by (gstin, ret_period) and the jurisdiction master by code;
+    growth and risk of the period must be unique by gstin and the jurisdiction master by code;
     otherwise taxpayers come out twice, which operators.quality.bad_taxpayer_keys finds.
     """
     population = eligible(registration, period)

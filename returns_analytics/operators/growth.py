@@ -14,6 +14,9 @@ Two plans give the same rows:
 * ``unique_rows=True``: the caller knows that (gstin, date) is unique (operators.quality
   checks it); the windows then run on the rows themselves, with a single shuffle by gstin.
 
+For a list of periods only the history their rows reach back to is read, each row by its own date: a row
+dated outside the months of the periods brings the history of its taxpayer at that date, and nobody else's.
+
 Months are added as Spark does: 28 February plus one month is 28 March. Periods start on day 1,
 where this plays no part.
 """
@@ -56,49 +59,83 @@ def average_columns() -> list[str]:
     return [f"avg_{months}m_{name}" for _, name in AVERAGE_METRICS for months in AVERAGE_MONTHS]
 
 
-def _dated_rows(summary: DataFrame) -> DataFrame:
+def dated_rows(summary: DataFrame) -> DataFrame:
     """Rows with the date they are compared at; the date is NULL only for a bad period without one."""
     return summary.filter(F.col("gstin").isNotNull()).withColumn(
         "compare_date", effective_date(F.col("period_date"), F.col("ret_period"))
     )
 
 
-Bounds = tuple[dt.date, dt.date]
-
-
-def month_bounds(periods: list[str]) -> Bounds:
+def month_bounds(periods: list[str]) -> tuple[dt.date, dt.date]:
     """First and last day of the months of the periods."""
     first = parse_period(min(periods, key=lambda p: p[2:] + p[:2]))
     last = parse_period(max(periods, key=lambda p: p[2:] + p[:2]))
     return first, last.replace(day=calendar.monthrange(last.year, last.month)[1])
 
 
-def date_bounds(summary: DataFrame, periods: list[str]) -> Bounds:
-    """First and last date at which rows of the periods are compared, their months included. Eager.
+def dates_elsewhere(summary: DataFrame, periods: list[str]) -> DataFrame:
+    """(gstin, compare_date) of the periods' rows that are dated outside the months of the periods."""
+    first, last = month_bounds(periods)
+    outside = ~F.col("compare_date").between(F.lit(first), F.lit(last))
+    return period_slices(dated_rows(summary), periods).filter(outside).select(*_KEY).distinct()
+
+
+def earliest(dates: DataFrame, date: Column) -> Column:
+    """The first of a column of dates as a scalar subquery; the end of time if there is none.
 
-    It only differs from the months of the periods if rows are dated outside them.
+    Written as a one-row limit: Spark merges two aggregates over one table into one subquery, whose parts it
+    then no longer holds against the statistics of the files it scans.
+    """
+    return _edge(dates, date, "9999-12-31", F.col("date").asc())
+
+
+def latest(dates: DataFrame, date: Column) -> Column:
+    """The last of a column of dates as a scalar subquery; the beginning of time if there is none."""
+    return _edge(dates, date, "0001-01-01", F.col("date").desc())
+
+
+def _edge(dates: DataFrame, date: Column, none: str, order: Column) -> Column:
+    known = dates.select(date.alias("date")).filter("date is not null")
+    return known.unionAll(dates.sparkSession.range(1).select(F.lit(none).cast("date").alias("date"))).orderBy(order).limit(1).scalar()
+
+
+def farther_rows(summary: DataFrame, periods: list[str]) -> DataFrame:
+    """History of the rows of dates_elsewhere that lies beyond the twelve months before the periods.
+
+    The least and the greatest date are scalar subqueries, so the range is known when the scan starts and
+    held against the files' statistics; without such rows it is empty. What is left is kept by taxpayer and date.
     """
-    row = period_slices(_dated_rows(summary), periods).agg(F.min("compare_date"), F.max("compare_date")).first()
     first, last = month_bounds(periods)
-    return min(first, row[0] or first), max(last, row[1] or last)
+    dates = dates_elsewhere(summary, periods)
+    lowest, highest = earliest(dates, F.add_months("compare_date", -12)), latest(dates, F.col("compare_date"))
+    near = F.col("period_date").between(F.add_months(F.lit(first), -12), F.lit(last))
+    rows = dated_rows(summary).filter(
+        _in_other_partitions(periods) & ~near & (F.col("period_date") >= lowest) & (F.col("period_date") <= highest))
+    reach = dates.select(F.col("gstin").alias("late_gstin"), F.col("compare_date").alias("until"))
+    reached = F.col("period_date").between(F.add_months("until", -12), F.col("until"))
+    return rows.join(reach, (F.col("gstin") == F.col("late_gstin")) & reached, "left_semi")
+
 
+def _in_other_partitions(periods: list[str]) -> Column:
+    return F.col("ret_period").isNull() | ~F.col("ret_period").isin(periods)
 
-def history_rows(summary: DataFrame, periods: list[str] | None, bounds: Bounds | None = None) -> DataFrame:
-    """The dated rows that growth of the periods reads: theirs, and those up to twelve months before.
 
-    Two scans that share no row: the partitions of the periods, and in the other partitions the rows dated
-    within reach, a range the files' statistics can be held against. ``bounds`` are the dates of the
-    rows of the periods (date_bounds); by default the months of the periods.
+def history_rows(summary: DataFrame, periods: list[str] | None) -> DataFrame:
+    """The dated rows that growth of the periods reads: theirs, and those up to twelve months before each.
+
+    Three scans that share no row: the partitions of the periods; in the other partitions the rows dated
+    from twelve months before the periods to their end, a range the files' statistics can be held against; and
+    what rows dated elsewhere reach back to (farther_rows).
     """
-    rows = _dated_rows(summary)
+    rows = dated_rows(summary)
     if periods is None:
         return rows
     if not periods:
         return rows.filter(F.lit(False))
-    first, last = bounds or month_bounds(periods)
-    elsewhere = F.col("ret_period").isNull() | ~F.col("ret_period").isin(periods)
-    earlier = rows.filter(elsewhere & F.col("period_date").between(F.add_months(F.lit(first), -12), F.lit(last)))
-    return period_slices(rows, periods).unionByName(earlier)
+    first, last = month_bounds(periods)
+    near = F.col("period_date").between(F.add_months(F.lit(first), -12), F.lit(last))
+    earlier = rows.filter(_in_other_partitions(periods) & near)
+    return period_slices(rows, periods).unionByName(earlier).unionByName(farther_rows(summary, periods))
 
 
 def _in_history(column: str) -> Column:
@@ -151,7 +188,6 @@ def growth_history(
     summary: DataFrame,
     periods: Iterable[str] | None = None,
     unique_rows: bool = False,
-    bounds: Bounds | None = None,
 ) -> DataFrame:
     """Summary rows with the value one and twelve months before and the trailing averages. Lazy.
 
@@ -159,12 +195,17 @@ def growth_history(
     windows, and to the periods themselves after them.
     """
     wanted = None if periods is None else list(periods)
-    rows = history_rows(summary, wanted, bounds)
-    current = period_slices(_dated_rows(summary), wanted).filter(is_valid_period(F.col("ret_period")))
+    rows = history_rows(summary, wanted)
+    current = period_slices(dated_rows(summary), wanted).filter(is_valid_period(F.col("ret_period")))
     if unique_rows:
         parts = [c for c in _with_parts(rows).columns if c not in rows.columns]
         history = _with_parts(rows).filter(F.col("compare_date").isNotNull()).withColumns(_history_columns())
         return period_slices(history, wanted).filter(is_valid_period(F.col("ret_period"))).drop(*parts)
+    return rows_with_history(current, rows)
+
+
+def rows_with_history(current: DataFrame, rows: DataFrame) -> DataFrame:
+    """Dated rows with what ``rows`` hold of their taxpayers up to their date; any number of rows per date."""
     history = (
         _one_row_per_date(rows.filter(F.col("compare_date").isNotNull()))
         .withColumns(_history_columns())

@@ -58,8 +58,14 @@ def office_names(juri: DataFrame, name_column: str = "jurisdiction_name") -> Dat
 
 
 def dealers_in_period(dealer: DataFrame, summary: DataFrame, periods: Iterable[str] | None = None) -> DataFrame:
-    """Registrations of taxpayers with a return in the periods."""
-    filers = period_slices(summary, periods).select("gstin")
+    """Registrations of taxpayers with a return in the periods; all of them where no periods are given.
+
+    Filers are reduced to one narrow row each on the map side, so a month's list is mostly small enough
+    for Spark to broadcast, and the master is then cut where it is scanned.
+    """
+    if periods is None:
+        return dealer
+    filers = period_slices(summary, periods).select("gstin").distinct()
     return dealer.join(filers, "gstin", "left_semi")
 
 
@@ -77,7 +83,8 @@ def office_totals(
     partial sums on the map side, however few offices there are. Offices are named last, on the
     already small result. No side is hinted: Spark broadcasts one when its measured size allows.
 
-    For one period the taxpayer is the whole key, so sums and join share one exchange per side.
+    For one period the taxpayer is the whole key, so sums and join share one exchange per side. For a list of
+    periods only registrations of their filers are grouped.
     """
     wanted = None if periods is None else list(periods)
     rows = period_slices(summary, wanted).filter(F.col("gstin").isNotNull() & is_valid_period(F.col("ret_period")))
@@ -88,7 +95,7 @@ def office_totals(
     if single:
         returns = returns.withColumn("ret_period", F.lit(wanted[0]))
     return (
-        returns.join(dealer_offices(dealer), "gstin")
+        returns.join(dealer_offices(dealers_in_period(dealer, summary, wanted)), "gstin")
         .groupBy(*OFFICE_KEY)
         .agg(
             F.count(F.lit(1)).alias("filed_gstins"),

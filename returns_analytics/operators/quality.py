@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from returns_analytics.errors import DuplicateKeys, GateFailed
 from returns_analytics.functions.keys import normalise
 from returns_analytics.functions.periods import effective_date, month_index, shift_period
-from returns_analytics.operators.growth import Bounds, history_rows
+from returns_analytics.operators.growth import history_rows
+from returns_analytics.operators.office import dealers_in_period
 from returns_analytics.sources.tables import period_slice, period_slices
 
 
@@ -79,7 +80,8 @@ def missing_period_dates(summary: DataFrame, periods: Iterable[str] | None = Non
 def _checked_taxpayers(
     summary: DataFrame, dealer: DataFrame, juri: DataFrame, periods: Iterable[str] | None
 ) -> DataFrame:
-    flags = _registration_flags(dealer, juri).withColumn("registered", F.lit(True))
+    filers = dealers_in_period(dealer, summary, periods)
+    flags = _registration_flags(filers, juri).withColumn("registered", F.lit(True))
     return _period_taxpayers(summary, periods).join(flags, "gstin", "left")
 
 
@@ -214,12 +216,12 @@ def duplicate_office_months(offices: DataFrame) -> DataFrame:
     return duplicate_keys(offices.withColumn("month_idx", month), ["st_juri", "month_idx"])
 
 
-def has_unique_dates(summary: DataFrame, periods: list[str] | None = None, bounds: Bounds | None = None) -> bool:
+def has_unique_dates(summary: DataFrame, periods: list[str] | None = None) -> bool:
     """Whether no taxpayer has two rows at one date, which allows the one-shuffle growth plan. Eager.
 
     For a list of periods, only the rows that their growth reads are looked at.
     """
-    return duplicate_keys(history_rows(summary, periods, bounds), ["gstin", "compare_date"]).isEmpty()
+    return duplicate_keys(history_rows(summary, periods), ["gstin", "compare_date"]).isEmpty()
 
 
 def invalid_periods(summary: DataFrame) -> DataFrame:

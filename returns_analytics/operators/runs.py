@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,6 +54,44 @@ def reject_log(rejects: DataFrame, run_id: str, run_at: dt.datetime, job: str =
     )
 
 
+def risk_counts() -> list[Column]:
+    """Aggregates a run observes on the scored rows it stages, so that counting is no job of its own."""
+    failed = F.col("reject_reason").isNotNull()
+    return [F.count(F.lit(1)).alias("rows_read"), _count(~failed).alias("scored"), _count(failed).alias("failed")]
+
+
+RESULT_COUNTS = ("written", "not_filed", "filed_late", "filed_on_time", "notice_eligible")
+
+
+def result_counts() -> list[Column]:
+    """Aggregates a run observes on the results it writes."""
+    status = F.col("filing_status")
+    return [
+        F.count(F.lit(1)).alias("written"),
+        *[_count(status == name.upper()).alias(name) for name in ("not_filed", "filed_late", "filed_on_time")],
+        _count(F.col("notice_eligible") == "Y").alias("notice_eligible"),
+    ]
+
+
+def observed(seen: Observation, *names: str) -> dict[str, int]:
+    """Counts a finished write observed; 0 where the rows turned out empty and Spark left their node out of the plan."""
+    try:
+        return dict(seen.get)
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() != "AssertionError":
+            raise
+        return dict.fromkeys(names, 0)
+
+
+def summary_row(run_id: str, period: str, eligible: int, written: Mapping[str, int], skipped: int) -> dict:
+    """The row of run_summary from counts observed while writing (result_counts)."""
+    state, message = WITH_REJECTS if skipped else CLEAN
+    return {
+        "run_id": run_id, "job_name": DEFAULTER_JOB, "ret_period": period, "status": state, "total_eligible": eligible,
+        "scanned": written["written"] + skipped, **written, "skipped": skipped, "message": message,
+    }
+
+
 def defaulter_counters(results: DataFrame, rejects: DataFrame) -> DataFrame:
     """One row per period: scanned, written, skipped and the counts by status."""
     outcome = results.select("ret_period", "filing_status", "notice_eligible", F.lit(False).alias("skipped"))
@@ -73,10 +112,7 @@ def defaulter_counters(results: DataFrame, rejects: DataFrame) -> DataFrame:
 
 def risk_counters(scored: DataFrame) -> DataFrame:
     """One row per period: returns read, scored and failed, and the failed percent."""
-    failed = F.col("reject_reason").isNotNull()
-    counts = scored.groupBy("ret_period").agg(
-        F.count(F.lit(1)).alias("rows_read"), _count(~failed).alias("scored"), _count(failed).alias("failed")
-    )
+    counts = scored.groupBy("ret_period").agg(*risk_counts())
     return counts.withColumn("failed_percent", F.col("failed") * 100.0 / F.col("rows_read"))
 
 

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from returns_analytics.sources import bucketed
 from returns_analytics.sources.sinks import staging_folder
 from returns_analytics.sources.tables import read_parquet
 
@@ -25,10 +26,16 @@ AS_OF = dt.date(2000, 8, 15)
 RUN_ID = "run-1"
 RUN_AT = dt.datetime(2000, 8, 15, 2, 30)
 
+#: buckets of the tables stored by taxpayer
+BUCKETS = 4
+
 BASE_TABLES = ("supplier", "lineitem", "nation")
 
-#: tables stored by period, as in a deployment; the others are small or read whole
-PARTITIONED = ("summary", "summary_repeated", "history", "growth", "risk")
+#: tables stored by period or quarter, as in a deployment; the others are small or read whole
+PARTITIONED = dict.fromkeys(
+    ("summary", "summary_repeated", "summary_shifted", "summary_before", "history", "growth", "growth_before", "risk"),
+    ("ret_period",),
+) | {"registration_by_quarter": ("yy", "quarter")}
 
 #: derived table -> SQL over base tables and earlier derived tables; IDIV(a, b) is integer division
 DERIVED = {
@@ -116,6 +123,33 @@ DERIVED = {
     "summary_repeated": """
         select * from summary
         union all select s.* from summary s join sup u on u.gstin=s.gstin where u.k%31=0""",
+    # returns dated months before or behind their period, and a few dated in 1900
+    "summary_shifted": """
+        select gstin, ret_period,
+          case when n%13=0 then cast(d - interval '40' month as date) when n%13=1 then cast(d + interval '5' month as date)
+            when n%211=7 then make_date(1900,1,1) else period_date end period_date,
+          filing_date, taxable_value, total_output_tax, output_igst, output_cgst, output_sgst, output_cess, eligible_itc,
+          utilized_itc, reversed_itc, ineligible_itc, excess_itc, rcm_total_tax, cash_tax_paid, itc_payment_total,
+          nil_supply_ratio, filing_delay_days
+        from (select s.*, cast(s.taxable_value*100 as bigint) n,
+                make_date(cast(substr(s.ret_period,3,4) as int), cast(substr(s.ret_period,1,2) as int), 1) d
+              from summary s) t""",
+    # the summary as it was before late, corrected and moved returns came in and some were withdrawn
+    "summary_before": """
+        select gstin, ret_period, case when n%29=3 then cast(d - interval '2' month as date) else period_date end period_date,
+          filing_date, case when n%23=5 then cast(taxable_value + 100 as decimal(18,2)) else taxable_value end taxable_value,
+          total_output_tax, output_igst, output_cgst, output_sgst, output_cess, eligible_itc, utilized_itc, reversed_itc,
+          ineligible_itc, excess_itc, rcm_total_tax, cash_tax_paid, itc_payment_total, nil_supply_ratio, filing_delay_days
+        from (select s.*, case when substr(s.gstin,11,1)='3' then cast(0 as bigint) else cast(s.taxable_value*100 as bigint) end n,
+                make_date(cast(substr(s.ret_period,3,4) as int), cast(substr(s.ret_period,1,2) as int), 1) d
+              from summary s) t
+        where n%17<>2
+        union all
+        select gstin, '012010', make_date(2010,1,1), cast(null as date), max(taxable_value), max(total_output_tax),
+          max(output_igst), max(output_cgst), max(output_sgst), max(output_cess), max(eligible_itc), max(utilized_itc),
+          max(reversed_itc), max(ineligible_itc), max(excess_itc), max(rcm_total_tax), max(cash_tax_paid),
+          max(itc_payment_total), cast(null as decimal(9,4)), cast(0 as int)
+        from summary where substr(gstin,11,1) in ('4','5') group by gstin""",
     "dealer_repeated": """
         select gstin, st_juri from dealer
         union all select d.gstin, lpad(cast((u.n+1)%25 as varchar(9)),3,'0')
@@ -229,10 +263,17 @@ class Fixtures:
             path = f"{staging_folder(self.spark)}/{zlib.crc32(self.folder.encode()):08x}/{name}"
             writer = rows.write
             if name in PARTITIONED:
-                writer = rows.hint("rebalance", "ret_period").write.partitionBy("ret_period")
+                writer = rows.hint("rebalance", *PARTITIONED[name]).write.partitionBy(*PARTITIONED[name])
             writer.mode("overwrite").parquet(path)
             _WRITTEN[key] = (path, rows.schema)
         path, schema = _WRITTEN[key]
         if (self.spark, path) not in _OPENED:
             _OPENED[(self.spark, path)] = read_parquet(self.spark, path, schema)
         return _OPENED[(self.spark, path)]
+
+    def bucketed(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table bucketed by gstin and stored by period, built and written once."""
+        table = f"bucketed_{zlib.crc32(self.folder.encode()):08x}_{name}"
+        if not self.spark.catalog.tableExists(table):
+            bucketed.save(build(), table, f"{staging_folder(self.spark)}/{table}", BUCKETS, ["ret_period"])
+        return bucketed.read(self.spark, table)

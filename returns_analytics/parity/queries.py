@@ -6,6 +6,8 @@ dates as ISO text, so that the two engines' own types do not matter.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -13,13 +15,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from returns_analytics.functions import amounts, bands, filing, keys, periods
-from returns_analytics.operators import defaulters, growth, office, quality, ranges, risk, runs, trees
+from returns_analytics.operators import bitmaps, defaulters, growth, late, office, quality, ranges, risk, runs, trees
 from returns_analytics.operators.upsert import rows_without_target, stale_keys
 from returns_analytics.parity import oracle
 from returns_analytics.parity.fixtures import AS_OF, DUE, PERIOD, RUN_AT, RUN_ID, Fixtures
 from returns_analytics.parity.oracle import cents, half_up
 from returns_analytics.plans import pipelines
 from returns_analytics.sources import tables
+from returns_analytics.sources.published import Published
+from returns_analytics.sources.sinks import staging_folder
 
 _SPARK_KINDS = {"s": "string", "n": "double", "i": "bigint", "b": "boolean"}
 _SQL_KINDS = {"s": "varchar", "n": "double", "i": "bigint", "b": "boolean"}
@@ -387,19 +391,17 @@ def _(fx):
     return pipelines.growth_analytics(fx.table("summary"))
 
 
-def _some_growth(fx: Fixtures, periods: list[str]) -> DataFrame:
-    summary = fx.table("summary")
-    return pipelines.growth_analytics(summary, periods, bounds=growth.date_bounds(summary, periods))
+_SHIFTED = oracle.growth_rows("o_shifted")
 
 
-@query("growth_period", _GROWTH, f"{oracle.GROWTH_TABLE} where ret_period = '{PERIOD}'")
+@query("growth_period", _GROWTH, f"{_SHIFTED} where ret_period = '{PERIOD}'")
 def _(fx):
-    return _some_growth(fx, [PERIOD])
+    return pipelines.growth_analytics(fx.table("summary_shifted"), [PERIOD])
 
 
-@query("growth_periods", _GROWTH, f"{oracle.GROWTH_TABLE} where ret_period in ('{PERIOD}', '051997', '011999')")
+@query("growth_periods", _GROWTH, f"{_SHIFTED} where ret_period in ('{PERIOD}', '051997', '011999')")
 def _(fx):
-    return _some_growth(fx, [PERIOD, "051997", "011999"])
+    return pipelines.growth_analytics(fx.table("summary_shifted"), [PERIOD, "051997", "011999"])
 
 
 @query("growth_analytics_unique", _GROWTH, oracle.GROWTH_TABLE)
@@ -407,6 +409,35 @@ def _(fx):
     return pipelines.growth_analytics(fx.table("summary"), unique_rows=True)
 
 
+# --- late returns --------------------------------------------------------------------------
+
+def _growth_before(fx: Fixtures) -> DataFrame:
+    """The growth table as it was stored before the summary changed."""
+    return fx.keep("growth_before", lambda: pipelines.growth_analytics(fx.table("summary_before")))
+
+
+def _changes(fx: Fixtures) -> DataFrame:
+    return fx.keep("changed_dates", lambda: late.changed_dates(fx.table("summary_before"), fx.table("summary")))
+
+
+@query("changed_dates", "s: gstin changed_date", "select gstin, cur changed_date from o_changed")
+def _(fx):
+    return late.changed_dates(fx.table("summary_before"), fx.table("summary"))
+
+
+@query("growth_late_rows", _GROWTH,
+       f"""{oracle.GROWTH_TABLE} where exists (select 1 from o_changed c where c.gstin = o_growth.gstin
+         and c.cur between cast(o_growth.cur - interval 12 month as date) and o_growth.cur)""")
+def _(fx):
+    return late.late_growth(fx.table("summary"), _changes(fx))
+
+
+@query("growth_late_returns", _GROWTH, oracle.GROWTH_TABLE)
+def _(fx):
+    changes = _changes(fx)
+    return late.merge_late_growth(_growth_before(fx), late.late_growth(fx.table("summary"), changes), changes, RUN_AT)
+
+
 # --- office --------------------------------------------------------------------------------
 
 @query("office_totals", _OFFICE_TOTALS, f"select {oracle.OFFICE_TOTAL_COLUMNS} from o_offices_repeated o")
@@ -418,9 +449,10 @@ def _(fx):
 @query("office_growth", _OFFICE_GROWTH,
        f"select g.ret_period, g.st_juri, {oracle.OFFICE_GROWTH_COLUMNS} from o_office_growth_stored g")
 def _(fx):
-    produced = office.office_totals(fx.table("summary"), fx.table("dealer"), fx.table("juri")).filter(
-        "period_date >= date '1998-01-01'")
-    return office.office_growth(produced, _repeated_offices(fx))
+    # the periods of a run are its parameter; earlier months are looked up in the stored table
+    wanted = [f"{month:02d}{year}" for year in range(1998, 2011) for month in range(1, 13)]
+    return pipelines.office_revenue(
+        fx.table("summary"), fx.table("dealer"), fx.table("juri"), _repeated_offices(fx), wanted)
 
 
 @query("office_revenue_period", f"{_OFFICE_TOTALS}; {_OFFICE_GROWTH}",
@@ -452,6 +484,37 @@ def _(fx):
     return office.dealers_in_period(fx.table("dealer_repeated"), fx.table("summary"), [PERIOD])
 
 
+# --- distinct taxpayers --------------------------------------------------------------------
+
+def _filer_bits(fx: Fixtures) -> DataFrame:
+    """The stored bitmaps of all periods and offices."""
+    def build() -> DataFrame:
+        ids = fx.keep("taxpayer_ids", lambda: bitmaps.taxpayer_ids(fx.table("summary_repeated")))
+        return bitmaps.filer_bitmaps(
+            fx.table("summary_repeated"), ids, fx.table("dealer_repeated"), fx.table("juri_repeated"))
+
+    return bitmaps.with_calendar(fx.keep("filer_bits", build))
+
+
+_OFFICE_FILERS = """
+    select substr(ret_period,3,4) "year", (cast(substr(ret_period,1,2) as int)+2)//3 "quarter", st_juri, gstin from (
+      select ret_period, gstin, (select max(m.st_juri) from dealer_repeated m where m.gstin = s.gstin) st_juri
+      from summary_repeated s where gstin is not null) t
+    where st_juri in (select jurisdiction_code from juri_repeated where jurisdiction_code is not null)"""
+
+
+@query("filed_gstins_by_quarter", "s: year st_juri; i: quarter filed_gstins",
+       f'select "year", "quarter", st_juri, count(distinct gstin) filed_gstins from ({_OFFICE_FILERS}) x group by all')
+def _(fx):
+    return bitmaps.distinct_filers(_filer_bits(fx), "year", "quarter", "st_juri")
+
+
+@query("filed_gstins_by_year", "s: year; i: filed_gstins",
+       f'select "year", count(distinct gstin) filed_gstins from ({_OFFICE_FILERS}) x group by all')
+def _(fx):
+    return bitmaps.distinct_filers(_filer_bits(fx), "year")
+
+
 # --- quality -------------------------------------------------------------------------------
 
 @query("source_counts", "s: ret_period; i: source_rows source_gstins",
@@ -532,10 +595,10 @@ def _(fx):
 @query("growth_coverage", "s: ret_period; i: growth_rows summary_rows; b: incomplete",
        """select coalesce(g.ret_period, s.ret_period) ret_period, coalesce(g.n,0) growth_rows, coalesce(s.n,0) summary_rows,
          coalesce(g.n,0) < coalesce(s.n,0) incomplete
-       from (select ret_period, count(*) n from o_growth where ot > 0 group by 1) g full join
+       from (select ret_period, count(*) n from summary_before where gstin is not null group by 1) g full join
          (select ret_period, count(*) n from summary group by 1) s on s.ret_period = g.ret_period""")
 def _(fx):
-    return quality.growth_coverage(_growth(fx).filter("output_tax > 0"), fx.table("summary"))
+    return quality.growth_coverage(_growth_before(fx), fx.table("summary"))
 
 
 # --- risk ----------------------------------------------------------------------------------
@@ -755,18 +818,29 @@ def _(fx):
     return runs.revenue_run_summary(precheck, _offices(fx), RUN_ID)
 
 
+_AGAIN = [f"{month:02d}2000" for month in range(1, 13)]
+
+
 @query("latest_runs", "s: job_name ret_period run_id started_at status",
-       f"""select job_name, ret_period, run_id, started_at, status from (
-         select 'RETURN_DEFAULTER' job_name, ret_period, gstin run_id, filing_date started_at, growth_label status,
-           row_number() over (partition by ret_period order by filing_date desc nulls last, gstin desc) rn
-         from (select ret_period, gstin, filing_date, case when nil_supply_ratio > 0.2 then 'FAILED' else 'COMPLETED' end
-               growth_label from summary) a) b where rn = 1""")
-def _(fx):
-    log = fx.table("summary").select(
-        F.lit(runs.DEFAULTER_JOB).alias("job_name"), "ret_period", F.col("gstin").alias("run_id"),
-        F.col("filing_date").alias("started_at"),
-        F.when(F.col("nil_supply_ratio") > 0.2, "FAILED").otherwise("COMPLETED").alias("status"))
-    return runs.latest_runs(log)
+       f"""select 'OFFICE_REVENUE' job_name, ret_period, case when ret_period like '__2000' then 'run-2' else 'run-1' end run_id,
+         case when ret_period like '__2000' then '2000-08-15 03:30:00' else '{RUN_AT}' end started_at, 'SUCCESS' status
+       from summary where ret_period is not null group by ret_period
+       union all select 'RETURN_DEFAULTER', ret_period, '{RUN_ID}', '{RUN_AT}',
+         case when skipped > 0 then 'COMPLETED_WITH_ERRORS' else 'COMPLETED' end from ({_COUNTERS_SQL}) x""")
+def _(fx):
+    """Over the rows two office runs and a defaulter run write; the months of 2000 were run again."""
+    inputs = [fx.table(name) for name in ("summary", "dealer", "juri")]
+    again = dt.timedelta(hours=1)
+    log = [
+        runs.revenue_run_summary(quality.office_precheck(*inputs, periods), _offices(fx), run).select(
+            F.lit("OFFICE_REVENUE").alias("job_name"), "ret_period", "run_id", F.lit(start).cast("timestamp").alias("started_at"), "status")
+        for run, start, periods in (("run-1", RUN_AT, None), ("run-2", RUN_AT + again, _AGAIN))
+    ]
+    counters = runs.defaulter_counters(*defaulters.evaluate_defaulters(_candidates(fx), AS_OF))
+    population = defaulters.eligible_count(fx.table("registration"), PERIOD).withColumn("ret_period", F.lit(PERIOD))
+    evaluated = runs.run_summary(counters, population, RUN_ID).select(
+        "job_name", "ret_period", "run_id", F.lit(RUN_AT).cast("timestamp").alias("started_at"), "status")
+    return runs.latest_runs(log[0].unionByName(log[1]).unionByName(evaluated))
 
 
 # --- pages and ranges ----------------------------------------------------------------------
@@ -812,6 +886,40 @@ def _(fx):
     return pipelines.merge_growth(stored, rows, RUN_AT)
 
 
+@query("upsert_growth_bucketed", f"{_KEY} growth_trend created_at updated_at; n: taxable_value yoy_taxable_growth avg_6m_itc",
+       f"""select gstin, ret_period, trend growth_trend, tv/100 taxable_value, g_yoy_taxable/1e6 yoy_taxable_growth,
+         a_6_itc/1e6 avg_6m_itc, case when tv % 2 = 0 then '1999-01-01 00:00:00' else '{RUN_AT}' end created_at,
+         '{RUN_AT}' updated_at from o_growth where ret_period = '{PERIOD}'""")
+def _(fx):
+    return pipelines.merge_growth_period(
+        tables.period_slice(_growth_by_taxpayer(fx), PERIOD), pipelines.growth_analytics(fx.table("summary"), [PERIOD]),
+        PERIOD, RUN_AT)
+
+
+def _growth_by_taxpayer(fx: Fixtures) -> DataFrame:
+    """Growth as an earlier run left it, without every other row and with other values, bucketed by taxpayer."""
+    return fx.bucketed("growth", lambda: _with_times(
+        _growth(fx).filter("cast(taxable_value*100 as bigint) % 2 = 0").withColumn("growth_trend", F.lit("NA")),
+        "created_at", "updated_at"))
+
+
+@query("current_return_bucketed", "s: gstin filing_date; n: total_output_tax taxable_value", CATALOG["current_return"].sql)
+def _(fx):
+    stored = fx.bucketed("summary_repeated", lambda: fx.table("summary_repeated"))
+    return defaulters.current_return(stored, defaulters.eligible(fx.table("registration"), PERIOD), PERIOD)
+
+
+@query("defaulter_candidates_bucketed",
+       "s: gstin effective_period growth_trend risk_level; n: risk_score; b: filed", CATALOG["effective_period_join"].sql)
+def _(fx):
+    summary, stored, risks = (
+        fx.bucketed(name, build) for name, build in (
+            ("summary", lambda: fx.table("summary")), ("growth_now", lambda: _growth(fx)), ("risk", lambda: _risk(fx))))
+    return defaulters.with_effective_period(
+        defaulters.eligible(fx.table("registration"), PERIOD), defaulters.latest_return(summary, PERIOD),
+        defaulters.last_filed(stored, summary, PERIOD, risk=risks), stored, risks, PERIOD)
+
+
 @query("upsert_risk", f"{_PROFILE}; s: created_at updated_at processed_at; i: batch_id",
        f"""select p.*, case when {_OLD} then '1999-01-01 00:00:00' else '{RUN_AT}' end created_at, '{RUN_AT}' updated_at,
          '{RUN_AT}' processed_at, 7 batch_id from ({_PROFILE_SQL}) p""")
@@ -898,5 +1006,10 @@ def _(fx):
        from o_offices o join o_office_growth g on g.ret_period = o.ret_period and g.st_juri = o.st_juri
          left join o_offices_repeated r on r.ret_period = o.ret_period and r.st_juri = o.st_juri""")
 def _(fx):
+    """What is read back after a second write replaced the periods of a first one."""
     offices = pipelines.office_revenue(fx.table("summary"), fx.table("dealer"), fx.table("juri"))
-    return pipelines.merge_offices(_stored_offices(fx), offices, RUN_AT)
+    store = Published(fx.spark, f"{staging_folder(fx.spark)}/published-{uuid.uuid4().hex}")
+    store.publish(_stored_offices(fx))
+    stored = store.read(_stored_offices(fx).schema)
+    store.publish(pipelines.merge_offices(stored, offices, RUN_AT), periods=[d.removeprefix("ret_period=") for d in store.state().versions])
+    return store.read(stored.schema)

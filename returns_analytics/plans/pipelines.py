@@ -19,13 +19,9 @@ def growth_analytics(
     summary: DataFrame,
     periods: Iterable[str] | None = None,
     unique_rows: bool = False,
-    bounds: growth.Bounds | None = None,
 ) -> DataFrame:
-    """Growth table of the periods (all for None) in one pass over the history they reach back to.
-
-    ``bounds``: see growth.history_rows.
-    """
-    return growth.growth_table(growth.growth_history(summary, periods, unique_rows, bounds))
+    """Growth table of the periods (all for None) in one pass over the history their rows reach back to."""
+    return growth.growth_table(growth.growth_history(summary, periods, unique_rows))
 
 
 def risk_profile(
@@ -84,6 +80,17 @@ def merge_growth(target: DataFrame, rows: DataFrame, run_at: dt.datetime) -> Dat
     return upsert(target, with_audit(rows, now), TAXPAYER_KEY, [*update, "updated_at"], {"created_at": now})
 
 
+def merge_growth_period(target: DataFrame, rows: DataFrame, period: str, run_at: dt.datetime) -> DataFrame:
+    """merge_growth where both sides hold one period only: the taxpayer alone is the key.
+
+    A target bucketed by gstin (sources.bucketed) then stays where it is.
+    """
+    now = F.lit(run_at)
+    update = [name for name in rows.columns if name not in TAXPAYER_KEY]
+    defaults = {"ret_period": F.lit(period), "created_at": now}
+    return upsert(target, with_audit(rows, now), ["gstin"], [*update, "updated_at"], defaults)
+
+
 def merge_risk(target: DataFrame, profile: DataFrame, run_at: dt.datetime, batch_id: int) -> DataFrame:
     """Scores, bands and model identity replace the stored ones; the time of creation is kept."""
     now = F.lit(run_at)

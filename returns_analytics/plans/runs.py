@@ -1,8 +1,8 @@
 """Runs: compute a period and store the result. Everything here is eager.
 
-A run computes the full new state of the period, stages it in the checkpoint folder, and then
-replaces the period's partition. Running a period again gives the same state, which
-is also how late returns get in.
+A run computes the full new state of its periods and publishes it at once (sources.published). Running a period
+again gives the same state; late returns need less, see run_late_returns. What a run stages on the way is removed
+when it ends, also by an error.
 """
 
 from __future__ import annotations
@@ -13,22 +13,21 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from returns_analytics.errors import GateFailed
 from returns_analytics.functions.bands import RISK_THRESHOLDS
 from returns_analytics.functions.periods import shift_period
-from returns_analytics.operators import defaulters, quality, risk, runs
-from returns_analytics.operators.growth import date_bounds
+from returns_analytics.operators import defaulters, late, quality, risk, runs
 from returns_analytics.operators.trees import TreeModel
 from returns_analytics.operators.upsert import stale_keys
 from returns_analytics.plans import pipelines
 from returns_analytics.schemas import OFFICE_KEY, TAXPAYER_KEY
-from returns_analytics.sources.sinks import append_log, replace_periods, stage
-from returns_analytics.sources.tables import period_slice, require_registration, require_rows
+from returns_analytics.sources.published import Published
+from returns_analytics.sources.sinks import Staging, append_log
+from returns_analytics.sources.tables import period_slice, period_slices, require_registration, require_rows
 
 
 @dataclass(frozen=True)
@@ -44,21 +43,21 @@ class Inputs:
 
 @dataclass(frozen=True)
 class Store:
-    """Where the results are kept: one parquet folder per table under a root."""
+    """Where the results are kept: one folder per table under a root; logs are plain parquet."""
 
     root: str
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def read(self, spark: SparkSession, table: str, columns: T.StructType) -> DataFrame:
-        """A stored table, or an empty one before its first write."""
-        try:
-            return spark.read.schema(columns).parquet(self.path(table))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return spark.createDataFrame([], columns)
+    def table(self, spark: SparkSession, name: str) -> Published:
+        return Published(spark, self.path(name))
+
+    def read(
+        self, spark: SparkSession, name: str, columns: T.StructType, periods: Sequence[str] | None = None
+    ) -> DataFrame:
+        """A stored table, or some of its periods; an empty one before its first write."""
+        return self.table(spark, name).read(columns, periods)
 
 
 def _stored_schema(rows: DataFrame, **extra: T.DataType) -> T.StructType:
@@ -108,13 +107,18 @@ def run_monthly(
     batch_id: int,
     thresholds: Sequence[float] = RISK_THRESHOLDS,
     max_failure_percent: float = 1.0,
+    unique_rows: bool = False,
 ) -> MonthlyOutcome:
     """Growth and then risk of one period. A period without returns stores nothing but its log rows.
 
+    ``unique_rows``: no taxpayer has two rows at one date (quality.has_unique_dates looks), see operators.growth.
+
     The run is logged when it starts and when it ends or stops, with what was counted so far.
     """
     with _logged(store, inputs.summary.sparkSession, "monthly_runs", runs.MONTHLY_LOG, str(batch_id), period, run_at) as counted:
-        _store_month(inputs, store, model, period, run_at, batch_id, thresholds, max_failure_percent, counted)
+        with Staging(inputs.summary.sparkSession) as stage:
+            _store_month(
+                inputs, store, model, period, run_at, batch_id, thresholds, max_failure_percent, unique_rows, counted, stage)
     return MonthlyOutcome(period, *[counted[name] for name in ("source_rows", "growth_rows", "scored", "failed", "missing_dates")])
 
 
@@ -127,7 +131,9 @@ def _store_month(
     batch_id: int,
     thresholds: Sequence[float],
     max_failure_percent: float,
+    unique_rows: bool,
     counted: dict,
+    stage: Staging,
 ) -> None:
     summary, spark = inputs.summary, inputs.summary.sparkSession
     counted |= dict.fromkeys(("source_rows", "growth_rows", "scored", "failed", "missing_dates"), 0)
@@ -137,24 +143,56 @@ def _store_month(
     counted["source_rows"] = counts.source_rows
     counted["missing_dates"] = quality.missing_period_dates(summary, [period]).first().missing_dates
 
-    # what the period reaches back to, and whether rows need combining by date: two pruned scans
-    bounds = date_bounds(summary, [period])
-    unique = quality.has_unique_dates(summary, [period], bounds)
-    growth = stage(pipelines.growth_analytics(summary, [period], unique, bounds))
+    # rows are counted by the write that stages them
+    seen = Observation()
+    growth = pipelines.growth_analytics(summary, [period], unique_rows)
+    growth = stage(growth.observe(seen, F.count(F.lit(1)).alias("rows")))
     quality.require_unique(growth, TAXPAYER_KEY)
-    stored = period_slice(store.read(spark, "growth", growth_schema(growth)), period)
-    replace_periods(stage(pipelines.merge_growth(stored, growth, run_at)), store.path("growth"))
-    counted["growth_rows"] = growth.count()
-
-    scored = stage(
-        risk.scored_returns(summary, model, [period]).select("gstin", "ret_period", "risk_score", "reject_reason"))
-    counters = runs.risk_counters(scored).first()
-    counted |= {"scored": counters.scored, "failed": counters.failed}
-    quality.enforce_failure_limit(counters.rows_read, counters.failed, max_failure_percent)
+    stored = store.read(spark, "growth", growth_schema(growth), [period])
+    store.table(spark, "growth").publish(pipelines.merge_growth(stored, growth, run_at), [period])
+    counted["growth_rows"] = runs.observed(seen, "rows")["rows"]
+
+    seen = Observation()
+    scored = risk.scored_returns(summary, model, [period]).select("gstin", "ret_period", "risk_score", "reject_reason")
+    scored = stage(scored.observe(seen, *runs.risk_counts()))
+    read = runs.observed(seen, "rows_read", "scored", "failed")
+    counted |= {"scored": read["scored"], "failed": read["failed"]}
+    quality.enforce_failure_limit(read["rows_read"], read["failed"], max_failure_percent)
     profile, _ = risk.risk_profile_of(scored, model, thresholds)
     quality.require_unique(profile, TAXPAYER_KEY)
-    stored = period_slice(store.read(spark, "risk", risk_schema(profile)), period)
-    replace_periods(stage(pipelines.merge_risk(stored, profile, run_at, batch_id)), store.path("risk"))
+    stored = store.read(spark, "risk", risk_schema(profile), [period])
+    store.table(spark, "risk").publish(pipelines.merge_risk(stored, profile, run_at, batch_id), [period])
+
+
+def run_late_returns(
+    inputs: Inputs, store: Store, changes: DataFrame, run_at: dt.datetime
+) -> dict[str, int]:
+    """Bring the stored growth up to date with changed returns (operators.late), all periods they reach at once.
+
+    ``inputs.summary`` holds the new state and ``changes`` the (gstin, changed_date) at which it differs. Returns the
+    number of rows computed and of periods replaced; nothing is written where nothing changed.
+    """
+    spark = inputs.summary.sparkSession
+    with Staging(spark) as stage:
+        changes = stage(changes)
+        if changes.isEmpty():
+            return {"rows": 0, "periods": 0}
+        seen = Observation()
+        rows = late.late_growth(inputs.summary, changes)
+        columns = growth_schema(rows)
+        rows = stage(rows.observe(seen, F.count(F.lit(1)).alias("rows")))
+        quality.require_unique(rows, TAXPAYER_KEY)
+        stored = store.read(spark, "growth", columns)
+        reached = late.reached_rows(stored, changes).select("ret_period").unionByName(rows.select("ret_period"))
+        # one row per period
+        periods = sorted(r.ret_period for r in reached.distinct().collect())
+        known = {f"ret_period={p}" for p in periods} & set(store.table(spark, "growth").state().versions)
+        # periods no run has stored yet are left to their run
+        periods = [p for p in periods if f"ret_period={p}" in known]
+        stored = store.read(spark, "growth", columns, periods)
+        merged = late.merge_late_growth(stored, period_slices(rows, periods), changes, run_at)
+        store.table(spark, "growth").publish(merged, periods)
+        return {"rows": runs.observed(seen, "rows")["rows"], "periods": len(periods)}
 
 
 def run_defaulters(
@@ -177,8 +215,9 @@ def run_defaulters(
     due_date = defaulters.required_due_date(inputs.due, period)
     require_registration(inputs.registration, period)
     with _logged(store, inputs.summary.sparkSession, "runs", runs.RUN_LOG, run_id, period, run_at) as counted:
-        return _evaluate_period(
-            inputs, store, growth, risk_rows, period, due_date, as_of, run_at, run_id, months, counted)
+        with Staging(inputs.summary.sparkSession) as stage:
+            return _evaluate_period(
+                inputs, store, growth, risk_rows, period, due_date, as_of, run_at, run_id, months, counted, stage)
 
 
 def _evaluate_period(
@@ -193,6 +232,7 @@ def _evaluate_period(
     run_id: str,
     months: int,
     counted: dict,
+    stage: Staging,
 ) -> dict:
     spark = inputs.summary.sparkSession
     warning = quality.coverage_warning(growth, inputs.summary, period)
@@ -219,14 +259,17 @@ def _evaluate_period(
     if bad is not None:
         raise GateFailed(f"taxpayer {bad.gstin} comes out {bad.n} times; growth, risk or jurisdictions hold duplicates")
 
-    results, rejects = defaulters.results_of(checked, as_of), defaulters.rejects_of(checked)
-    row = runs.run_summary(runs.defaulter_counters(results, rejects), eligible, run_id).first()
-    counted |= row.asDict()
-    target = period_slice(stored, period)
-    replace_periods(stage(pipelines.merge_defaulters(target, results, run_at)), store.path("defaulters"))
+    # counted by the writes themselves: results where they are merged, rejects where they are logged
+    kept, set_aside = Observation(), Observation()
+    results = defaulters.results_of(checked, as_of).observe(kept, *runs.result_counts())
+    rejects = defaulters.rejects_of(checked).observe(set_aside, F.count(F.lit(1)).alias("skipped"))
+    target = store.read(spark, "defaulters", defaulter_schema(shape), [period])
+    store.table(spark, "defaulters").publish(pipelines.merge_defaulters(target, results, run_at))
     append_log(runs.reject_log(rejects, run_id, run_at), store.path("rejects"))
-    counted["state"] = (row.status, row.message)
-    return row.asDict() | {"warnings": [warning] if warning else []}
+    written, skipped = runs.observed(kept, *runs.RESULT_COUNTS), runs.observed(set_aside, "skipped")["skipped"]
+    counted |= runs.summary_row(run_id, period, counted["total_eligible"], written, skipped)
+    counted["state"] = (counted["status"], counted["message"])
+    return {n: v for n, v in counted.items() if n != "state"} | {"warnings": [warning] if warning else []}
 
 
 @contextmanager
@@ -280,11 +323,12 @@ def run_office_revenue(
     """
     spark = inputs.summary.sparkSession
     with _logged(store, spark, "revenue_runs", runs.REVENUE_RUN_LOG, run_id, period, run_at) as counted:
-        return _replace_offices(inputs, store, period, run_at, run_id, counted)
+        with Staging(spark) as stage:
+            return _replace_offices(inputs, store, period, run_at, run_id, counted, stage)
 
 
 def _replace_offices(
-    inputs: Inputs, store: Store, period: str, run_at: dt.datetime, run_id: str, counted: dict
+    inputs: Inputs, store: Store, period: str, run_at: dt.datetime, run_id: str, counted: dict, stage: Staging
 ) -> dict:
     spark = inputs.summary.sparkSession
     require_rows(period_slice(inputs.summary, period), f"summary of {period}")
@@ -306,6 +350,6 @@ def _replace_offices(
     stale = stale_keys(target, offices, OFFICE_KEY).count()
     summary = runs.revenue_run_summary(precheck, offices, run_id).first()
     counted |= summary.asDict()
-    replace_periods(stage(pipelines.merge_offices(target, offices, run_at)), store.path("offices"))
+    store.table(spark, "offices").publish(pipelines.merge_offices(target, offices, run_at), [period])
     counted["state"] = (summary.status, summary.message)
     return summary.asDict() | {"stale_deleted": stale, "warnings": warnings}

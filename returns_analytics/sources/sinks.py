@@ -1,11 +1,14 @@
-"""Writing period tables, logs and staged results."""
+"""Writing logs and staged results. Period tables: sources.published."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from returns_analytics.sources.files import Folder
+
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder the cluster names; a new local one only where all tasks run on this machine."""
@@ -26,33 +29,36 @@ def staging_folder(spark: SparkSession) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{spark.sparkContext.applicationId}"
 
 
-def stage(table: DataFrame) -> DataFrame:
-    """Write a table to the checkpoint folder and read it back, which cuts its lineage. Eager.
+class Staging:
+    """Intermediate results of one run: parquet below the staging folder, gone when the run ends, also by an error.
 
-    What follows no longer depends on the inputs, so it may overwrite them, and a lost
-    executor costs a re-read of the staged files only.
+    Staging cuts the lineage: a lost executor costs a re-read of the staged files only.
     """
-    ensure_checkpoint_dir(table.sparkSession)
-    return table.checkpoint(eager=True)
 
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark, self._name, self._count = spark, f"run-{uuid.uuid4().hex}", 0
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __call__(self, table: DataFrame) -> DataFrame:
+        """Write a table and read it back. Eager."""
+        path = f"{staging_folder(self._spark)}/{self._name}/{self._count}"
+        self._count += 1
+        table.write.parquet(path)
+        return self._spark.read.schema(table.schema).parquet(path)
 
-def replace_periods(table: DataFrame, path: str) -> None:
-    """Overwrite exactly the periods present in the table.
+    def __exit__(self, *error: object) -> None:
+        Folder(self._spark, staging_folder(self._spark)).delete(self._name)
 
-    Spark moves the new partitions into place after every task has succeeded; a job that fails
-    before leaves the stored table as it was. The move itself is no transaction: a driver lost
-    between the removal of an old partition and the move of its new one leaves that period
-    without files, and running the period again restores it. The table must not read from ``path`` any more
-    (see stage). The rebalance hint lets AQE split a big period over many tasks and put small
-    ones together, so files come out near the advisory size whatever the periods hold.
+
+def stage(table: DataFrame) -> DataFrame:
+    """Write a table to the checkpoint folder and read it back, for lazy results that outlive the call. Eager.
+
+    The files stay until the folder is cleaned; a run uses Staging.
     """
-    (
-        table.hint("rebalance", "ret_period")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ret_period")
-        .parquet(path)
-    )
+    ensure_checkpoint_dir(table.sparkSession)
+    return table.checkpoint(eager=True)
 
 
 def append_log(rows: DataFrame, path: str) -> None:

@@ -6,7 +6,7 @@ from decimal import ROUND_HALF_UP, Decimal
 import pytest
 from helpers import collect, month, row, summary
 
-from returns_analytics.operators.growth import average_columns, growth_columns, growth_history
+from returns_analytics.operators.growth import average_columns, farther_rows, growth_columns, growth_history
 from returns_analytics.plans.pipelines import growth_analytics
 
 COLUMNS = {"taxable": "taxable_value", "output_tax": "total_output_tax", "itc": "eligible_itc", "cash": "cash_tax_paid"}
@@ -110,3 +110,31 @@ def test_dates_off_the_first_day_must_match_exactly(spark):
     got = {r.ret_period: r for r in growth_history(table).collect()}
     assert got["022000"].mom_taxable_value is None
     assert got["022000"].avg_3m_taxable == Decimal("15")
+
+
+@pytest.mark.parametrize("unique", [False, True])
+def test_rows_dated_elsewhere_bring_their_own_history(spark, unique):
+    """A return of 062000 dated in 2000-03 of another year sees what its date sees."""
+    table = summary(spark, [
+        row("A", "031999", taxable_value=100), {**row("A", "062000", taxable_value=200), "period_date": month("032000")},
+        row("B", "062000", taxable_value=5), row("B", "061900", taxable_value=4),
+        {**row("C", "062000", taxable_value=7), "period_date": month("011900")},
+        row("C", "011899", taxable_value=70), row("D", "011899", taxable_value=1)])
+    want = [r for r in collect(growth_analytics(table, None, unique), *NAMES, "growth_trend") if r[1] == "062000"]
+    assert collect(growth_analytics(table, ["062000"], unique), *NAMES, "growth_trend") == want
+    got = {r.gstin: r for r in growth_analytics(table, ["062000"], unique).collect()}
+    assert got["A"].growth_trend == "STRONG_GROWTH" and got["C"].yoy_taxable_growth == Decimal("-0.9")
+    assert collect(farther_rows(table, ["062000"]), "gstin", "ret_period") == [("A", "031999"), ("C", "011899")]
+
+
+def test_random_rows_dated_elsewhere(spark):
+    rng = random.Random(11)
+    rows = random_rows(True, seed=4)
+    for r in rows:
+        if rng.random() < 0.3 and r["period_date"]:
+            r["period_date"] = month(f"{rng.randint(1, 12):02d}{rng.randint(1998, 2001)}")
+    table = summary(spark, rows)
+    whole = collect(growth_analytics(table), *NAMES)
+    assert whole == brute(rows)
+    for periods in (["062000"], ["032000", "011999"]):
+        assert collect(growth_analytics(table, periods), *NAMES) == [r for r in whole if r[1] in periods]
