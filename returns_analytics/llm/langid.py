@@ -5,7 +5,8 @@ regression is trained with follow-the-regularised-leader updates and an elastic-
 temperature fitted on rows kept aside turns its margins into calibrated probabilities.
 
 Document frequencies are counted over all training rows; only the weights are fitted on a bounded
-sample of them (``sample_rows``). Texts are read whole.
+sample of them (``sample_rows``, and ``LEAST_ROWS`` at least of every language, so that a rare one is learned as
+well; the calibration gives its rows the weight of their share). Texts are read whole.
 
 Defined results: a text that is null or has no letter is ``und`` with score 1; without training rows every
 other text is ``und`` with score 0; ties go to the alphabetically first language; repeated rows are
@@ -23,10 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from returns_analytics.llm.arrays import slices
-from returns_analytics.llm.sampling import bounded, fold
+from returns_analytics.llm.sampling import bounded_per_class, fold
 
 #: Rows the weights are fitted on, hashed n-grams, bytes of text handled at once.
 SAMPLE_ROWS, BUCKETS, SLICE = 4_000, 1 << 14, 1 << 18
+#: Rows of the sample every language has, if there are as many.
+LEAST_ROWS = 100
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
 
@@ -124,11 +127,12 @@ def softmax(margins: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def temperature(margins: np.ndarray, labels: np.ndarray) -> float:
-    """The divisor of the margins with the least log loss, found by golden-section search on its logarithm."""
+def temperature(margins: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None) -> float:
+    """The divisor of the margins with the least (weighted) log loss, by golden-section search on its logarithm."""
     if not len(labels):
         return 1.0
-    loss = lambda t: -np.log(softmax(margins / np.exp(t))[np.arange(len(labels)), labels] + 1e-12).mean()
+    weights = np.ones(len(labels)) if weights is None else weights
+    loss = lambda t: -(weights * np.log(softmax(margins / np.exp(t))[np.arange(len(labels)), labels] + 1e-12)).sum()
     low, high, ratio = -4.0, 3.0, (5**0.5 - 1) / 2
     for _ in range(40):
         a, b = high - ratio * (high - low), low + ratio * (high - low)
@@ -177,10 +181,11 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["lang"].slice(first, last - first),
+                    batch["weight"].slice(first, last - first),
                     pa.array([bucket[a:b].astype("<u2").tobytes() for a, b in zip(ends, ends[1:])], pa.binary()),
                     pa.array([values[a:b].astype("<u2").tobytes() for a, b in zip(ends, ends[1:])], pa.binary()),
                 ],
-                ["lang", "buckets", "counts"],
+                ["lang", "weight", "buckets", "counts"],
             )
 
 
@@ -195,30 +200,31 @@ def fit(documents: DataFrame, sample_rows: int = SAMPLE_ROWS, held_out: int | No
     for row in df.collect():
         frequency[row["bucket"]] = row["n"]
     idf = np.log((1 + total) / (1 + frequency)).astype(np.float32) + np.float32(1)
-    sample = bounded(rows, "doc_id", sample_rows).select("text", "lang").mapInArrow(
-        _features, "lang string, buckets binary, counts binary"
+    sample = bounded_per_class(rows, "lang", ["doc_id", "text"], sample_rows, LEAST_ROWS).select("text", "lang", "weight").mapInArrow(
+        _features, "lang string, weight double, buckets binary, counts binary"
     ).toArrow()
     languages = tuple(sorted(set(sample["lang"].to_pylist())))
     if not languages:
         return Model((), idf, np.zeros((BUCKETS, 0)), 1.0)
     number = {name: k for k, name in enumerate(languages)}
     # the order of the rows decides the online updates: sort by content, then shuffle with a fixed seed
-    found = sorted(zip(sample["lang"].to_pylist(), sample["buckets"].to_pylist(), sample["counts"].to_pylist(), strict=True))
+    found = sorted(zip(*[sample[c].to_pylist() for c in ("lang", "buckets", "counts", "weight")], strict=True))
     order = np.random.default_rng(5).permutation(len(found))
     vectors = []
     for k in order:
-        lang, buckets, values = found[k]
+        lang, buckets, values, weight = found[k]
         at = np.frombuffer(buckets, "<u2").astype(np.int64)
         x = np.log1p(np.frombuffer(values, "<u2").astype(float)) * idf[at]
-        vectors.append((at, x / max(np.sqrt((x**2).sum()), 1e-12), number[lang]))
+        vectors.append((at, x / max(np.sqrt((x**2).sum()), 1e-12), number[lang], weight))
     aside = len(vectors) // 5
     learner = Ftrl(BUCKETS, len(languages))
     for _ in range(epochs):
-        for at, x, label in vectors[aside:]:
+        for at, x, label, _ in vectors[aside:]:
             learner.update(at, x, label)
     weights = learner.weights()
-    margins = np.array([x @ weights[at] for at, x, _ in vectors[:aside]]).reshape(-1, len(languages))
-    return Model(languages, idf, weights.astype(np.float32), temperature(margins, np.array([v[2] for v in vectors[:aside]], int)))
+    margins = np.array([x @ weights[at] for at, x, *_ in vectors[:aside]]).reshape(-1, len(languages))
+    labels, shares = np.array([v[2] for v in vectors[:aside]], int), np.array([v[3] for v in vectors[:aside]])
+    return Model(languages, idf, weights.astype(np.float32), temperature(margins, labels, shares))
 
 
 def identify(documents: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from returns_analytics.llm import langid, toxicity
+from returns_analytics.llm import langid, sampling, toxicity
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -93,6 +93,30 @@ def test_languages_of_odd_texts(spark):
     assert langid.identify(frame.filter("false")).count() == 0
 
 
+def test_a_rare_language_is_learned(spark):
+    """12 rows among 6,000, of which a sample of 300 in the languages' shares would hold none or one."""
+    rng = np.random.default_rng(8)
+    words = {"en": "the cat and dog house with very old trees near that river", "de": "der hund und die katze im haus mit sehr alten bäumen",
+             "fr": "le chien et la maison avec des arbres très vieux près du fleuve"}
+    langs = ["fr"] * 12 + ["en"] * 3000 + ["de"] * 2988
+    rows = [(i, " ".join(rng.choice(words[lang].split(), 12)), lang) for i, lang in enumerate(langs)]
+    rows += [(10_000 + k, " ".join(rng.choice(words["fr"].split(), 12)), None) for k in range(20)]
+    rows += [(5, f"the very old house {k}", "en") for k in range(3000)]  # one id with a third of all rows
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)
+    got = {r.doc_id: r.lang_pred for r in langid.identify(frame, sample_rows=300).collect() if r.doc_id != 5}
+    assert [got[10_000 + k] for k in range(20)] == ["fr"] * 20
+    assert np.mean([got[i] == lang for i, lang in enumerate(langs) if i != 5]) > 0.99
+
+
+def test_classes_of_a_sample(spark):
+    rows = spark.range(10_000).selectExpr("id", "case when id < 7 then 'a' when id < 500 then 'b' else 'c' end as lang")
+    sample = sampling.bounded_per_class(rows, "lang", ["id"], 1000, 50)
+    found = {r.lang: (r.n, r.w) for r in sample.groupBy("lang").agg(F.count("id").alias("n"), F.sum("weight").alias("w")).collect()}
+    assert found["a"][0] == 7 and 35 <= found["b"][0] <= 70 and 850 < found["c"][0] < 1050
+    assert abs(found["a"][1] - 0.7) < 1e-9 and abs(sum(w for _, w in found.values()) - 1000) < 60
+    assert sampling.bounded_per_class(rows, "lang", ["id"], 20_000, 50).filter("weight = 1").count() == 10_000
+
+
 def test_ngrams_do_not_cross_rows():
     data = "ab|éz|x".encode()
     split = np.frombuffer("abézx".encode(), np.uint8)
