@@ -583,6 +583,13 @@ def _(fx):
     return quality.bad_taxpayer_keys(fx.table("key_texts").withColumnRenamed("txt", "gstin"))
 
 
+@query("invalid_periods", "s: ret_period; i: rows",
+       """select ret_period, count(*) as "rows" from history
+       where not coalesce(regexp_full_match(ret_period, '(0[1-9]|1[0-2])[0-9]{4}'), false) group by 1""")
+def _(fx):
+    return quality.invalid_periods(fx.table("history"))
+
+
 @query("duplicate_office_month", "s: st_juri; i: month_idx n",
        """select st_juri, month_idx, count(*) n from (
          select st_juri, year(period_date)*12 + month(period_date) - 1 month_idx from o_offices union all

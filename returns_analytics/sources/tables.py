@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +35,27 @@ def read_jdbc(
     return spark.read.jdbc(url, table, predicates=predicates, properties=properties or {})
 
 
+def read_jdbc_by_key(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    column: str,
+    bounds: Sequence[str],
+    properties: dict[str, str] | None = None,
+) -> DataFrame:
+    """Scan a database table without periods, such as a master, by ranges of a text key.
+
+    ``bounds`` are ascending keys (operators.ranges gives them); n of them make n + 1 queries and tasks that
+    share no row and leave none out, rows without a key included.
+    """
+    texts = ["'" + bound.replace("'", "''") + "'" for bound in bounds]
+    if not texts:
+        return spark.read.jdbc(url, table, properties=properties or {})
+    ranges = [f"{column} >= {low} AND {column} < {high}" for low, high in zip(texts, texts[1:], strict=False)]
+    predicates = [f"{column} < {texts[0]} OR {column} IS NULL", *ranges, f"{column} >= {texts[-1]}"]
+    return spark.read.jdbc(url, table, predicates=predicates, properties=properties or {})
+
+
 def period_slice(summary: DataFrame, period: str) -> DataFrame:
     """Rows of one period; a partition filter where the table is partitioned by ret_period."""
     parse_period(period)
