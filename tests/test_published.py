@@ -98,10 +98,20 @@ def test_a_taken_number_is_not_replaced(spark, tmp_path):
         thread.start()
     for thread in threads:
         thread.join()
-    assert folder.names("_state") == ["1.json"] and folder.create("_state/1.json", "x") is False
+    assert sorted(ok for ok, _ in won) == [False] * 5 + [True]
+    assert [n for n in folder.names("_state") if not n.startswith(".")] == ["1.json"] and folder.create("_state/1.json", "x") is False
     assert folder.read("_state/1.json") in {str(k) for ok, k in won if ok}
 
 
+def test_a_rename_does_not_replace_either(spark, tmp_path):
+    """The way of shared file systems, on what the local one gives."""
+    folder = Folder(spark, str(tmp_path))
+    (tmp_path / "a").write_text("a")
+    (tmp_path / "b").write_text("b")
+    assert folder._rename(folder._system(), "a", "c") is True and folder._rename(folder._system(), "b", "c") is False
+    assert folder.read("c") == "a"
+
+
 def test_cleaning_keeps_what_the_pointers_name(spark, store):
     for gstin in "ABC":
         store.publish(frame(spark, (gstin, "012000")))
