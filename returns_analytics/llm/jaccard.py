@@ -11,10 +11,14 @@ every linked pair meets: two sets this similar share one of the ``prefix`` shing
 common order, here the rarest first by a count of all shingles in hashed counters. Within a cell the
 trees prune. Equal sets are one point from the start.
 
-A cell of many near copies is not expanded into pairs: first each point is verified with the partner
-of the largest bound, which is a likely link, and after that only cells whose members are still in
-different components are searched for all pairs between these. No link between components is lost, so
-components are exact. Before sets are compared, finer points of the pair are held against the same bound.
+Each point carries parities besides: bit k tells whether an odd number of its shingles hash to k. Two sets differ
+in at least as many shingles as their parities differ in bits, a second bound that is held against a pair
+within its cell, before the pair is a row of any table.
+
+A cell of many near copies is not expanded into pairs: first each point is verified with that partner of a smaller
+id whose bound is largest, a likely link (with one of a larger id where no smaller may link), and after that only cells
+whose members are still in different components are searched for all pairs between these. No link between
+components is lost, so components are exact.
 
 Defined results: words are in lower case (A-Z) and separated by ASCII white space; a set is that of the runs of
 ``size`` words, of a shorter text its whole sequence; null and empty texts and such without words have
@@ -38,8 +42,10 @@ from returns_analytics.llm.storage import Scratch
 SIZE, PERCENT = 4, 85
 #: Coordinates of a point, hashed counters of shingles, points of a tree leaf.
 GROUPS, COUNTERS, LEAF = 32, 1 << 20, 128
-#: Coordinates of the finer point that a pair is held against before its sets, and bits of the filter of ids.
-FINE, FILTER_BITS = 512, 1 << 23
+#: Parities of a set, and bits of the filter of ids.
+PARITIES, FILTER_BITS = 1024, 1 << 23
+#: Pairs whose bounds are computed at once.
+COMPARED = 100_000
 #: Pairs a task holds before it passes them on.
 PAIRS = 100_000
 _KEY = np.uint64((1 << 40) - 1)
@@ -111,11 +117,20 @@ def required(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
 
 def _narrow(point: np.ndarray) -> bytes:
     """Counts in one byte each, or in four if one is too large: the length tells which."""
-    return (point.astype(np.uint8) if point.max() < 256 else point).tobytes()
+    return (point.astype(np.uint8) if point.max() < 256 else point.astype("<u4")).tobytes()
+
 
+def _wide(points: list[bytes]) -> np.ndarray:
+    if all(len(p) == GROUPS for p in points):
+        return np.frombuffer(b"".join(points), np.uint8).reshape(-1, GROUPS)
+    return np.stack([np.frombuffer(p, np.uint8 if len(p) == GROUPS else "<u4").astype(np.uint32) for p in points])
 
-def _wide(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, np.uint8 if len(data) == FINE else "<u4")
+
+def parities(values: np.ndarray, owner: np.ndarray, rows: int) -> np.ndarray:
+    """For each row a bit per number of a hash, set where an odd count of its values has that number."""
+    number = (values >> np.uint64(24)).astype(np.int64) % PARITIES
+    odd = np.bincount(owner * PARITIES + number, minlength=rows * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(rows, PARITIES), axis=1)
 
 
 def _overlaps(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -132,7 +147,7 @@ def _overlaps(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _points(size: int, percent: int, levels: np.ndarray):
-    """doc_id, n, two digests of the set, its group counts, coarse and fine, and the keys of its prefix."""
+    """doc_id, n, two digests of the set, its group counts, its parities, and the keys of its prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,8 +157,7 @@ def _points(size: int, percent: int, levels: np.ndarray):
                 owner = np.repeat(np.arange(rows), n)
                 group = (values >> np.uint64(8)).astype(np.int64) % GROUPS
                 points = np.bincount(owner * GROUPS + group, minlength=rows * GROUPS).reshape(rows, GROUPS)
-                number = (values >> np.uint64(24)).astype(np.int64) % FINE
-                fine = np.bincount(owner * FINE + number, minlength=rows * FINE).reshape(rows, FINE).astype("<u4")
+                odd = parities(values, owner, rows)
                 full = n > 0
                 one, two = np.zeros(rows, np.uint64), np.zeros(rows, np.uint64)
                 if len(values):
@@ -159,11 +173,11 @@ def _points(size: int, percent: int, levels: np.ndarray):
                         pa.array(n),
                         pa.array(one.view(np.int64)),
                         pa.array(two.view(np.int64)),
-                        pa.array([p.astype("<u4").tobytes() for p in points], pa.binary()),
-                        pa.array([_narrow(p) for p in fine], pa.binary()),
+                        pa.array([_narrow(p) for p in points], pa.binary()),
+                        pa.array([p.tobytes() for p in odd], pa.binary()),
                         list_array(pa.array(keys), length),
                     ],
-                    ["doc_id", "n", "one", "two", "point", "fine", "keys"],
+                    ["doc_id", "n", "one", "two", "point", "odd", "keys"],
                 )
 
     return run
@@ -172,8 +186,8 @@ def _points(size: int, percent: int, levels: np.ndarray):
 class CountTree:
     """R-tree over points of one cell, bulk-loaded along the coordinates with the largest spread."""
 
-    def __init__(self, points: np.ndarray, n: np.ndarray) -> None:
-        self.points, self.n = points, n
+    def __init__(self, points: np.ndarray, n: np.ndarray, odd: np.ndarray | None = None) -> None:
+        self.points, self.n, self.odd = points, n, odd
         parts = [np.arange(len(n))]
         while max(map(len, parts), default=0) > LEAF:
             cut = []
@@ -197,49 +211,55 @@ class CountTree:
             bound = np.minimum(self.points[at], largest).sum(axis=1, dtype=np.int64)
             near = (bound >= required(self.n[at], least, percent)) & (100 * least <= 100 * self.n[at] * 100 // percent)
             near &= 100 * most >= percent * self.n[at]
-            for some in np.array_split(at[near], max(1, near.sum() * len(leaf) // 200_000)):
+            for some in np.array_split(at[near], max(1, near.sum() * len(leaf) // COMPARED)):
                 both = _overlaps(self.points[some], self.points[leaf]).astype(np.int64)
-                i, j = np.nonzero(both >= required(self.n[some][:, None], self.n[leaf][None], percent))
-                yield some[i], leaf[j], both[i, j]
+                need = required(self.n[some][:, None], self.n[leaf][None], percent)
+                i, j = np.nonzero(both >= need)
+                both, need, i, j = both[i, j], need[i, j], some[i], leaf[j]
+                if self.odd is not None:
+                    differ = np.bitwise_count(self.odd[i] ^ self.odd[j]).sum(axis=1, dtype=np.int64)
+                    both = np.minimum(both, (self.n[i] + self.n[j] - differ) // 2)
+                    near_pair = both >= need
+                    both, i, j = both[near_pair], i[near_pair], j[near_pair]
+                yield i, j, both
 
 
 def _cells(percent: int, best: bool):
-    """Pairs (a, b) of points of each cell in different components that the bounds let pass, and the bound.
+    """Pairs (a, b) of points of each cell in different components that the bounds let pass, and a rank.
 
-    Rows come sorted by key. ``best``: for each point only the pair with the largest bound, seen from a
-    as its best partner b; otherwise all pairs.
+    Rows come sorted by key. ``best``: for each point a only its first partner b, which is one of a smaller id
+    if any passes, with the largest share the bound allows; otherwise all pairs.
     """
 
     def pairs(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        points = np.frombuffer(b"".join(rows["point"]), "<u4").reshape(-1, GROUPS)
         label, ids, n = rows["component"], rows["id"], rows["n"]
-        if n.max() < 1 << 16:  # the coordinates of a point add up to n
-            points = points.astype(np.uint16)
-        share = np.full(len(n), -1.0)
+        # the coordinates of a point add up to n
+        points = _wide(rows["point"]).astype(np.uint16 if n.max() < 1 << 16 else np.uint32)
+        odd = np.frombuffer(b"".join(rows["odd"]), np.uint64).reshape(len(n), -1)
+        rank = np.full(len(n), -1)
         partner = np.full(len(n), -1)
         out = []
-        common = np.bincount(np.unique(label, return_inverse=True)[1])
+        names, common = np.unique(label, return_counts=True)
         # a component that all but a few members belong to is searched from those few
-        names = np.unique(label)
         search = np.flatnonzero(label != names[common.argmax()]) if not best and len(names) > 1 else np.arange(len(n))
-        for i, j, bound in CountTree(points, n).partners(search, percent):
+        for i, j, bound in CountTree(points, n, odd).partners(search, percent):
             other = (label[i] != label[j]) & (ids[i] != ids[j])
             i, j, bound = i[other], j[other], bound[other]
             if not best:
                 out.append((ids[i], ids[j], bound))
                 continue
-            value = bound / (n[i] + n[j] - bound)
+            value = (bound * (1 << 20)) // (n[i] + n[j] - bound) + (ids[j] < ids[i]) * (1 << 21)
             # smallest partner of those with the largest share
             order = np.lexsort((ids[j], -value, i))
             i, j, value = i[order], j[order], value[order]
             lead = np.ones(len(i), bool)
             lead[1:] = i[1:] != i[:-1]
             i, j, value = i[lead], j[lead], value[lead]
-            more = (value > share[i]) | ((value == share[i]) & (ids[j] < ids[partner[i]]))
-            share[i[more]], partner[i[more]] = value[more], j[more]
+            more = (value > rank[i]) | ((value == rank[i]) & (ids[j] < ids[partner[i]]))
+            rank[i[more]], partner[i[more]] = value[more], j[more]
         if best:
             has = np.flatnonzero(partner >= 0)
-            return ids[has], ids[partner[has]], (share[has] * (1 << 20)).astype(np.int64)
+            return ids[has], ids[partner[has]], rank[has]
         if not out:
             return (np.zeros(0, np.int64),) * 3
         x, y, bound = (np.concatenate(o) for o in zip(*out, strict=True))
@@ -251,7 +271,8 @@ def _cells(percent: int, best: bool):
         def flush() -> Iterator[pa.RecordBatch]:
             table = pa.Table.from_batches(held)
             rows = {
-                name: table[name].to_pylist() if name == "point" else table[name].to_numpy() for name in table.column_names
+                name: table[name].to_pylist() if name in ("point", "odd") else table[name].to_numpy()
+                for name in table.column_names
             }
             key = rows["key"]
             edges = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]))
@@ -261,7 +282,7 @@ def _cells(percent: int, best: bool):
                 size += len(out[-1][0])
                 if size > PAIRS or b == len(key):
                     columns = [pa.array(np.concatenate([o[k] for o in out]).astype(np.int64)) for k in range(3)]
-                    yield pa.RecordBatch.from_arrays(columns, ["a", "b", "bound"])
+                    yield pa.RecordBatch.from_arrays(columns, ["a", "b", "rank"])
                     out, size = [], 0
 
         for batch in batches:
@@ -315,21 +336,6 @@ def _hold_sets(size: int, bits: np.ndarray):
     return run
 
 
-def _refine(percent: int):
-    """The pairs whose fine points allow a link."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bound = [
-                int(np.minimum(_wide(x), _wide(y)).sum(dtype=np.int64))
-                for x, y in zip(batch["x"].to_pylist(), batch["y"].to_pylist(), strict=True)
-            ]
-            need = required(batch["n_a"].to_numpy(), batch["n_b"].to_numpy(), percent)
-            yield batch.select(["a", "b"]).filter(pa.array(np.array(bound, np.int64) >= need))
-
-    return run
-
-
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -353,7 +359,7 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
     levels = frequency_levels(texts, size)
     points = scratch.store(
         texts.mapInArrow(
-            _points(size, percent, levels), "doc_id long, n long, one long, two long, point binary, fine binary, keys array<long>"
+            _points(size, percent, levels), "doc_id long, n long, one long, two long, point binary, odd binary, keys array<long>"
         )
     )
     digest = ["n", "one", "two"]
@@ -361,7 +367,7 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
     # one row per distinct set; of equal rows under one id any serves
     distinct = points.join(firsts.withColumnRenamed("id", "doc_id"), ["doc_id", *digest]).dropDuplicates(["doc_id", *digest])
     unique = scratch.store(
-        distinct.select(F.col("doc_id").alias("id"), "n", "one", "two", "point", "fine", "keys")
+        distinct.select(F.col("doc_id").alias("id"), "n", "one", "two", "point", "odd", "keys")
     )
     by_key = Window.partitionBy("key").orderBy("id")
     # cells of one point are done; neighbours in the order show which these are
@@ -371,37 +377,29 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
         .filter("last is not null or next is not null")
         .select("key", "id")
     )
-    ids = unique.select("id", "n", "point")
+    ids = unique.select("id", "n", "point", "odd")
 
     def search(rows: DataFrame, best: bool) -> DataFrame:
         members = rows.join(ids, "id").repartition(tasks, "key").sortWithinPartitions("key", "id")
-        pairs = members.select("key", "id", "component", "n", "point").mapInArrow(_cells(percent, best), "a long, b long, bound long")
-        if not best:
-            return pairs.select("a", "b").distinct()  # a pair shares many cells: combined before the shuffle
-        chosen = pairs.groupBy("a").agg(F.max(F.struct("bound", F.negative("b").alias("b"))).alias("p"))
-        return chosen.select(F.least("a", F.negative("p.b")).alias("a"), F.greatest("a", F.negative("p.b")).alias("b")).distinct()
+        members = members.select("key", "id", "component", "n", "point", "odd")
+        pairs = members.mapInArrow(_cells(percent, best), "a long, b long, rank long")
+        if best:
+            chosen = pairs.groupBy("a").agg(F.max(F.struct("rank", F.negative("b").alias("b"))).alias("p"))
+            pairs = chosen.select(F.least("a", F.negative("p.b")).alias("a"), F.greatest("a", F.negative("p.b")).alias("b"))
+        return pairs.select("a", "b").distinct()  # a pair shares many cells: combined before the shuffle
 
     pairs = scratch.store(search(cells.withColumn("component", F.col("id")), True))
-    # every point with any partner has a best one: no other text is needed from here on
+    # every point with any partner has a first one: no other text is needed from here on
     involved = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a")))
     bits = _id_filter(involved)
     held = texts.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("at"), "text")
     sets = scratch.store(held.mapInArrow(_hold_sets(size, bits), "id long, held binary"))
     live = scratch.store(cells.join(involved.select(F.col("a").alias("id")).distinct(), "id").select("key", "id"))
 
-    fine = unique.select("id", "n", "fine")
-
-    def both(pairs: DataFrame, table: DataFrame, column: str, more: tuple[str, ...] = ()) -> DataFrame:
-        """The pairs with a column of either side as x and y."""
-        for side, name in (("a", "x"), ("b", "y")):
-            own = [F.col(column).alias(name), *[F.col(m).alias(f"{m}_{side}") for m in more]]
-            pairs = pairs.join(table.select(F.col("id").alias(side), *own), side)
-        return pairs
-
     def verify(pairs: DataFrame) -> DataFrame:
-        close = both(pairs, fine, "fine", ("n",)).select("a", "b", "n_a", "n_b", "x", "y")
-        close = scratch.store(close.mapInArrow(_refine(percent), "a long, b long"))
-        compared = both(close, sets, "held").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long")
+        for side, name in (("a", "x"), ("b", "y")):
+            pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("held").alias(name)), side)
+        compared = pairs.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long")
         return scratch.store(compared.distinct())
 
     links = verify(pairs)
@@ -412,7 +410,7 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
     labelled = scratch.store(labelled)
     mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     mixed = mixed.filter("low <> high").select("key")
-    rest = search(labelled.join(mixed, "key"), False).join(pairs, ["a", "b"], "left_anti")
+    rest = search(labelled.join(mixed, "key"), False)
     links = links.unionByName(verify(scratch.store(rest)))
     equal = points.filter("n > 0").join(firsts, digest).select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
     final = components(links.unionByName(equal), scratch)
