@@ -397,8 +397,10 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
     live = scratch.store(cells.join(involved.select(F.col("a").alias("id")).distinct(), "id").select("key", "id"))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        for side, name in (("a", "x"), ("b", "y")):
-            pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("held").alias(name)), side)
+        # of the second side only the sets that a pair asks for move
+        for side, name in (("b", "y"), ("a", "x")):
+            asked = sets.join(pairs.select(F.col(side).alias("id")).distinct(), "id", "left_semi") if side == "a" else sets
+            pairs = pairs.join(asked.select(F.col("id").alias(side), F.col("held").alias(name)), side)
         compared = pairs.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long")
         return scratch.store(compared.distinct())
 

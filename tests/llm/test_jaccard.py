@@ -42,6 +42,32 @@ def test_equals_brute_force(spark, seed, size, percent):
     assert len({c for _, c in got.values()}) < len(rows) - 10
 
 
+def test_large_group_of_near_copies_equals_brute_force(spark):
+    """One cell of more points than a leaf holds, with pairs on both sides of the threshold."""
+    rng = random.Random(9)
+    base = [f"b{k}" for k in range(90)]
+    rows = []
+    for i in range(jaccard.LEAF + 170):
+        body = list(base)
+        for k in range(rng.randint(0, 4)):
+            body[rng.randint(0, 89)] = f"n{i}_{k}"
+        rows.append((i, " ".join(body)))
+    frame = spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA).repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.classes(frame).collect()}
+    assert got == jaccard_components(rows, 4, 85)
+    assert 1 < len({c for _, c in got.values()}) < len(rows)
+
+
+def test_parities_bound_the_difference_of_sets():
+    rng = np.random.default_rng(4)
+    for n in (3, 60, 4000):
+        pool = rng.integers(0, 1 << 63, 2 * n, dtype=np.uint64)
+        x, y = pool[:n], pool[n // 3 : n // 3 + n]
+        bits = jaccard.parities(np.concatenate((x, y)), np.repeat([0, 1], n), 2).view(np.uint64)
+        differ = int(np.bitwise_count(bits[0] ^ bits[1]).sum())
+        assert 0 < differ <= len(np.setxor1d(x, y))
+
+
 def test_repeated_rows_null_ids_and_extra_columns(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, "a b c d e f"), (3, "x y z q r s")]
     frame = spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA)
