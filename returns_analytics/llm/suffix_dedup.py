@@ -150,8 +150,10 @@ def _cut(length: int):
             for doc, text_hash, text, wanted in zip(*(batch[c].to_pylist() for c in (*_AT, "text", "wanted")), strict=True):
                 data = text.encode()
                 for w in wanted:
-                    out.append((w["key"], w["content"], doc, text_hash, w["first"], data[w["first"] : w["last"] + length]))
-            yield _batch(out, ["key", "content", *_AT, "first", "bytes"], (*(pa.int64(),) * 4, pa.int32(), pa.binary()))
+                    part = data[w["first"] : w["last"] + length]
+                    out.append((w["key"], w["content"], doc, text_hash, w["first"], part, w["anchor"], w["many"]))
+            names = ["key", "content", *_AT, "first", "bytes", "anchor", "many"]
+            yield _batch(out, names, (*(pa.int64(),) * 4, pa.int32(), pa.binary(), pa.int32(), pa.bool_()))
 
     return run
 
@@ -167,30 +169,30 @@ def _digest(data: bytes) -> tuple[int, int]:
 
 
 def _parts(length: int, single: bool):
-    """The stretches asked for in parts of SPLIT windows or, if ``single``, window by window: place and hashes.
+    """Stretches, from their bytes, in parts of SPLIT windows or, if ``single``, window by window: place and hashes.
 
-    skip: windows of the stretch before the part. dealt: hash of the bytes all windows of a part share.
+    low, high: the windows of the stretch to cut up, counted from its first one. skip: windows of the stretch
+    before the part. dealt: hash of the bytes all windows of a part share.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for doc, text_hash, text, wanted in zip(*(batch[c].to_pylist() for c in (*_AT, "text", "wanted")), strict=True):
-                data = text.encode()
-                for w in wanted:
-                    first, last, anchor, before = w["first"], w["last"], w["anchor"], w["skip"]
-                    at = (w["key"], w["content"], doc, text_hash)
-                    if single:
-                        for k in range(first, last + 1):
-                            one, two = _digest(data[k : k + length])
-                            out.append((one, one, two, *at, k, k, anchor, before + k - first))
-                        continue
-                    # windows by their distance to the anchor: parts begin at fixed distances
-                    for part in range((anchor - last) // SPLIT, (anchor - first) // SPLIT + 1):
-                        low, high = anchor - part * SPLIT - SPLIT + 1, anchor - part * SPLIT
-                        a, b = max(first, low), min(last, high)
-                        dealt = _digest(data[max(high, 0) : low + length])[0]
-                        out.append((dealt, *_digest(data[a : b + length]), *at, a, b, anchor, before + a - first))
+            columns = (batch[c].to_pylist() for c in ("key", "content", *_AT, "first", "bytes", "anchor", "low", "high"))
+            for key, content, doc, text_hash, begin, data, anchor, low, high in zip(*columns, strict=True):
+                first, last = begin + low, begin + high
+                at = (key, content, doc, text_hash)
+                if single:
+                    for k in range(low, high + 1):
+                        one, two = _digest(data[k : k + length])
+                        out.append((one, one, two, *at, begin + k, begin + k, anchor, k))
+                    continue
+                # windows by their distance to the anchor: parts begin at fixed distances
+                for part in range((anchor - last) // SPLIT, (anchor - first) // SPLIT + 1):
+                    least, most = anchor - part * SPLIT - SPLIT + 1, anchor - part * SPLIT
+                    a, b = max(first, least), min(last, most)
+                    dealt = _digest(data[max(most - begin, 0) : max(least + length - begin, 0)])[0]
+                    out.append((dealt, *_digest(data[a - begin : b + length - begin]), *at, a, b, anchor, a - begin))
             names = ["dealt", "one", "two", "key", "content", *_AT, "first", "last", "anchor", "skip"]
             yield _batch(out, names, (*(pa.int64(),) * 7, *(pa.int32(),) * 4))
 
@@ -198,7 +200,7 @@ def _parts(length: int, single: bool):
 
 
 _PARTS = "dealt long, one long, two long, key long, content long, doc long, text_hash long, first int, last int, anchor int, skip int"
-_CUT = "key long, content long, doc long, text_hash long, first int, bytes binary"
+_CUT = "key long, content long, doc long, text_hash long, first int, bytes binary, anchor int, many boolean"
 
 
 def _match(length: int, keep_first: bool):
@@ -261,15 +263,16 @@ def _match(length: int, keep_first: bool):
     return run
 
 
-def _crowded(texts: DataFrame, wanted: DataFrame, length: int, keep_first: bool, scratch: Scratch) -> DataFrame:
-    """key, content, low, high as ``_match`` gives them, for stretches of anchors with very many, by counting."""
+def _crowded(pieces: DataFrame, length: int, keep_first: bool, scratch: Scratch) -> DataFrame:
+    """key, content, low, high as ``_match`` gives them, for stretches of anchors with very many, by counting.
+
+    pieces: the stretches with their bytes, one of each content; no text is read again.
+    """
     here, kept = F.struct(*_AT, "first"), F.struct("kept.doc", "kept.text_hash", "kept.first")
 
     def read(some: DataFrame, single: bool) -> DataFrame:
-        asked = F.struct("key", "content", "first", "last", "anchor", "skip")
-        per_text = some.groupBy(*_AT).agg(F.collect_list(asked).alias("wanted"))
-        cut_up = texts.join(per_text, _AT).select(*_AT, "text", "wanted").mapInArrow(_parts(length, single), _PARTS)
-        return scratch.store(cut_up)
+        asked = some.select("key", "content", *_AT, "first", "bytes", "anchor", "low", "high")
+        return scratch.store(asked.mapInArrow(_parts(length, single), _PARTS))
 
     def again(some: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Each part once, and the rows of those that occur again and go."""
@@ -281,9 +284,14 @@ def _crowded(texts: DataFrame, wanted: DataFrame, length: int, keep_first: bool,
             "key", "content", F.col("skip").alias("low"), (F.col("skip") + F.col("last") - F.col("first")).alias("high")
         )
 
-    once, equal = again(read(wanted, False))
+    whole = pieces.withColumns({"low": F.lit(0), "high": F.octet_length("bytes") - length})
+    once, equal = again(read(whole, False))
     differ = scratch.store(once.groupBy("dealt").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("dealt"))
-    _, single = again(read(once.join(differ, "dealt").select("kept.*"), True))
+    parts = once.join(differ, "dealt").select(
+        "kept.key", "kept.content", F.col("kept.skip").alias("low"),
+        (F.col("kept.skip") + F.col("kept.last") - F.col("kept.first")).alias("high"),
+    )
+    _, single = again(read(pieces.join(parts, ["key", "content"]), True))
     return equal.unionByName(single)
 
 
@@ -314,13 +322,18 @@ def removed_spans(documents: DataFrame, scratch: Scratch, length: int = LENGTH,
         F.struct("key", "content", "kept.first", "kept.last", "kept.anchor", (F.col("kinds") > MANY).alias("many")).alias("w"),
     )
     wanted = scratch.store(wanted)
-    per_text = wanted.filter("not w.many").groupBy(*_AT).agg(F.collect_list("w").alias("wanted"))
-    whole_ones = texts.join(per_text, _AT).select(*_AT, "text", "wanted").mapInArrow(_cut(length), _CUT)
-    sorted_ones = whole_ones.repartition(tasks, "key").sortWithinPartitions("key", *_AT, "first")
+    # whole texts move once for all of them; what follows works on the bytes of stretches
+    per_text = wanted.groupBy(*_AT).agg(F.collect_list("w").alias("wanted"))
+    cut_up = texts.join(per_text, _AT).select(*_AT, "text", "wanted").mapInArrow(_cut(length), _CUT)
+    pieces = scratch.store(cut_up)
+    scratch.drop(wanted)
+    few = pieces.filter("not many").select("key", "content", *_AT, "first", "bytes")
+    sorted_ones = few.repartition(tasks, "key").sortWithinPartitions("key", *_AT, "first")
     matched = scratch.store(sorted_ones.mapInArrow(_match(length, keep_first), "key long, content long, low int, high int"))
-    many = wanted.filter("w.many").select(*_AT, "w.key", "w.content", "w.first", "w.last", "w.anchor", F.lit(0).alias("skip"))
+    many = pieces.filter("many")
     if not many.isEmpty():
-        matched = matched.unionByName(scratch.store(_crowded(texts, many, length, keep_first, scratch)))
+        matched = matched.unionByName(scratch.store(_crowded(many, length, keep_first, scratch)))
+    scratch.drop(pieces)
     if keep_first:
         # copies of a stretch go whole; its first one loses the windows that match an earlier place
         here = F.struct(*_AT, "first")

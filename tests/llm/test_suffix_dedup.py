@@ -84,3 +84,30 @@ def test_no_task_holds_an_anchor_with_many_stretches(spark, monkeypatch, keep_fi
     got = {r.doc_id: bytes(r.kept) for r in suffix_dedup.remove_repeats(frame, 60, keep_first).collect()}
     wanted = later_bytes(rows, 60) if keep_first else [r[3] for r in repeated_bytes(rows, 60)]
     assert got == {k: kept for (k, _), kept in zip(rows, wanted)}
+
+
+def test_a_crowded_anchor_moves_stretches_and_no_texts(spark, monkeypatch):
+    """Parts and windows are cut from the bytes of stretches, so that whole texts move only once before the last join."""
+    rng = np.random.default_rng(9)
+    word = lambda n: "".join(chr(c) for c in rng.integers(97, 123, n))
+    passage = word(150)
+    rows = [(k, word(3000) + passage + word(3000)) for k in range(20)]
+    monkeypatch.setattr(suffix_dedup, "MANY", 8)
+    real = suffix_dedup._parts
+
+    def bounded(length, single):
+        parts = real(length, single)
+
+        def run(batches):
+            held = list(batches)
+            assert all("text" not in batch.schema.names for batch in held)
+            assert all(len(data) < 500 for batch in held for data in batch["bytes"].to_pylist())
+            yield from parts(iter(held))
+
+        return run
+
+    monkeypatch.setattr(suffix_dedup, "_parts", bounded)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: bytes(r.kept) for r in suffix_dedup.remove_repeats(frame, 60).collect()}
+    assert got == {k: r[3] for (k, _), r in zip(rows, repeated_bytes(rows, 60))}
+    assert all(len(kept) < 6010 for kept in got.values())
