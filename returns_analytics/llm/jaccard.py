@@ -13,7 +13,9 @@ trees prune. Equal sets are one point from the start.
 
 Each point carries parities besides: bit k tells whether an odd number of its shingles hash to k. Two sets differ
 in at least as many shingles as their parities differ in bits, a second bound that is held against a pair
-within its cell, before the pair is a row of any table.
+within its cell, before the pair is a row of any table. A fixed number of bits says little of large sets, so
+pairs are held once more against parities whose number grows with the set, and only the sets of pairs that
+pass are moved to be verified.
 
 A cell of many near copies is not expanded into pairs: first each point is verified with that partner of a smaller
 id whose bound is largest, a likely link (with one of a larger id where no smaller may link), and after that only cells
@@ -133,6 +135,21 @@ def parities(values: np.ndarray, owner: np.ndarray, rows: int) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8).reshape(rows, PARITIES), axis=1)
 
 
+def wide_parities(values: np.ndarray) -> bytes:
+    """Parities of one set, a power of two of them and four a value at least; halves added up are those of half as many."""
+    many = max(64, 1 << (4 * len(values) - 1).bit_length())
+    odd = np.bincount(mix(values).astype(np.int64) & (many - 1), minlength=many) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def differing(x: np.ndarray, y: np.ndarray) -> int:
+    """Bits in which the wide parities of two sets differ, at the smaller number of them."""
+    while len(x) != len(y):
+        x, y = (x, y) if len(x) > len(y) else (y, x)
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum(dtype=np.int64))
+
+
 def _overlaps(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Sums of coordinate minima of all rows of x with all rows of y, coordinate by coordinate.
 
@@ -325,17 +342,38 @@ def _hold_sets(size: int, bits: np.ndarray):
             batch = batch.filter(pa.array((bits[at // 64] >> (at % 64)) & 1 == 1))
             for first, values, begin in _sets(batch["text"], size):
                 packed = values.astype("<u8").tobytes()
+                edges = list(zip(begin, begin[1:]))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch["doc_id"].slice(first, len(begin) - 1),
-                        pa.array([packed[8 * a : 8 * b] for a, b in zip(begin, begin[1:])], pa.binary()),
+                        pa.array([packed[8 * a : 8 * b] for a, b in edges], pa.binary()),
+                        pa.array([wide_parities(values[a:b]) for a, b in edges], pa.binary()),
+                        pa.array(np.diff(begin)),
                     ],
-                    ["id", "held"],
+                    ["id", "held", "odd", "n"],
                 )
 
     return run
 
 
+def _may_link(percent: int):
+    """Pairs whose wide parities leave the overlap that linked sets need."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = batch["n"].to_numpy(), batch["m"].to_numpy()
+            differ = np.array(
+                [
+                    differing(np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8))
+                    for x, y in zip(batch["x"], batch["y"], strict=True)
+                ],
+                np.int64,
+            )
+            yield batch.select(["a", "b"]).filter(pa.array((n + m - differ) // 2 >= required(n, m, percent)))
+
+    return run
+
+
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -378,6 +416,8 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
         .select("key", "id")
     )
     ids = unique.select("id", "n", "point", "odd")
+    digests = scratch.store(points.select("doc_id", *digest))
+    scratch.drop(points)
 
     def search(rows: DataFrame, best: bool) -> DataFrame:
         members = rows.join(ids, "id").repartition(tasks, "key").sortWithinPartitions("key", "id")
@@ -393,15 +433,26 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
     involved = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a")))
     bits = _id_filter(involved)
     held = texts.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("at"), "text")
-    sets = scratch.store(held.mapInArrow(_hold_sets(size, bits), "id long, held binary"))
+    sets = scratch.store(held.mapInArrow(_hold_sets(size, bits), "id long, held binary, odd binary, n long"))
     live = scratch.store(cells.join(involved.select(F.col("a").alias("id")).distinct(), "id").select("key", "id"))
 
+    def beside(pairs: DataFrame, rows: DataFrame, *columns: tuple[str, str, str]) -> DataFrame:
+        """The pairs with columns of the rows of both ids; only rows that a pair asks for move."""
+        for side, *names in columns:
+            asked = rows.join(pairs.select(F.col(side).alias("id")).distinct(), "id", "left_semi")
+            named = [F.col(old).alias(new) for old, new in names]
+            pairs = pairs.join(asked.select(F.col("id").alias(side), *named), side)
+        return pairs
+
     def verify(pairs: DataFrame) -> DataFrame:
-        # of the second side only the sets that a pair asks for move
-        for side, name in (("b", "y"), ("a", "x")):
-            asked = sets.join(pairs.select(F.col(side).alias("id")).distinct(), "id", "left_semi") if side == "a" else sets
-            pairs = pairs.join(asked.select(F.col("id").alias(side), F.col("held").alias(name)), side)
-        compared = pairs.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long")
+        sketched = beside(
+            pairs, sets.select("id", "odd", "n"), ("b", ("odd", "y"), ("n", "m")), ("a", ("odd", "x"), ("n", "n"))
+        )
+        near = scratch.store(
+            sketched.select("a", "b", "n", "m", "x", "y").mapInArrow(_may_link(percent), "a long, b long").distinct()
+        )
+        both = beside(near, sets.select("id", "held"), ("b", ("held", "y")), ("a", ("held", "x")))
+        compared = both.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long")
         return scratch.store(compared.distinct())
 
     links = verify(pairs)
@@ -414,9 +465,9 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
     mixed = mixed.filter("low <> high").select("key")
     rest = search(labelled.join(mixed, "key"), False)
     links = links.unionByName(verify(scratch.store(rest)))
-    equal = points.filter("n > 0").join(firsts, digest).select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
+    equal = digests.filter("n > 0").join(firsts, digest).select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
     final = components(links.unionByName(equal), scratch)
-    sizes = points.groupBy("doc_id").agg(F.max("n").alias("n_shingles"))
+    sizes = digests.groupBy("doc_id").agg(F.max("n").alias("n_shingles"))
     return sizes.join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )

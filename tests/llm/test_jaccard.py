@@ -94,3 +94,42 @@ def test_tree_finds_all_pairs_within_the_bound(k):
     sized = {(i, j) for i, j in want if 100 * min(n[i], n[j]) >= 85 * max(n[i], n[j])}
     found = {(int(a), int(b)) for i, j, _ in jaccard.CountTree(points, n).partners(np.arange(k), 85) for a, b in zip(i, j)}
     assert sized <= found <= want
+
+
+def test_only_sets_of_pairs_that_may_link_are_moved(spark, monkeypatch):
+    """Large sets that share half of their shingles: fixed parities let the pair pass, those of the set's size do not."""
+    rng = random.Random(12)
+    text = lambda n: [f"w{rng.randint(0, 10**9)}" for _ in range(n)]
+    common, own, other = (" ".join(text(4000)) for _ in range(3))
+    # what is not common is the more frequent part, so that the pair meets in cells of common shingles
+    rows = [(0, f"{common} {own}"), (1, f"{common} {other}"), (9, f"{common} {own} and more")]
+    rows += [(k, own) for k in range(20, 26)] + [(k, other) for k in range(30, 36)]
+    real = jaccard._verify
+
+    def bounded(percent):
+        verify = real(percent)
+
+        def run(batches):
+            held = list(batches)
+            for batch in held:
+                assert set(zip(batch["a"].to_pylist(), batch["b"].to_pylist())) <= {(0, 9)}
+            yield from verify(iter(held))
+
+        return run
+
+    monkeypatch.setattr(jaccard, "_verify", bounded)
+    got = {r.doc_id: r.component_id for r in jaccard.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: 0, 1: 1, 9: 0} | dict.fromkeys(range(20, 26), 20) | dict.fromkeys(range(30, 36), 30)
+
+
+def test_wide_parities_never_differ_in_more_than_the_sets_do():
+    rng = np.random.default_rng(3)
+    for n, m, both in [(0, 0, 0), (1, 1, 1), (1, 900, 1), (300, 340, 290), (5000, 5600, 4900), (4000, 4000, 0)]:
+        values = np.unique(rng.integers(0, 1 << 62, n + m, dtype=np.uint64))
+        assert len(values) == n + m
+        x, y = values[:n], np.concatenate((values[:both], values[n : n + m - both]))
+        sketches = (np.frombuffer(jaccard.wide_parities(v), np.uint8) for v in (x, y))
+        differ = jaccard.differing(*sketches)
+        assert differ <= n + m - 2 * both
+        if m <= 2 * n:  # sizes of which some pair may link
+            assert differ >= (n + m - 2 * both) // 3
