@@ -48,6 +48,8 @@ GROUPS, COUNTERS, LEAF = 32, 1 << 20, 128
 PARITIES, FILTER_BITS = 1024, 1 << 23
 #: Pairs whose bounds are computed at once.
 COMPARED = 100_000
+#: Pairs whose coordinates are compared in one array; most cells have no more.
+FEW = 256
 #: Pairs a task holds before it passes them on.
 PAIRS = 100_000
 _KEY = np.uint64((1 << 40) - 1)
@@ -151,10 +153,12 @@ def differing(x: np.ndarray, y: np.ndarray) -> int:
 
 
 def _overlaps(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Sums of coordinate minima of all rows of x with all rows of y, coordinate by coordinate.
+    """Sums of coordinate minima of all rows of x with all rows of y, of more than FEW pairs coordinate by coordinate.
 
     The type of the coordinates has to hold the sum of a row, and so holds every overlap.
     """
+    if len(x) * len(y) <= FEW:
+        return np.minimum(x[:, None], y[None]).sum(axis=2, dtype=x.dtype)
     total = np.zeros((len(x), len(y)), x.dtype)
     least = np.empty(total.shape, x.dtype)
     for a, b in zip(np.ascontiguousarray(x.T), np.ascontiguousarray(y.T), strict=True):
@@ -228,6 +232,8 @@ class CountTree:
             bound = np.minimum(self.points[at], largest).sum(axis=1, dtype=np.int64)
             near = (bound >= required(self.n[at], least, percent)) & (100 * least <= 100 * self.n[at] * 100 // percent)
             near &= 100 * most >= percent * self.n[at]
+            if not near.any():
+                continue
             for some in np.array_split(at[near], max(1, near.sum() * len(leaf) // COMPARED)):
                 both = _overlaps(self.points[some], self.points[leaf]).astype(np.int64)
                 need = required(self.n[some][:, None], self.n[leaf][None], percent)
@@ -256,12 +262,16 @@ def _cells(percent: int, best: bool):
         rank = np.full(len(n), -1)
         partner = np.full(len(n), -1)
         out = []
-        names, common = np.unique(label, return_counts=True)
-        # a component that all but a few members belong to is searched from those few
-        search = np.flatnonzero(label != names[common.argmax()]) if not best and len(names) > 1 else np.arange(len(n))
+        search = np.arange(len(n))
+        if not best:
+            # a component that all but a few members belong to is searched from those few
+            names, common = np.unique(label, return_counts=True)
+            search = np.flatnonzero(label != names[common.argmax()]) if len(names) > 1 else search
         for i, j, bound in CountTree(points, n, odd).partners(search, percent):
             other = (label[i] != label[j]) & (ids[i] != ids[j])
             i, j, bound = i[other], j[other], bound[other]
+            if not len(i):
+                continue
             if not best:
                 out.append((ids[i], ids[j], bound))
                 continue

@@ -133,3 +133,13 @@ def test_wide_parities_never_differ_in_more_than_the_sets_do():
         assert differ <= n + m - 2 * both
         if m <= 2 * n:  # sizes of which some pair may link
             assert differ >= (n + m - 2 * both) // 3
+
+
+def test_overlaps_of_few_pairs_equal_those_of_many(monkeypatch):
+    rng = np.random.default_rng(5)
+    x, y = (rng.integers(0, 40, (n, jaccard.GROUPS)).astype(np.uint16) for n in (7, 9))
+    want = np.minimum(x[:, None].astype(int), y[None]).sum(axis=2)
+    for few in (0, 256):
+        monkeypatch.setattr(jaccard, "FEW", few, raising=False)
+        got = jaccard._overlaps(x, y)
+        assert got.dtype == x.dtype and (got == want).all()
