@@ -69,6 +69,24 @@ def dealers_in_period(dealer: DataFrame, summary: DataFrame, periods: Iterable[s
     return dealer.join(filers, "gstin", "left_semi")
 
 
+def _totals_of_returns(rows: DataFrame, offices: DataFrame, sums: list[Column]) -> DataFrame:
+    """Sums and number of filers per (ret_period, st_juri) and block of 32,768 taxpayers.
+
+    Taxpayers are numbered where their registrations are grouped, in the order of their keys so that a number is
+    the same whenever a task is run again. A row per period, office and block leaves each task, with the
+    numbers seen as bits: a taxpayer with several returns sets the same bit, and no list of taxpayers is moved.
+    """
+    number = F.monotonically_increasing_id()
+    placed = offices.sortWithinPartitions("gstin").withColumn("number", number).select(
+        "gstin", "st_juri", F.bitmap_bucket_number("number").alias("block"), F.bitmap_bit_position("number").alias("bit"))
+    return (
+        rows.join(placed, "gstin")
+        .groupBy(*OFFICE_KEY, "block")
+        .agg(F.bitmap_construct_agg("bit").alias("bits"), *sums)
+        .withColumn("filers", F.bitmap_count("bits"))
+    )
+
+
 def office_totals(
     summary: DataFrame,
     dealer: DataFrame,
@@ -78,27 +96,26 @@ def office_totals(
 ) -> DataFrame:
     """Totals and number of filers per (ret_period, st_juri).
 
-    Returns are first reduced to one row per taxpayer and period, which makes the distinct count
-    a plain count and bounds what one taxpayer brings to the join; the office level then has
-    partial sums on the map side, however few offices there are. Offices are named last, on the
-    already small result. No side is hinted: Spark broadcasts one when its measured size allows.
+    Returns meet the office of their taxpayer as they are and are added up per office on the map side, however
+    few offices there are; filers are counted as bits of a bitmap (_totals_of_returns). Offices are named last, on
+    the already small result. No side is hinted: Spark broadcasts one when its measured size allows.
 
-    For one period the taxpayer is the whole key, so sums and join share one exchange per side. For a list of
-    periods only registrations of their filers are grouped.
+    For one period the taxpayer is the whole key: returns are first reduced to one row per taxpayer, so sums and join
+    share one exchange per side. For a list of periods only registrations of their filers are grouped.
     """
     wanted = None if periods is None else list(periods)
     rows = period_slices(summary, wanted).filter(F.col("gstin").isNotNull() & is_valid_period(F.col("ret_period")))
-    single = wanted is not None and len(wanted) == 1
-    returns = rows.groupBy(*(["gstin"] if single else ["ret_period", "gstin"])).agg(
-        *[F.sum(zero_if_null(F.col(column))).alias(name) for column, name in TOTALS]
-    )
-    if single:
-        returns = returns.withColumn("ret_period", F.lit(wanted[0]))
+    offices = dealer_offices(dealers_in_period(dealer, summary, wanted))
+    sums = [F.sum(zero_if_null(F.col(column))).alias(name) for column, name in TOTALS]
+    if wanted is not None and len(wanted) == 1:
+        returns = rows.groupBy("gstin").agg(*sums).withColumn("ret_period", F.lit(wanted[0]))
+        parts = returns.join(offices, "gstin").withColumn("filers", F.lit(1).cast("bigint"))
+    else:
+        parts = _totals_of_returns(rows, offices, sums)
     return (
-        returns.join(dealer_offices(dealers_in_period(dealer, summary, wanted)), "gstin")
-        .groupBy(*OFFICE_KEY)
+        parts.groupBy(*OFFICE_KEY)
         .agg(
-            F.count(F.lit(1)).alias("filed_gstins"),
+            F.sum("filers").alias("filed_gstins"),
             *[F.sum(name).cast(TOTAL).alias(name) for _, name in TOTALS],
         )
         .join(office_names(juri, name_column), "st_juri")

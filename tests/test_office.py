@@ -66,3 +66,38 @@ def test_periods_at_once_equal_one_after_the_other(spark):
         fresh = office_revenue(table, dealer, juri, kept, [period])
         assert fresh.collect() == [whole[period]]
         kept = spark.createDataFrame(kept.collect() + fresh.collect(), kept.schema)
+
+
+def test_totals_move_no_row_per_taxpayer(spark):
+    """What leaves a task grows with periods, offices and blocks of taxpayers, not with the returns."""
+    few, many = [
+        [row(f"{n:05d}", f"{m:02d}2000", taxable_value=n, total_output_tax=1) for n in range(size) for m in (1, 2, 2)]
+        for size in (40, 400)]
+    juri = spark.createDataFrame([(f"{j:03d}", f"OFFICE {j}") for j in range(4)], "jurisdiction_code string, jurisdiction_name string")
+    moved = []
+    for rows in (few, many):
+        size = len(rows) // 3
+        dealer = spark.createDataFrame([(f"{n:05d}", f"{n % 4:03d}") for n in range(size)], "gstin string, st_juri string")
+        # without the registrations, whose exchange is one row per taxpayer
+        frame = office_totals(summary(spark, rows).coalesce(2), dealer, juri)
+        got = {(r.ret_period, r.st_juri): (r.filed_gstins, r.output_tax, r.taxable_value) for r in frame.collect()}
+        assert got == {
+            (f"{m:02d}2000", f"{j:03d}"): (size // 4, m * size // 4, m * sum(range(j, size, 4)))
+            for m in (1, 2) for j in range(4)}
+        moved.append(exchanged(frame, "ret_period"))
+    assert moved[0] == moved[1]
+
+
+def exchanged(frame, key):
+    """Rows written by the exchanges of an executed plan that are dealt by a column."""
+    total, stack = 0, [frame._jdf.queryExecution().executedPlan()]
+    while stack:
+        node = stack.pop()
+        if node.nodeName() == "Exchange" and f"({key}#" in node.outputPartitioning().toString():
+            total += node.metrics().get("shuffleRecordsWritten").get().value()
+        stack += [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "AdaptiveSparkPlan":
+            stack.append(node.executedPlan())
+        elif node.nodeName().endswith("QueryStage"):
+            stack.append(node.plan())
+    return total
