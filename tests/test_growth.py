@@ -6,7 +6,14 @@ from decimal import ROUND_HALF_UP, Decimal
 import pytest
 from helpers import collect, month, row, summary
 
-from returns_analytics.operators.growth import average_columns, farther_rows, growth_columns, growth_history
+from returns_analytics.operators.growth import (
+    average_columns,
+    dated_rows,
+    farther_rows,
+    growth_columns,
+    growth_history,
+    taxpayers_above,
+)
 from returns_analytics.plans.pipelines import growth_analytics
 
 COLUMNS = {"taxable": "taxable_value", "output_tax": "total_output_tax", "itc": "eligible_itc", "cash": "cash_tax_paid"}
@@ -138,3 +145,17 @@ def test_random_rows_dated_elsewhere(spark):
     assert whole == brute(rows)
     for periods in (["062000"], ["032000", "011999"]):
         assert collect(growth_analytics(table, periods), *NAMES) == [r for r in whole if r[1] in periods]
+
+
+@pytest.mark.parametrize("most", [0, 40, 4096])
+@pytest.mark.parametrize("wanted", [None, ["062000", "012001"]])
+def test_large_taxpayers_apart_equal_the_default_plan(spark, most, wanted):
+    """Repeated and undated rows; with 40 some taxpayers are above the bound, with 0 all, with 4096 none."""
+    rows = random_rows(True) + [r for r in random_rows(True, 8) if r["gstin"] == "A"]
+    rows += [row(None, "062000", taxable_value=1), {"gstin": "A", "ret_period": "bad", "period_date": None}]
+    table = summary(spark, rows)
+    sizes = taxpayers_above(dated_rows(table), 40).count()
+    assert 0 < sizes < 3
+    want, got = growth_analytics(table, wanted), growth_analytics(table, wanted, most_rows=most)
+    assert set(got.columns) == set(want.columns)
+    assert collect(got, *want.columns) == collect(want, *want.columns)
