@@ -28,3 +28,18 @@ def row(gstin, period, dated=True, **values):
 
 def collect(frame, *names):
     return sorted((tuple(r) for r in frame.select(*names).collect()), key=str)
+
+
+def exchanged(frame, key):
+    """Rows written by the exchanges of an executed plan that are dealt by a column first."""
+    total, stack = 0, [frame._jdf.queryExecution().executedPlan()]
+    while stack:
+        node = stack.pop()
+        if node.nodeName() == "Exchange" and f"({key}#" in node.outputPartitioning().toString():
+            total += node.metrics().get("shuffleRecordsWritten").get().value()
+        stack += [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "AdaptiveSparkPlan":
+            stack.append(node.executedPlan())
+        elif node.nodeName().endswith("QueryStage"):
+            stack.append(node.plan())
+    return total

@@ -4,9 +4,10 @@ import random
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
-from helpers import collect, month, row, summary
+from helpers import collect, exchanged, month, row, summary
 
 from returns_analytics.operators.growth import (
+    MOST_ROWS,
     average_columns,
     dated_rows,
     farther_rows,
@@ -14,6 +15,8 @@ from returns_analytics.operators.growth import (
     growth_history,
     taxpayers_above,
 )
+from returns_analytics.parity.fixtures import BY_ROW
+from returns_analytics.parity.queries import CATALOG
 from returns_analytics.plans.pipelines import growth_analytics
 
 COLUMNS = {"taxable": "taxable_value", "output_tax": "total_output_tax", "itc": "eligible_itc", "cash": "cash_tax_paid"}
@@ -159,3 +162,26 @@ def test_large_taxpayers_apart_equal_the_default_plan(spark, most, wanted):
     want, got = growth_analytics(table, wanted), growth_analytics(table, wanted, most_rows=most)
     assert set(got.columns) == set(want.columns)
     assert collect(got, *want.columns) == collect(want, *want.columns)
+
+
+def test_small_taxpayers_are_dealt_once(spark, small):
+    """Of the stored growth table's plan, each return is moved by taxpayer once, beside a count per task and taxpayer."""
+    rows = small.table("summary")
+    size, taxpayers = rows.count(), rows.select("gstin").distinct().count()
+    frame = growth_analytics(rows, most_rows=MOST_ROWS)
+    assert len(frame.collect()) == size
+    counts = taxpayers * rows.rdd.getNumPartitions()
+    assert size <= exchanged(frame, "gstin") <= size + counts
+    plain = growth_analytics(rows)
+    plain.collect()
+    assert exchanged(plain, "gstin") >= 2 * size > size + counts
+
+
+@pytest.mark.parametrize("name", BY_ROW)
+def test_tables_by_row_are_not_dealt_again(small, name):
+    """What is derived row by row from a table stored by period lies in about as many files as that has."""
+    if name == "risk":
+        CATALOG["run_summary"].plan(small)
+    table, source = small.keep(name, lambda: small._derive(name)), small.table("summary")
+    assert table.select("ret_period").distinct().count() == source.select("ret_period").distinct().count()
+    assert len(table.inputFiles()) <= 3 * len(source.inputFiles())

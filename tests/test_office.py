@@ -3,7 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
-from helpers import month, row, summary
+from helpers import exchanged, month, row, summary
 
 from returns_analytics.operators.office import office_growth, office_totals
 from returns_analytics.plans.pipelines import office_revenue
@@ -86,18 +86,3 @@ def test_totals_move_no_row_per_taxpayer(spark):
             for m in (1, 2) for j in range(4)}
         moved.append(exchanged(frame, "ret_period"))
     assert moved[0] == moved[1]
-
-
-def exchanged(frame, key):
-    """Rows written by the exchanges of an executed plan that are dealt by a column."""
-    total, stack = 0, [frame._jdf.queryExecution().executedPlan()]
-    while stack:
-        node = stack.pop()
-        if node.nodeName() == "Exchange" and f"({key}#" in node.outputPartitioning().toString():
-            total += node.metrics().get("shuffleRecordsWritten").get().value()
-        stack += [node.children().apply(i) for i in range(node.children().size())]
-        if node.nodeName() == "AdaptiveSparkPlan":
-            stack.append(node.executedPlan())
-        elif node.nodeName().endswith("QueryStage"):
-            stack.append(node.plan())
-    return total
